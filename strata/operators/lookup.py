@@ -37,6 +37,18 @@ def measured(df: DataFrame, cache: bool = True) -> Dim:
     return Dim(df, df.count())
 
 
+def measured_all(dfs: dict[str, DataFrame], cache: bool = True) -> dict[str, Dim]:
+    """Count several dimensions in one job (one small row per dimension comes
+    back to the driver), caching each so later joins reuse the rows."""
+    from functools import reduce
+    frames = {n: (df.cache() if cache else df) for n, df in dfs.items()}
+    counts = reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
+        for n, df in frames.items()])
+    got = {r["name"]: int(r["rows"]) for r in counts.collect()}
+    return {n: Dim(frames[n], got[n]) for n in dfs}
+
+
 def lookup(fact: DataFrame, dim: Dim | DataFrame, on: str | list[str] | Column,
            how: str = "left", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     right = dim.for_join(max_rows) if isinstance(dim, Dim) else dim

@@ -83,11 +83,13 @@ FROM (SELECT *, {_OBS_DATE} AS observation_date FROM dedup) d""", "dedup")
 cte("brz_series", """
 SELECT series_id, substring(series_id, 4, 4) AS sector_code, substring(series_id, 8, 1) AS class_code,
        substring(series_id, 9, 2) AS measure_code, substring(series_id, 11, 1) AS duration_code,
-       substring(series_id, 3, 1) AS seasonal, '2017' AS base_year, footnote_codes,
-       begin_year, begin_period, end_year, end_period
-FROM (SELECT series_id, max(footnote_codes) AS footnote_codes,
-             CAST(min(year) AS VARCHAR) AS begin_year, min(period) AS begin_period,
-             CAST(max(year) AS VARCHAR) AS end_year, max(period) AS end_period
+       substring(series_id, 3, 1) AS seasonal, '2017' AS base_year,
+       CASE WHEN fn = 1 THEN 'R' END AS footnote_codes,
+       CAST(y0 AS VARCHAR) AS begin_year, 'M' || lpad(CAST(m0 AS VARCHAR), 2, '0') AS begin_period,
+       CAST(y1 AS VARCHAR) AS end_year, 'M' || lpad(CAST(m1 AS VARCHAR), 2, '0') AS end_period
+FROM (SELECT series_id, max(CAST(footnote_codes = 'R' AS INTEGER)) AS fn, min(year) AS y0, max(year) AS y1,
+             min(CASE WHEN period LIKE 'M%' THEN CAST(substring(period, 2, 2) AS INTEGER) END) AS m0,
+             max(CASE WHEN period LIKE 'M%' THEN CAST(substring(period, 2, 2) AS INTEGER) END) AS m1
       FROM obs GROUP BY series_id) g""", "obs")
 
 cte("brz_sector", """

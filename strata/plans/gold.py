@@ -54,21 +54,31 @@ FACT_PRODUCTIVITY_COLUMNS = [
     "observation_quarter", "observation_month", "is_annual_average"]
 
 
-def gold_fact_productivity(silver: DataFrame, dims: dict[str, Dim]) -> DataFrame:
+# Fact column holding the business code looked up in each dimension.
+FACT_LOOKUPS = {"class": "class_code", "duration": "duration_code", "footnote": "footnote_codes",
+                "measure": "measure_code", "period": "period", "sector": "sector_code"}
+
+
+def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None = None) -> DataFrame:
     """Surrogate-key lookups (left joins: an unknown code gives a NULL key).
     The footnote list is matched as one whole string against single codes.
     Dimensions are broadcast behind their row-count check, so the fact keeps
-    its partitioning and is never shuffled for a lookup."""
+    its partitioning and is never shuffled for a lookup.
+
+    ``columns`` restricts the result to those fact columns, and only their
+    lookups are planned -- what a column-pruned scan of the stored fact
+    gives.  Dimension business keys are unique (checked by the key rules), so
+    a left lookup never changes the row count and skipping one is exact."""
+    wanted = list(columns or FACT_PRODUCTIVITY_COLUMNS)
     df = silver
-    for name, code in (("class", "class_code"), ("duration", "duration_code"),
-                       ("measure", "measure_code"), ("period", "period"),
-                       ("sector", "sector_code")):
-        df = lookup(df, dims[name].select(F.col(code).alias(f"_{name}_k"), f"{name}_sk"),
+    for name, code in FACT_LOOKUPS.items():
+        if f"{name}_sk" not in wanted:
+            continue
+        key = "footnote_code" if name == "footnote" else code
+        df = lookup(df, dims[name].select(F.col(key).alias(f"_{name}_k"), f"{name}_sk"),
                     F.col(code) == F.col(f"_{name}_k"), "left")
-    df = lookup(df, dims["footnote"].select(F.col("footnote_code").alias("_footnote_k"), "footnote_sk"),
-                F.col("footnote_codes") == F.col("_footnote_k"), "left")
-    return df.select(F.col("seasonal_code"), F.trim("series_id").alias("series_id"),
-                     *FACT_PRODUCTIVITY_COLUMNS[2:])
+    out = {"series_id": F.trim("series_id").alias("series_id")}
+    return df.select(*[out.get(c, F.col(c)) for c in wanted])
 
 
 def gold_fact_population(silver_population: DataFrame, dim_nation: Dim) -> DataFrame:

@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.lookup import Dim, measured
+from ..operators.lookup import Dim, measured_all
 from ..sources.landing import Landing, from_tables
 from . import bronze as B
 from . import gold as G
@@ -41,7 +41,8 @@ class Pipeline:
 
     @cached_property
     def silver_dims(self) -> dict[str, Dim]:
-        return _LazyDims(lambda n: measured(self.silver_dim(n)))
+        """All code dimensions, cached and counted together in one job."""
+        return measured_all({n: self.silver_dim(n) for n in G.DIMENSIONS})
 
     @cached_property
     def silver_series(self) -> DataFrame:
@@ -83,6 +84,11 @@ class Pipeline:
     def gold_fact_productivity(self) -> DataFrame:
         return G.gold_fact_productivity(self.silver_productivity, self.gold_dims)
 
+    def fact_productivity(self, columns: list[str]) -> DataFrame:
+        """The productivity fact restricted to ``columns`` (only the lookups
+        those columns need are planned)."""
+        return G.gold_fact_productivity(self.silver_productivity, self.gold_dims, columns)
+
     @cached_property
     def gold_fact_population(self) -> DataFrame:
         return G.gold_fact_population(self.silver_population, self.gold_dim_nation)

@@ -302,14 +302,14 @@ def q1_mean_stddev(spark, src):
 @query
 def year_sum(spark, src):
     p = _p(spark, src)
-    return Q.year_sums(p.gold_fact_productivity, p.gold_dims["period"])
+    return Q.year_sums(p.fact_productivity(Q.FACT_COLUMNS), p.gold_dims["period"])
 
 
 @query
 def q2_best_year(spark, src):
     p = _p(spark, src)
     d = p.gold_dims
-    return Q.q2_best_year(p.gold_fact_productivity, d["period"], p.gold_dim_series, d["class"],
+    return Q.q2_best_year(p.fact_productivity(Q.FACT_COLUMNS), d["period"], p.gold_dim_series, d["class"],
                           d["measure"], d["duration"], d["sector"])
 
 
@@ -319,14 +319,14 @@ def q2_best_year_sql(spark, src):
     views = {n: p.gold_dims[n].df for n in ("period", "class", "sector", "duration", "measure")}
     views = {f"gold_dim_{n}": v for n, v in views.items()}
     views["gold_dim_series"] = p.gold_dim_series.df
-    views["gold_fact_productivity"] = p.gold_fact_productivity
+    views["gold_fact_productivity"] = p.fact_productivity(Q.FACT_COLUMNS)
     return Q.run_sql(spark, views, Q.Q2_SQL)
 
 
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)
-    return Q.q3_series_population(p.gold_fact_productivity, p.gold_dims["period"],
+    return Q.q3_series_population(p.fact_productivity(Q.FACT_COLUMNS), p.gold_dims["period"],
                                   p.gold_fact_population, Q3_SERIES, Q3_PERIOD)
 
 

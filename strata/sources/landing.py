@@ -66,14 +66,17 @@ def data_current(lineitem: DataFrame) -> DataFrame:
 
 
 def series(observed: DataFrame) -> DataFrame:
+    """One row per series id: first/last year, first/last month observed as
+    ``Mnn`` periods, and the footnote if any observation carries one.  Only
+    integer aggregates, so the grouping is a hash aggregate."""
     sid = F.col("series_id")
-    return observed.groupBy("series_id").agg(
-        F.max("footnote_codes").alias("footnote_codes"),
-        _s(F.min("year")).alias("begin_year"),
-        F.min("period").alias("begin_period"),
-        _s(F.max("year")).alias("end_year"),
-        F.max("period").alias("end_period"),
-    ).select(
+    month = F.when(F.col("period").like("M%"), F.substring("period", 2, 2).cast("int"))
+    g = observed.groupBy("series_id").agg(
+        F.max((F.col("footnote_codes") == "R").cast("int")).alias("_fn"),
+        F.min("year").alias("_y0"), F.max("year").alias("_y1"),
+        F.min(month).alias("_m0"), F.max(month).alias("_m1"))
+    mm = lambda c: F.concat(F.lit("M"), F.lpad(_s(F.col(c)), 2, "0"))
+    return g.select(
         "series_id",
         F.substring(sid, 4, 4).alias("sector_code"),
         F.substring(sid, 8, 1).alias("class_code"),
@@ -81,7 +84,9 @@ def series(observed: DataFrame) -> DataFrame:
         F.substring(sid, 11, 1).alias("duration_code"),
         F.substring(sid, 3, 1).alias("seasonal"),
         F.lit("2017").alias("base_year"),
-        "footnote_codes", "begin_year", "begin_period", "end_year", "end_period")
+        F.when(F.col("_fn") == 1, "R").alias("footnote_codes"),
+        _s(F.col("_y0")).alias("begin_year"), mm("_m0").alias("begin_period"),
+        _s(F.col("_y1")).alias("end_year"), mm("_m1").alias("end_period"))
 
 
 def sector(supplier: DataFrame) -> DataFrame:

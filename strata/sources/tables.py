@@ -8,5 +8,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, src_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{src_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, src_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one table.  A parquet file is split by row group; a table stored
+    as a few large row groups would be scanned -- and everything up to the
+    first shuffle computed -- by a few tasks.  When the scan yields fewer
+    splits than the cluster has cores, spread the rows over all cores
+    (column pruning and filters still reach the scan, below the exchange).
+    A large table already has many splits and is read as is."""
+    df = spark.read.parquet(f"{src_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
