@@ -96,6 +96,22 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")
 
 
+def orphan_keys_all(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Orphans of several foreign keys in one pass over the fact: every row
+    yields (foreign_key, value) pairs, distinct pairs are anti-joined with the
+    union of the dimensions' keys.  ``dims`` maps a foreign-key column to a
+    one-column DataFrame of the dimension's key values."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("bigint").alias("orphan_value"))
+        for fk in dims]))
+    seen = fact.select(pairs.alias("_p")).select("_p.*").distinct()
+    keys = reduce(DataFrame.unionByName, [
+        d.select(F.lit(fk).alias("foreign_key"), F.col(d.columns[0]).cast("bigint").alias("_v"))
+        for fk, d in dims.items()])
+    cond = (F.col("foreign_key") == F.col("_fk")) & (F.col("orphan_value") == F.col("_v"))
+    return seen.join(keys.withColumnRenamed("foreign_key", "_fk"), cond, "left_anti")
+
+
 def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
     """Distinct foreign-key values of ``fact`` with no dimension row (a NULL
     foreign key never matches, so it is reported too)."""

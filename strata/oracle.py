@@ -125,14 +125,19 @@ SELECT DISTINCT CASE WHEN r_regionkey % 2 = 0 THEN 'S' ELSE 'U' END AS seasonal_
 FROM region""")
 
 cte("brz_footnote", """
-SELECT footnote_code, ' Footnote ' || footnote_code || ' ' AS footnote_text
-FROM (SELECT DISTINCT l_returnflag AS footnote_code FROM lineitem) f""")
+SELECT substring('ANRPC', CAST(r_regionkey AS INTEGER) + 1, 1) AS footnote_code,
+       ' Footnote ' || substring('ANRPC', CAST(r_regionkey AS INTEGER) + 1, 1) || ' ' AS footnote_text
+FROM region""")
 
 cte("brz_period", """
 SELECT period, period || ' ' AS period_abbr,
        '  ' || CASE WHEN period LIKE 'Q%' THEN 'Quarter ' WHEN period LIKE 'M%' THEN 'Month ' ELSE 'Half ' END
             || substring(period, 2, 2) || ' ' AS period_name
-FROM (SELECT DISTINCT period FROM obs) p WHERE period <> 'S02'""", "obs")
+FROM (SELECT CASE WHEN n_nationkey < 5 THEN 'Q0' || CAST(n_nationkey + 1 AS VARCHAR)
+                  WHEN n_nationkey < 18 THEN 'M' || lpad(CAST(n_nationkey - 4 AS VARCHAR), 2, '0')
+                  WHEN n_nationkey < 21 THEN 'S0' || CAST(n_nationkey - 17 AS VARCHAR) END AS period
+      FROM nation) p
+WHERE period IS NOT NULL AND period <> 'S02'""")
 
 # silver code dimensions: trimmed texts
 cte("slv_sector", "SELECT sector_code, trim(sector_name) AS sector_name, display_level, selectable, sort_sequence FROM brz_sector", "brz_sector")

@@ -21,5 +21,26 @@ def audit(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
     return clean_column_names(df.withColumn("load_timestamp", ts))
 
 
-def bronze_tables(landing: Landing, load_ts: Column | None = None) -> dict[str, DataFrame]:
-    return {BRONZE_NAMES[k]: audit(df, load_ts) for k, df in landing.tsv_tables().items()}
+_LANDING_ATTR = {"class": "class_", "data_0_current": "data_current", "data_1_alldata": "data_alldata"}
+
+
+class BronzeTables(dict):
+    """Bronze tables by name, each built on first access."""
+
+    def __init__(self, landing: Landing, load_ts: Column | None = None):
+        super().__init__()
+        self._landing, self._load_ts = landing, load_ts
+        self._by_name = {v: k for k, v in BRONZE_NAMES.items()}
+
+    def __missing__(self, name: str) -> DataFrame:
+        key = self._by_name[name]
+        df = audit(getattr(self._landing, _LANDING_ATTR.get(key, key)), self._load_ts)
+        self[name] = df
+        return df
+
+    def names(self) -> list[str]:
+        return list(BRONZE_NAMES.values())
+
+
+def bronze_tables(landing: Landing, load_ts: Column | None = None) -> BronzeTables:
+    return BronzeTables(landing, load_ts)

@@ -95,7 +95,7 @@ class Pipeline:
 
     def tables(self) -> dict[str, DataFrame]:
         """Every table by name (building each one on access)."""
-        out = dict(self.bronze)
+        out = {n: self.bronze[n] for n in self.bronze.names()}
         for n in G.DIMENSIONS:
             out[f"slv_pr_{n}"] = self.silver_dims[n].df
         out["slv_pr_series"] = self.silver_series

@@ -386,13 +386,6 @@ def key_uniqueness(spark, src):
 @query
 def orphan_keys(spark, src):
     p = _p(spark, src)
-    fact = p.gold_fact_productivity
-    parts = []
-    for name in ("class", "duration", "footnote", "measure", "period", "sector"):
-        sk = f"{name}_sk"
-        o = quality.orphan_keys(fact, p.gold_dims[name].df, sk)
-        parts.append(o.select(F.lit(sk).alias("foreign_key"), F.col(sk).alias("orphan_value")))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    names = ("class", "duration", "footnote", "measure", "period", "sector")
+    fact = p.fact_productivity([f"{n}_sk" for n in names])
+    return quality.orphan_keys_all(fact, {f"{n}_sk": p.gold_dims[n].df.select(f"{n}_sk") for n in names})

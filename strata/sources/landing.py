@@ -8,9 +8,9 @@ expression and the work grows with the tables:
   "alldata" holds all of them, "current" the years from 2000 on with a
   revised value (so the source order of de-duplication matters);
 * series metadata <- the observations, one row per series id;
-* code dimensions <- small tables (supplier, region, part, lineitem flags) or
-  the distinct periods observed; a few codes are left out on purpose so that
-  lookups meet unknown codes;
+* code dimensions <- small tables (supplier, region, part, nation) by fixed
+  rules; a few codes are left out on purpose so that lookups meet unknown
+  codes;
 * population <- orders x customer x nation, counted per nation and year, and
   delivered in three loads: the full table, a revision of the recent years
   with some nation names missing, and a late revision with NULL populations.
@@ -18,7 +18,7 @@ expression and the work grows with the tables:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,18 +139,29 @@ def seasonal(region: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def footnote(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(F.col("l_returnflag").alias("footnote_code")).distinct().select(
-        "footnote_code", F.concat(F.lit(" Footnote "), F.col("footnote_code"), F.lit(" ")).alias("footnote_text"))
+# Footnote letters by region key (0..4).
+FOOTNOTE_LETTERS = "ANRPC"
 
 
-def period(observed: DataFrame) -> DataFrame:
-    p = F.col("period")
+def footnote(region: DataFrame) -> DataFrame:
+    code = F.substring(F.lit(FOOTNOTE_LETTERS), F.col("r_regionkey").cast("int") + 1, 1)
+    return region.select(code.alias("footnote_code"),
+                         F.concat(F.lit(" Footnote "), code, F.lit(" ")).alias("footnote_text"))
+
+
+def period(nation: DataFrame) -> DataFrame:
+    """Period codes by rule from the nation keys 0..20: Q01-Q05, M01-M13,
+    S01-S03 (S02 left out)."""
+    n = F.col("n_nationkey").cast("int")
+    p = (F.when(n < 5, F.concat(F.lit("Q0"), _s(n + 1)))
+         .when(n < 18, F.concat(F.lit("M"), F.lpad(_s(n - 4), 2, "0")))
+         .when(n < 21, F.concat(F.lit("S0"), _s(n - 17))))
     kind = (F.when(p.like("Q%"), "Quarter ").when(p.like("M%"), "Month ").otherwise("Half "))
-    return observed.select("period").distinct().filter(p != "S02").select(
+    return nation.select(p.alias("period"), kind.alias("_kind")).filter(
+        F.col("period").isNotNull() & (F.col("period") != "S02")).select(
         "period",
-        F.concat(p, F.lit(" ")).alias("period_abbr"),
-        F.concat(F.lit("  "), kind, F.substring(p, 2, 2), F.lit(" ")).alias("period_name"))
+        F.concat(F.col("period"), F.lit(" ")).alias("period_abbr"),
+        F.concat(F.lit("  "), F.col("_kind"), F.substring("period", 2, 2), F.lit(" ")).alias("period_name"))
 
 
 def population(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -186,20 +197,14 @@ def landing_population_loads(spark: SparkSession, src_dir: str) -> DataFrame:
     return population_loads(population(t("orders"), t("customer"), t("nation")))
 
 
-@dataclass
 class Landing:
-    """The raw landing tables of both sources, before any audit column."""
-    data_current: DataFrame
-    data_alldata: DataFrame
-    series: DataFrame
-    sector: DataFrame
-    class_: DataFrame
-    measure: DataFrame
-    duration: DataFrame
-    footnote: DataFrame
-    period: DataFrame
-    seasonal: DataFrame
-    population_loads: DataFrame
+    """The raw landing tables of both sources, before any audit column.
+
+    Each table is built on first access, so a question plans (and reads)
+    only the sources it needs."""
+
+    NAMES = ("data_current", "data_alldata", "series", "sector", "class_", "measure",
+             "duration", "footnote", "period", "seasonal", "population_loads")
 
     def tsv_tables(self) -> dict[str, DataFrame]:
         return {"class": self.class_, "duration": self.duration, "measure": self.measure,
@@ -208,20 +213,67 @@ class Landing:
                 "data_0_current": self.data_current, "data_1_alldata": self.data_alldata}
 
 
+class TableLanding(Landing):
+    """Landing rows derived from the given tables (see the module docstring)."""
+
+    def __init__(self, spark: SparkSession, src_dir: str):
+        self.spark, self.src_dir = spark, src_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.src_dir, name)
+        return self._tables[name]
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return self.table("lineitem")
+
+    @cached_property
+    def data_alldata(self) -> DataFrame:
+        return data_alldata(self.lineitem)
+
+    @cached_property
+    def data_current(self) -> DataFrame:
+        return data_current(self.lineitem)
+
+    @cached_property
+    def series(self) -> DataFrame:
+        return series(self.data_alldata)
+
+    @cached_property
+    def sector(self) -> DataFrame:
+        return sector(self.table("supplier"))
+
+    @cached_property
+    def class_(self) -> DataFrame:
+        return class_(self.table("region"))
+
+    @cached_property
+    def measure(self) -> DataFrame:
+        return measure(self.table("part"))
+
+    @cached_property
+    def duration(self) -> DataFrame:
+        return duration(self.table("part"))
+
+    @cached_property
+    def footnote(self) -> DataFrame:
+        return footnote(self.table("region"))
+
+    @cached_property
+    def period(self) -> DataFrame:
+        return period(self.table("nation"))
+
+    @cached_property
+    def seasonal(self) -> DataFrame:
+        return seasonal(self.table("region"))
+
+    @cached_property
+    def population_loads(self) -> DataFrame:
+        return population_loads(population(self.table("orders"), self.table("customer"),
+                                           self.table("nation")))
+
+
 def from_tables(spark: SparkSession, src_dir: str) -> Landing:
-    t = lambda name: read_table(spark, src_dir, name)
-    lineitem = t("lineitem")
-    alldata = data_alldata(lineitem)
-    return Landing(
-        data_current=data_current(lineitem),
-        data_alldata=alldata,
-        series=series(alldata),
-        sector=sector(t("supplier")),
-        class_=class_(t("region")),
-        measure=measure(t("part")),
-        duration=duration(t("part")),
-        footnote=footnote(lineitem),
-        period=period(alldata),
-        seasonal=seasonal(t("region")),
-        population_loads=population_loads(population(t("orders"), t("customer"), t("nation"))),
-    )
+    return TableLanding(spark, src_dir)
