@@ -56,6 +56,14 @@ GOLD = {
     "gold_fact_population": [expect_or_fail("gold_population_nation_fk", "nation_sk IS NOT NULL")],
 }
 
+# Value rules on the population fact (warn): plausible years, positive and
+# present measures.
+POPULATION_VALUE_RULES = [
+    expect("valid_year_range", "year >= 2000 AND year <= 2030"),
+    expect("positive_population", "population > 0"),
+    expect("measures_populated", "population IS NOT NULL AND year IS NOT NULL"),
+]
+
 # Declared primary keys (checked as uniqueness rules).
 PRIMARY_KEYS = {
     **{f"gold_dim_{t}": [f"{t}_sk"] for t in

@@ -24,6 +24,7 @@ from .operators.ordering import By
 from .plans import expectations as EX
 from .plans import questions as Q
 from .plans import silver as S
+from .plans import tables as T
 from .plans.pipeline import Pipeline
 from .session import scratch_path
 from .sources import json_pages, landing as L
@@ -221,13 +222,24 @@ def silver_population_nation(spark, src):
     return _p(spark, src).silver_population_nation
 
 
+# Bronze population table as written by the ingest stream.
+BRONZE_POPULATION_SCHEMA = ("data STRING, load_no INT, load_timestamp TIMESTAMP, "
+                            "file_arrival_timestamp TIMESTAMP, file_path STRING")
+
+
 @query
 def scd1_stream(spark, src):
+    """JSON pages -> bronze table (stream 1); bronze table -> keyed upsert
+    into the silver snapshot table (stream 2, reading the bronze table as a
+    stream).  Three loads, each picked up by an available-now run."""
     def job(stream, out, ckpt):
-        rec = S.population_records(stream, keep=["load_timestamp", "file_arrival_timestamp", "file_path"])
+        bronze = f"{ckpt}/bronze-table"
+        jobs.ingest_bronze(stream, bronze, f"{ckpt}/bronze")
+        from_bronze = spark.readStream.schema(BRONZE_POPULATION_SCHEMA).parquet(bronze)
+        rec = S.population_records(from_bronze, keep=["load_timestamp", "file_arrival_timestamp", "file_path"])
         jobs.upsert_scd1(rec, ["year", "nation_id"],
                          ["load_timestamp", "file_arrival_timestamp", "file_path", "record_pos"],
-                         ["nation", "population"], out, ckpt, ignore_null_updates=True)
+                         ["nation", "population"], out, f"{ckpt}/silver", ignore_null_updates=True)
     out = _land_and_stream(spark, src, job, "scd1")
     return snapshots.latest(spark, out).select("nation", "nation_id", "population", "year")
 
@@ -323,6 +335,56 @@ def q2_best_year_sql(spark, src):
     return Q.run_sql(spark, views, Q.Q2_SQL)
 
 
+@query
+def q1_mean_stddev_sql(spark, src):
+    p = _p(spark, src)
+    r = Q.run_sql(spark, {"gold_fact_population": p.gold_fact_population},
+                  Q.Q1_SQL.format(first_year=Q1_YEARS[0], last_year=Q1_YEARS[1]))
+    return r.select(_r6(F.col("mean_population")).alias("mean_population"),
+                    _r6(F.col("stddev_population")).alias("stddev_population"))
+
+
+@query
+def q3_series_population_sql(spark, src):
+    p = _p(spark, src)
+    views = {"gold_fact_productivity": p.fact_productivity(Q.FACT_COLUMNS),
+             "gold_dim_period": p.gold_dims["period"].df,
+             "gold_fact_population": p.gold_fact_population}
+    return Q.run_sql(spark, views, Q.Q3_SQL.format(series_id=Q3_SERIES, period=Q3_PERIOD))
+
+
+@query
+def tsv_pipeline_best_year(spark, src):
+    """The whole productivity lifecycle from files: all ten landing files are
+    written as padded TSV, read back with their DDL, and refined to the
+    best-year question."""
+    root = scratch_path(spark, "tsv-landing")
+    L.land_tsv(L.from_tables(spark, src), root)
+    p = Pipeline(spark, L.TsvLanding(spark, root))
+    d = p.gold_dims
+    return Q.q2_best_year(p.fact_productivity(Q.FACT_COLUMNS), d["period"], p.gold_dim_series,
+                          d["class"], d["measure"], d["duration"], d["sector"])
+
+
+@query
+def materialized_dim_sector(spark, src):
+    """Gold sector dimension written through its declared schema (column
+    comments) with its rules enforced, then read back."""
+    root = scratch_path(spark, "gold_dim_sector")
+    spec = T.GOLD_SPECS["gold_dim_sector"]
+    T.materialize(spark, _p(spark, src).gold_dims["sector"].df, root, spec)
+    return T.read_published(spark, root)
+
+
+@query
+def materialized_fact_population(spark, src):
+    root = scratch_path(spark, "gold_fact_population")
+    spec = T.GOLD_SPECS["gold_fact_population"]
+    T.materialize(spark, _p(spark, src).gold_fact_population, root, spec)
+    f = T.read_published(spark, root)
+    return f.withColumn("population_pct_change", _r6(F.col("population_pct_change")))
+
+
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)
@@ -362,7 +424,8 @@ def dq_report(spark, src):
         "slv_pr_series": (p.silver_series, EX.SILVER["slv_pr_series"]),
         "slv_pr_productivity": (p.silver_productivity, EX.SILVER["slv_pr_productivity"]),
         "gold_fact_productivity": (p.gold_fact_productivity, EX.GOLD["gold_fact_productivity"]),
-        "gold_fact_population": (p.gold_fact_population, EX.GOLD["gold_fact_population"]),
+        "gold_fact_population": (p.gold_fact_population,
+                                 EX.GOLD["gold_fact_population"] + EX.POPULATION_VALUE_RULES),
     }
     return quality.quality_report(tables)
 

@@ -277,3 +277,44 @@ class TableLanding(Landing):
 
 def from_tables(spark: SparkSession, src_dir: str) -> Landing:
     return TableLanding(spark, src_dir)
+
+
+class TsvLanding(Landing):
+    """Landing rows read back from tab-separated files (one directory per
+    file name, as ``land_tsv`` writes them); population loads, which arrive
+    as JSON pages, come from ``population`` when given."""
+
+    def __init__(self, spark: SparkSession, root: str, population: Landing | None = None):
+        from .tsv import LANDING_DDL, read_tsv
+        self.spark, self.root, self._population = spark, root.rstrip("/"), population
+        self._ddl, self._read = LANDING_DDL, read_tsv
+        self._cache: dict[str, DataFrame] = {}
+
+    def _file(self, key: str) -> DataFrame:
+        if key not in self._cache:
+            self._cache[key] = self._read(self.spark, f"{self.root}/{key}", self._ddl[key])
+        return self._cache[key]
+
+    data_current = property(lambda self: self._file("data_0_current"))
+    data_alldata = property(lambda self: self._file("data_1_alldata"))
+    series = property(lambda self: self._file("series"))
+    sector = property(lambda self: self._file("sector"))
+    class_ = property(lambda self: self._file("class"))
+    measure = property(lambda self: self._file("measure"))
+    duration = property(lambda self: self._file("duration"))
+    footnote = property(lambda self: self._file("footnote"))
+    period = property(lambda self: self._file("period"))
+    seasonal = property(lambda self: self._file("seasonal"))
+
+    @property
+    def population_loads(self) -> DataFrame:
+        if self._population is None:
+            raise AttributeError("population loads are not part of the TSV landing")
+        return self._population.population_loads
+
+
+def land_tsv(landing: Landing, root: str) -> None:
+    """Write every landing table as a padded TSV directory under ``root``."""
+    from .tsv import write_tsv
+    for key, df in landing.tsv_tables().items():
+        write_tsv(df, f"{root.rstrip('/')}/{key}")
