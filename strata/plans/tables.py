@@ -22,6 +22,19 @@ from . import expectations as EX
 PUBLISHED = "_PUBLISHED"
 
 
+def version_path(root: str, v: int) -> str:
+    return f"{root.rstrip('/')}/v={v:012d}"
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Version numbers present under ``root`` (written, maybe unpublished)."""
+    fs, p = snapshots._fs(spark, root)
+    if not fs.exists(p):
+        return []
+    return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith("v="))
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -78,8 +91,8 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec,
     """Write one version of the table; publish it only if every fail rule
     holds.  Returns the rule counts."""
     out, obs = quality.observed(conform(df, spec), spec.name, spec.rules)
-    v = version if version is not None else (max(snapshots.versions(spark, root), default=0) + 1)
-    path = snapshots.version_path(root, v)
+    v = version if version is not None else (max(versions(spark, root), default=0) + 1)
+    path = version_path(root, v)
     out.write.mode("overwrite").parquet(path)
     counts = quality.check(obs, spec.name, spec.rules)  # raises: version stays unpublished
     _touch(spark, f"{path}/{PUBLISHED}")
@@ -88,11 +101,11 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec,
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """Newest published version."""
-    good = [v for v in snapshots.versions(spark, root)
-            if _exists(spark, f"{snapshots.version_path(root, v)}/{PUBLISHED}")]
+    good = [v for v in versions(spark, root)
+            if _exists(spark, f"{version_path(root, v)}/{PUBLISHED}")]
     if not good:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(snapshots.version_path(root, good[-1]))
+    return spark.read.parquet(version_path(root, good[-1]))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

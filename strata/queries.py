@@ -241,7 +241,7 @@ def scd1_stream(spark, src):
                          ["load_timestamp", "file_arrival_timestamp", "file_path", "record_pos"],
                          ["nation", "population"], out, f"{ckpt}/silver", ignore_null_updates=True)
     out = _land_and_stream(spark, src, job, "scd1")
-    return snapshots.latest(spark, out).select("nation", "nation_id", "population", "year")
+    return snapshots.read_table(spark, out).select("nation", "nation_id", "population", "year")
 
 
 # --- dimensional model -------------------------------------------------------

@@ -7,7 +7,7 @@
   ignored.  The per-key, per-column (sequence, value) state lives in the
   streaming aggregation's state store, so results do not depend on how
   changes are split into micro-batches; each micro-batch's changed keys are
-  merged into a versioned snapshot table.
+  merged into a key-hash-bucketed table, rewriting only touched buckets.
 
 Every job runs with ``Trigger.AvailableNow`` and a checkpoint on shared
 storage, so a rerun picks up only new files and a failed run resumes.
@@ -40,7 +40,8 @@ def dedup_first_seen(stream: DataFrame, keys: list[str], table_path: str, checkp
 
 
 def upsert_scd1(stream: DataFrame, keys: list[str], sequence_by: list[str], columns: list[str],
-                target: str, checkpoint: str, ignore_null_updates: bool = True) -> None:
+                target: str, checkpoint: str, ignore_null_updates: bool = True,
+                buckets: int | None = snapshots.DEFAULT_BUCKETS) -> None:
     seq = sequence_struct(sequence_by)
     if ignore_null_updates:
         aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), seq)).alias(c) for c in columns]
@@ -50,10 +51,7 @@ def upsert_scd1(stream: DataFrame, keys: list[str], sequence_by: list[str], colu
     changed = stream.groupBy(*keys).agg(*aggs)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = snapshots.latest(spark, target, before=batch_id)
-        upd = batch.select(*keys, *columns)
-        new = upd if prev is None else prev.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
-        snapshots.write_version(new, target, batch_id)
+        snapshots.upsert_buckets(batch.select(*keys, *columns), batch_id, target, keys,
+                                 staging=f"{checkpoint.rstrip('/')}/_staging", buckets=buckets)
 
     run_available_now(changed.writeStream.outputMode("update").foreachBatch(merge), checkpoint)

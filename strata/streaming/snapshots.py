@@ -1,16 +1,27 @@
-"""Versioned snapshot tables written from ``foreachBatch``.
+"""Upsert targets written from ``foreachBatch``.
 
-Micro-batch ``n`` writes version ``v=n`` computed only from the newest
-version before ``n`` and the batch itself, then marks it complete.  A
-replayed batch (after a failure) recomputes exactly the same version, so the
-sink is idempotent without a transactional table format.
+The target is a parquet table partitioned by a hash bucket of its key
+(``_bucket = pmod(xxhash64(keys), buckets)``).  A micro-batch rewrites only
+the buckets its keys fall in: it reads those buckets (partition pruning),
+replaces the batch's keys, stages the merged buckets under the batch id, and
+swaps them in with a dynamic partition overwrite.  Untouched buckets are
+never read or written, so the cost of a micro-batch follows the batch, not
+the table.
+
+The rows a micro-batch carries are the *complete* current state of their
+keys (the streaming aggregation's output), so replaying a batch after a
+failure rewrites the same buckets with the same rows: the sink is
+idempotent without a transactional table format.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-MARK = "_SUCCESS"
+BUCKET = "_bucket"
+# None: as many buckets as the session's shuffle partitions.
+DEFAULT_BUCKETS = None
 
 
 def _fs(spark: SparkSession, path: str):
@@ -19,27 +30,45 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(st.getPath().suffix("/" + MARK)):
-                out.append(int(name[2:]))
-    return sorted(out)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def bucket_of(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def version_path(root: str, v: int) -> str:
-    return f"{root.rstrip('/')}/v={v:012d}"
+def _has_buckets(spark: SparkSession, target: str) -> bool:
+    fs, p = _fs(spark, target)
+    return bool(fs.exists(p)) and any(
+        st.isDirectory() and st.getPath().getName().startswith(BUCKET + "=") for st in fs.listStatus(p))
 
 
-def latest(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    vs = [v for v in versions(spark, root) if before is None or v < before]
-    return spark.read.parquet(version_path(root, vs[-1])) if vs else None
+def read_table(spark: SparkSession, target: str) -> DataFrame | None:
+    if not _has_buckets(spark, target):
+        return None
+    return spark.read.parquet(target).drop(BUCKET)
 
 
-def write_version(df: DataFrame, root: str, v: int) -> None:
-    df.write.mode("overwrite").parquet(version_path(root, v))
+def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str],
+                   staging: str, buckets: int | None = DEFAULT_BUCKETS) -> None:
+    """Replace the batch's keys in ``target``, rewriting touched buckets only.
+    The bucket count must stay the same for the life of a target."""
+    spark = batch.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    upd = batch.withColumn(BUCKET, bucket_of(keys, buckets))
+    stage = f"{staging.rstrip('/')}/batch={batch_id}"
+    if _has_buckets(spark, target):
+        touched = upd.select(BUCKET).distinct()
+        old = (spark.read.parquet(target)
+               .join(F.broadcast(touched), BUCKET, "left_semi")      # at most `buckets` rows
+               .join(upd.select(*keys), keys, "left_anti"))
+        merged = old.unionByName(upd)
+    else:
+        merged = upd
+    # The merge reads the target, so it is staged before the overwrite.
+    merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
+    (spark.read.parquet(stage).repartition(BUCKET)
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(BUCKET).parquet(target))
