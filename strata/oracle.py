@@ -412,3 +412,4 @@ QUERIES["q3_series_population_sql"] = QUERIES["q3_series_population"]
 QUERIES["tsv_pipeline_best_year"] = QUERIES["q2_best_year"]
 QUERIES["materialized_dim_sector"] = QUERIES["gold_dim_sector"]
 QUERIES["materialized_fact_population"] = QUERIES["fact_population"]
+QUERIES["pipeline_run_best_year"] = QUERIES["q2_best_year"]

@@ -99,6 +99,17 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec,
     return counts
 
 
+def write_checked(spark: SparkSession, df: DataFrame, path: str, name: str, rules: list,
+                  mode: str = "overwrite") -> dict[str, int]:
+    """Write ``df`` with its rules counted during the write; mark the output
+    published only if no fail rule was violated (raises otherwise)."""
+    out, obs = quality.observed(df, name, rules) if rules else (df, None)
+    out.write.mode(mode).parquet(path)
+    counts = quality.check(obs, name, rules) if rules else {}
+    _touch(spark, f"{path}/{PUBLISHED}")
+    return counts
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """Newest published version."""
     good = [v for v in versions(spark, root)

@@ -385,6 +385,17 @@ def materialized_fact_population(spark, src):
     return f.withColumn("population_pct_change", _r6(F.col("population_pct_change")))
 
 
+@query
+def pipeline_run_best_year(spark, src):
+    """Full pipeline run: every bronze, silver and gold table written with
+    its rules enforced, then the best-year question over the stored tables."""
+    p = _p(spark, src)
+    p.materialize(scratch_path(spark, "pipeline"))
+    d = p.gold_dims
+    return Q.q2_best_year(p.gold_fact_productivity, d["period"], p.gold_dim_series, d["class"],
+                          d["measure"], d["duration"], d["sector"])
+
+
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)
