@@ -31,8 +31,10 @@ SERIES_COLUMNS = ["series_id", "base_year", "footnote_codes", "begin_year", "beg
                   "sector_code", "measure_code", "duration_code"]
 
 
-def gold_dim_series(silver_series: DataFrame) -> Dim:
-    df = silver_series.select(
+def gold_dim_series_frame(silver_series: DataFrame) -> DataFrame:
+    """Gold series columns (descriptions are not part of the gold dimension,
+    so ``silver.series_codes`` is enough as input)."""
+    return silver_series.select(
         F.trim("series_id").alias("series_id"), "base_year", "footnote_codes", "begin_year",
         "begin_period", "end_year", "end_period", "survey_code",
         F.col("seasonal_code_parsed").alias("seasonal_code"),
@@ -40,7 +42,12 @@ def gold_dim_series(silver_series: DataFrame) -> Dim:
         F.col("sector_code_parsed").alias("sector_code"),
         F.col("measure_code_parsed").alias("measure_code"),
         F.col("duration_code_parsed").alias("duration_code"))
-    return assign_surrogate_keys(measured(df), SERIES_COLUMNS, "series_sk")
+
+
+def gold_dim_series(silver_series: DataFrame | Dim) -> Dim:
+    """Dense series keys; accepts the gold series frame already measured."""
+    dim = silver_series if isinstance(silver_series, Dim) else measured(gold_dim_series_frame(silver_series))
+    return assign_surrogate_keys(dim, SERIES_COLUMNS, "series_sk")
 
 
 def gold_dim_nation(silver_nation: DataFrame) -> Dim:

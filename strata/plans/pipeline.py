@@ -42,7 +42,25 @@ class Pipeline:
     @cached_property
     def silver_dims(self) -> dict[str, Dim]:
         """All code dimensions, cached and counted together in one job."""
-        return measured_all({n: self.silver_dim(n) for n in G.DIMENSIONS})
+        self.prepare(series=False)
+        return self.__dict__["silver_dims"]
+
+    def prepare(self, series: bool = True) -> None:
+        """Size-check (count) the dimensions a question needs in one job:
+        the code dimensions and, when asked, the gold series dimension
+        (which does not depend on them)."""
+        todo: dict[str, DataFrame] = {}
+        if "silver_dims" not in self.__dict__:
+            todo.update({n: self.silver_dim(n) for n in G.DIMENSIONS})
+        if series and "_series_frame" not in self.__dict__:
+            todo["_series"] = G.gold_dim_series_frame(S.series_codes(self.bronze["brz_pr_series"]))
+        if not todo:
+            return
+        got = measured_all(todo)
+        if "_series" in got:
+            self.__dict__["_series_frame"] = got.pop("_series")
+        if got:
+            self.__dict__["silver_dims"] = got
 
     @cached_property
     def silver_series(self) -> DataFrame:
@@ -74,7 +92,8 @@ class Pipeline:
 
     @cached_property
     def gold_dim_series(self) -> Dim:
-        return G.gold_dim_series(self.silver_series)
+        self.prepare(series=True)
+        return G.gold_dim_series(self.__dict__["_series_frame"])
 
     @cached_property
     def gold_dim_nation(self) -> Dim:

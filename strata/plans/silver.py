@@ -30,15 +30,29 @@ def silver_period(bronze: DataFrame) -> DataFrame:
     })
 
 
+SERIES_CODE_COLUMNS = [
+    "series_id", "base_year", "footnote_codes", "begin_year", "begin_period", "end_year",
+    "end_period", "survey_code", "seasonal_code_parsed", "sector_code_parsed",
+    "class_code_parsed", "measure_code_parsed", "duration_code_parsed", "begin_year_int",
+    "end_year_int"]
+
+
+def series_codes(bronze: DataFrame) -> DataFrame:
+    """Series metadata with the parts of the raw id and integer years (no
+    descriptions)."""
+    parts = codes.series_id_parts("series_id", suffix="_parsed")
+    parts["survey_code"] = parts.pop("survey_code_parsed")
+    return bronze.withColumns({
+        **parts,
+        "begin_year_int": F.col("begin_year").try_cast("int"),
+        "end_year_int": F.col("end_year").try_cast("int"),
+    }).select(*SERIES_CODE_COLUMNS)
+
+
 def silver_series(bronze: DataFrame, sector: Dim, class_: Dim, measure: Dim,
                   duration: Dim, seasonal: Dim) -> DataFrame:
     """Parse the raw id, add integer years, look up five descriptions."""
-    df = bronze.withColumns({
-        **codes.series_id_parts("series_id", suffix="_parsed"),
-        "begin_year_int": F.col("begin_year").try_cast("int"),
-        "end_year_int": F.col("end_year").try_cast("int"),
-    }).drop("survey_code_parsed")
-    df = df.withColumn("survey_code", F.substring("series_id", 1, 2))
+    df = series_codes(bronze)
     lookups = [(sector, "sector_code", "sector_name", "sector_name_desc"),
                (class_, "class_code", "class_text", "class_desc"),
                (measure, "measure_code", "measure_text", "measure_desc"),
@@ -47,14 +61,8 @@ def silver_series(bronze: DataFrame, sector: Dim, class_: Dim, measure: Dim,
     for dim, code, text, alias in lookups:
         right = dim.select(F.col(code).alias("_k"), F.col(text).alias(alias))
         df = lookup(df, right, F.col(f"{code}_parsed") == F.col("_k"), "left").drop("_k")
-    df = df.drop("load_timestamp", "sector_code", "class_code", "measure_code",
-                 "duration_code", "seasonal")
-    return df.select(
-        "series_id", "base_year", "footnote_codes", "begin_year", "begin_period", "end_year",
-        "end_period", "survey_code", "seasonal_code_parsed", "sector_code_parsed",
-        "class_code_parsed", "measure_code_parsed", "duration_code_parsed", "begin_year_int",
-        "end_year_int", "sector_name_desc", "class_desc", "measure_desc", "duration_desc",
-        "seasonal_desc")
+    return df.select(*SERIES_CODE_COLUMNS, "sector_name_desc", "class_desc", "measure_desc",
+                     "duration_desc", "seasonal_desc")
 
 
 OBSERVATION_KEY = ["series_id", "year", "period"]

@@ -250,7 +250,7 @@ def scd1_stream(spark, src):
 def surrogate_key(spark, src):
     """Series keys through the range-partitioned (multi-task) numbering."""
     p = _p(spark, src)
-    ids = p.silver_series.select(F.trim("series_id").alias("series_id"))
+    ids = S.series_codes(p.bronze["brz_pr_series"]).select(F.trim("series_id").alias("series_id"))
     return assign_surrogate_keys(measured(ids), ["series_id"], "series_sk",
                                  single_task_max_rows=0).df
 
@@ -320,6 +320,7 @@ def year_sum(spark, src):
 @query
 def q2_best_year(spark, src):
     p = _p(spark, src)
+    p.prepare(series=True)
     d = p.gold_dims
     return Q.q2_best_year(p.fact_productivity(Q.FACT_COLUMNS), d["period"], p.gold_dim_series, d["class"],
                           d["measure"], d["duration"], d["sector"])
@@ -328,6 +329,7 @@ def q2_best_year(spark, src):
 @query
 def q2_best_year_sql(spark, src):
     p = _p(spark, src)
+    p.prepare(series=True)
     views = {n: p.gold_dims[n].df for n in ("period", "class", "sector", "duration", "measure")}
     views = {f"gold_dim_{n}": v for n, v in views.items()}
     views["gold_dim_series"] = p.gold_dim_series.df
@@ -361,6 +363,7 @@ def tsv_pipeline_best_year(spark, src):
     root = scratch_path(spark, "tsv-landing")
     L.land_tsv(L.from_tables(spark, src), root)
     p = Pipeline(spark, L.TsvLanding(spark, root))
+    p.prepare(series=True)
     d = p.gold_dims
     return Q.q2_best_year(p.fact_productivity(Q.FACT_COLUMNS), d["period"], p.gold_dim_series,
                           d["class"], d["measure"], d["duration"], d["sector"])
@@ -427,6 +430,7 @@ def first_row(spark, src):
 @query
 def dq_report(spark, src):
     p = _p(spark, src)
+    p.prepare(series=True)
     tables = {
         "brz_pr_data_0_current": (p.bronze["brz_pr_data_0_current"], EX.BRONZE["brz_pr_data_0_current"]),
         "brz_pr_data_1_alldata": (p.bronze["brz_pr_data_1_alldata"], EX.BRONZE["brz_pr_data_1_alldata"]),
@@ -444,6 +448,7 @@ def dq_report(spark, src):
 @query
 def key_uniqueness(spark, src):
     p = _p(spark, src)
+    p.prepare(series=True)
     parts = []
     for name, df in (("gold_dim_period", p.gold_dims["period"].df),
                      ("gold_dim_series", p.gold_dim_series.df),
