@@ -37,11 +37,14 @@ def measured(df: DataFrame, cache: bool = True) -> Dim:
     return Dim(df, df.count())
 
 
-def measured_all(dfs: dict[str, DataFrame], cache: bool = True) -> dict[str, Dim]:
+def measured_all(dfs: dict[str, DataFrame], cache: bool | set[str] = True) -> dict[str, Dim]:
     """Count several dimensions in one job (one small row per dimension comes
-    back to the driver), caching each so later joins reuse the rows."""
+    back to the driver).  ``cache`` (all, or a set of names) keeps the rows
+    of costly dimensions so later joins reuse them; cheap ones derived from
+    small tables are simply recomputed inside the plans that use them."""
     from functools import reduce
-    frames = {n: (df.cache() if cache else df) for n, df in dfs.items()}
+    keep = set(dfs) if cache is True else (set() if cache is False else set(cache))
+    frames = {n: (df.cache() if n in keep else df) for n, df in dfs.items()}
     counts = reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
         for n, df in frames.items()])

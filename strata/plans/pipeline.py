@@ -56,7 +56,7 @@ class Pipeline:
             todo["_series"] = G.gold_dim_series_frame(S.series_codes(self.bronze["brz_pr_series"]))
         if not todo:
             return
-        got = measured_all(todo)
+        got = measured_all(todo, cache={"_series"})
         if "_series" in got:
             self.__dict__["_series_frame"] = got.pop("_series")
         if got:
