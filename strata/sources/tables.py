@@ -17,11 +17,11 @@ SCHEMAS = {
     "part": ("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
              "p_retailprice DOUBLE"),
     "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-               "o_orderdate TIMESTAMP, o_orderpriority STRING"),
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
     "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
                  "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
-                 "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP"),
-    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+                 "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
     "pages": "page_id BIGINT, url STRING, html STRING",
 }
 
