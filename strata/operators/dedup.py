@@ -19,9 +19,3 @@ def keep_first(df: DataFrame, keys: list[str], order: list[By]) -> DataFrame:
     winner = order_struct(df.schema, order, payload)
     out = df.groupBy(*keys).agg(F.min(winner).alias("_first"))
     return out.select(*keys, *[F.col("_first")[c].alias(c) for c in payload]).select(*df.columns)
-
-
-def drop_duplicates_any(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Spark's own ``dropDuplicates`` (survivor unspecified), for parity with
-    pipelines that accept any survivor."""
-    return df.dropDuplicates(keys)

@@ -17,10 +17,8 @@ from .functions import codes
 from .functions.names import clean_column_names, clean_column_names_nested
 from .operators import quality
 from .operators.cdc import scd1
-from .operators.dedup import keep_first
 from .operators.keys import assign_surrogate_keys, extend_surrogate_keys
-from .operators.lookup import Dim, measured
-from .operators.ordering import By
+from .operators.lookup import measured
 from .plans import expectations as EX
 from .plans import questions as Q
 from .plans import silver as S
