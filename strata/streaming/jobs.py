@@ -22,11 +22,19 @@ from ..operators.cdc import sequence_struct
 from . import snapshots
 
 
-def run_available_now(stream_writer, checkpoint: str) -> None:
-    q = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available_now(stream_writer, checkpoint: str, processing_time: str | None = None):
+    """Run a streaming write.  Default: process everything available now and
+    stop (scheduled runs).  With ``processing_time`` (e.g. ``"1 minute"``)
+    the query keeps running with that trigger and is returned to the caller
+    (who stops it)."""
+    w = stream_writer.option("checkpointLocation", checkpoint)
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise q.exception()
+    return q
 
 
 def ingest_bronze(stream: DataFrame, table_path: str, checkpoint: str) -> None:
@@ -34,8 +42,19 @@ def ingest_bronze(stream: DataFrame, table_path: str, checkpoint: str) -> None:
                       .outputMode("append"), checkpoint)
 
 
-def dedup_first_seen(stream: DataFrame, keys: list[str], table_path: str, checkpoint: str) -> None:
-    run_available_now(stream.dropDuplicates(keys).writeStream.format("parquet")
+def dedup_first_seen(stream: DataFrame, keys: list[str], table_path: str, checkpoint: str,
+                     watermark: tuple[str, str] | None = None) -> None:
+    """First-seen row per key.  Without ``watermark`` every key is remembered
+    forever (state grows with the number of distinct keys).  With
+    ``watermark=(event_time_column, delay)`` a key is remembered only until
+    the watermark passes it, which bounds the state at the cost of letting a
+    key re-appear after the delay."""
+    if watermark:
+        col, delay = watermark
+        deduped = stream.withWatermark(col, delay).dropDuplicatesWithinWatermark(keys)
+    else:
+        deduped = stream.dropDuplicates(keys)
+    run_available_now(deduped.writeStream.format("parquet")
                       .option("path", table_path).outputMode("append"), checkpoint)
 
 

@@ -78,3 +78,14 @@ def test_stream_dedup_first_seen_wins(spark):
     got = _rows(spark.read.parquet(out).select("nation_id", "nation"))
     assert got == _rows(loads.filter("load_no = 1").select("nation_id", "nation").distinct())
     loads.unpersist()
+
+
+def test_watermarked_dedup_bounds_state(spark):
+    root = scratch_path(spark, "events-in")
+    spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:05"), (2, "2024-01-01 00:00:01")],
+        "k INT, t STRING").withColumn("t", F.to_timestamp("t")).write.parquet(root)
+    out, ckpt = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
+    stream = spark.readStream.schema("k INT, t TIMESTAMP").parquet(root)
+    jobs.dedup_first_seen(stream, ["k"], out, ckpt, watermark=("t", "1 hour"))
+    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == [1, 2]
