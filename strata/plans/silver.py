@@ -119,7 +119,7 @@ def population_records(bronze: DataFrame, keep: list[str] | None = None) -> Data
     flat = clean_column_names_nested(rec.select("_r.*", "record_pos", *keep))
     return flat.withColumns({
         "year": F.col("year").try_cast("int"),
-        "population": F.col("population").cast("long"),
+        "population": F.col("population").try_cast("long"),
     })
 
 
