@@ -14,21 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Top-level fields of a landed page as bronze reads them.
+# Top-level fields of a landed page as bronze reads them, and
+# the number of records per API page.
 PAGE_SCHEMA = "data STRING, load_no INT"
+PAGE_SIZE = 5000
 JSON_READ_OPTIONS = {"multiLine": "true", "recursiveFileLookup": "true"}
 
 
-def write_population_pages(loads: DataFrame, root: str, load_no: int, load_date: str) -> None:
-    """Write one load as pages: one document per (load, year), records keyed
-    like the API ("Nation ID", "Nation", "Year", "Population").  A page holds
-    one year's nations, so a page is bounded by the number of nations."""
+def write_population_pages(loads: DataFrame, root: str, load_no: int, load_date: str,
+                           page_size: int = PAGE_SIZE) -> None:
+    """Write one load as API-like pages: documents of at most about
+    ``page_size`` records keyed like the API ("Nation ID", "Nation", "Year",
+    "Population").  Records of one year are hashed into
+    ``ceil(count / page_size)`` pages (the per-year counts are a small table),
+    so no page -- and no task building one -- collects an unbounded group."""
     yyyy, mm, dd = load_date.split("-")
     rec = F.struct(F.col("nation_id").alias("Nation ID"), F.col("nation").alias("Nation"),
                    F.col("year").cast("string").alias("Year"),
                    F.col("population").cast("double").alias("Population"))
-    pages = (loads.filter(F.col("load_no") == load_no)
-             .groupBy("load_no", F.col("year").cast("string").alias("page"))
+    one = loads.filter(F.col("load_no") == load_no)
+    per_year = one.groupBy("year").agg(
+        F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("_pages"))
+    paged = one.join(per_year, "year").withColumn(
+        "page", F.concat_ws("-", F.col("year").cast("string"),
+                            F.pmod(F.xxhash64("nation_id"), F.col("_pages")).cast("string")))
+    pages = (paged.groupBy("load_no", "page")
              .agg(F.sort_array(F.collect_list(rec)).alias("data"))
              .withColumns({"yyyy": F.lit(yyyy), "mm": F.lit(mm), "dd": F.lit(dd)}))
     (pages.repartition("yyyy", "mm", "dd", "page")

@@ -48,3 +48,19 @@ def test_tsv_unparsable_numbers_are_null(spark, tmp_path):
     p.write_text("series_id\tyear\tperiod\tvalue\tfootnote_codes\nPRS1\t199X\tQ01\t-\t\n")
     got = read_tsv(spark, str(p), LANDING_DDL["data_0_current"]).collect()
     assert [tuple(r) for r in got] == [("PRS1", None, "Q01", None, None)]
+
+
+def test_json_pages_are_bounded_and_complete(spark):
+    import math
+    from strata.plans import silver as S
+    from strata.sources import json_pages
+    from strata.sources import landing as L
+    from conftest import SF_SMALL
+    loads = L.landing_population_loads(spark, SF_SMALL).filter("load_no = 1")
+    root = scratch_path(spark, "pages")
+    json_pages.write_population_pages(loads, root, 1, "2024-01-01", page_size=4)
+    pages = json_pages.read_pages(spark, root)
+    per_year = {r["year"]: r["n"] for r in loads.groupBy("year").agg(F.count("*").alias("n")).collect()}
+    assert pages.count() <= sum(math.ceil(n / 4) for n in per_year.values())
+    assert pages.count() > len(per_year)
+    assert S.population_records(pages, keep=[]).count() == loads.count()
