@@ -50,9 +50,14 @@ def gold_dim_series(silver_series: DataFrame | Dim) -> Dim:
     return assign_surrogate_keys(dim, SERIES_COLUMNS, "series_sk")
 
 
-def gold_dim_nation(silver_nation: DataFrame) -> Dim:
-    df = silver_nation.withColumnRenamed("nation", "name").select("nation_id", "name")
-    return assign_surrogate_keys(measured(df), ["nation_id", "name"], "nation_sk")
+def gold_dim_nation_frame(silver_nation: DataFrame) -> DataFrame:
+    return silver_nation.withColumnRenamed("nation", "name").select("nation_id", "name")
+
+
+def gold_dim_nation(silver_nation: DataFrame | Dim) -> Dim:
+    """Dense nation keys; accepts the gold nation frame already measured."""
+    dim = silver_nation if isinstance(silver_nation, Dim) else measured(gold_dim_nation_frame(silver_nation))
+    return assign_surrogate_keys(dim, ["nation_id", "name"], "nation_sk")
 
 
 FACT_PRODUCTIVITY_COLUMNS = [

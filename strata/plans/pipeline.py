@@ -45,20 +45,23 @@ class Pipeline:
         self.prepare(series=False)
         return self.__dict__["silver_dims"]
 
-    def prepare(self, series: bool = True) -> None:
+    def prepare(self, series: bool = True, nation: bool = False, codes: bool = True) -> None:
         """Size-check (count) the dimensions a question needs in one job:
-        the code dimensions and, when asked, the gold series dimension
-        (which does not depend on them)."""
+        the code dimensions, and when asked the gold series and nation
+        dimensions (neither depends on the code dimensions)."""
         todo: dict[str, DataFrame] = {}
-        if "silver_dims" not in self.__dict__:
+        if codes and "silver_dims" not in self.__dict__:
             todo.update({n: self.silver_dim(n) for n in G.DIMENSIONS})
         if series and "_series_frame" not in self.__dict__:
             todo["_series"] = G.gold_dim_series_frame(S.series_codes(self.bronze["brz_pr_series"]))
+        if nation and "_nation_frame" not in self.__dict__:
+            todo["_nation"] = G.gold_dim_nation_frame(self.silver_population_nation)
         if not todo:
             return
-        got = measured_all(todo, cache={"_series"})
-        if "_series" in got:
-            self.__dict__["_series_frame"] = got.pop("_series")
+        got = measured_all(todo, cache={"_series", "_nation"})
+        for key in ("_series", "_nation"):
+            if key in got:
+                self.__dict__[key + "_frame"] = got.pop(key)
         if got:
             self.__dict__["silver_dims"] = got
 
@@ -97,7 +100,8 @@ class Pipeline:
 
     @cached_property
     def gold_dim_nation(self) -> Dim:
-        return G.gold_dim_nation(self.silver_population_nation)
+        self.prepare(series=False, nation=True, codes=False)
+        return G.gold_dim_nation(self.__dict__["_nation_frame"])
 
     @cached_property
     def gold_fact_productivity(self) -> DataFrame:

@@ -347,6 +347,7 @@ def q1_mean_stddev_sql(spark, src):
 @query
 def q3_series_population_sql(spark, src):
     p = _p(spark, src)
+    p.prepare(series=False, nation=True)
     views = {"gold_fact_productivity": p.fact_productivity(Q.FACT_COLUMNS),
              "gold_dim_period": p.gold_dims["period"].df,
              "gold_fact_population": p.gold_fact_population}
@@ -400,6 +401,7 @@ def pipeline_run_best_year(spark, src):
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)
+    p.prepare(series=False, nation=True)
     return Q.q3_series_population(p.fact_productivity(Q.FACT_COLUMNS), p.gold_dims["period"],
                                   p.gold_fact_population, Q3_SERIES, Q3_PERIOD)
 
@@ -428,7 +430,7 @@ def first_row(spark, src):
 @query
 def dq_report(spark, src):
     p = _p(spark, src)
-    p.prepare(series=True)
+    p.prepare(series=True, nation=True)
     tables = {
         "brz_pr_data_0_current": (p.bronze["brz_pr_data_0_current"], EX.BRONZE["brz_pr_data_0_current"]),
         "brz_pr_data_1_alldata": (p.bronze["brz_pr_data_1_alldata"], EX.BRONZE["brz_pr_data_1_alldata"]),
@@ -446,7 +448,7 @@ def dq_report(spark, src):
 @query
 def key_uniqueness(spark, src):
     p = _p(spark, src)
-    p.prepare(series=True)
+    p.prepare(series=True, nation=True)
     parts = []
     for name, df in (("gold_dim_period", p.gold_dims["period"].df),
                      ("gold_dim_series", p.gold_dim_series.df),
