@@ -27,6 +27,8 @@ def _check_unique(old: list[str], new: list[str], where: str) -> None:
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Top-level names only; a pure rename (no data touched)."""
     new = [clean_name(c) for c in df.columns]
+    if new == df.columns:
+        return df
     _check_unique(df.columns, new, "")
     return df.toDF(*new)
 

@@ -19,8 +19,8 @@ TEXT_SUFFIXES = ("_text", "_name")
 
 def silver_dim(bronze: DataFrame) -> DataFrame:
     """Trim every *_text / *_name column (codes and abbreviations untouched)."""
-    trimmed = {c: F.trim(F.col(c)) for c in bronze.columns if c.endswith(TEXT_SUFFIXES)}
-    return bronze.withColumns(trimmed).drop("load_timestamp")
+    return bronze.select(*[F.trim(F.col(c)).alias(c) if c.endswith(TEXT_SUFFIXES) else F.col(c)
+                           for c in bronze.columns if c != "load_timestamp"])
 
 
 def silver_period(bronze: DataFrame) -> DataFrame:
