@@ -50,8 +50,10 @@ def read_table(spark: SparkSession, src_dir: str, name: str, spread: bool = True
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     df = reader.parquet(path)
-    if spread and _bytes(spark, path) >= SPREAD_MIN_BYTES:
+    if spread:
+        # Split count first (planned from the scan's own file index, which the
+        # query reuses); the size listing only runs for tables with few splits.
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if df.rdd.getNumPartitions() < cores and _bytes(spark, path) >= SPREAD_MIN_BYTES:
             df = df.repartition(cores, *df.columns[:2])
     return df
