@@ -32,28 +32,29 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+# Fixed rules: one observation per line item.  series_id is the 17-character,
+# blank-padded code PR + seasonal (S/U) + sector (4) + class (1) + measure (2)
+# + duration (1).  Written as SQL expressions: one parsed projection instead
+# of dozens of separately built column objects.
+OBSERVATION_EXPRS = {
+    "series_id": ("rpad('PR' || CASE WHEN l_suppkey % 2 = 0 THEN 'S' ELSE 'U' END"
+                  " || lpad(CAST(l_suppkey % 20 * 100 AS STRING), 4, '0')"
+                  " || CASE WHEN l_returnflag = 'A' THEN '3' ELSE '6' END"
+                  " || lpad(CAST(l_partkey % 5 AS STRING), 2, '0')"
+                  " || CAST(l_partkey % 3 + 1 AS STRING), 17, ' ')"),
+    "year": "CAST(year(l_shipdate) AS INT)",
+    "period": ("CASE WHEN l_linenumber <= 4 THEN 'Q0' || CAST(quarter(l_shipdate) AS STRING)"
+               " WHEN l_linenumber = 5 THEN 'M' || lpad(CAST(month(l_shipdate) AS STRING), 2, '0')"
+               " WHEN l_linenumber = 6 THEN 'S0' || CASE WHEN month(l_shipdate) <= 6 THEN '1' ELSE '2' END"
+               " WHEN l_suppkey % 3 = 0 THEN 'Q05' WHEN l_suppkey % 3 = 1 THEN 'M13' ELSE 'S03' END"),
+    "value": "l_quantity",
+    "footnote_codes": "CASE WHEN l_returnflag = 'R' THEN 'R' END",
+}
+
+
 def observations(lineitem: DataFrame) -> DataFrame:
     """series_id (17 chars, blank padded), year, period, value, footnote_codes."""
-    sk, pk = F.col("l_suppkey"), F.col("l_partkey")
-    series_id = F.rpad(F.concat(
-        F.lit("PR"),
-        F.when(sk % 2 == 0, "S").otherwise("U"),
-        F.lpad(_s(sk % 20 * 100), 4, "0"),
-        F.when(F.col("l_returnflag") == "A", "3").otherwise("6"),
-        F.lpad(_s(pk % 5), 2, "0"),
-        _s(pk % 3 + 1)), 17, " ")
-    ship = F.col("l_shipdate")
-    line = F.col("l_linenumber")
-    period = (F.when(line <= 4, F.concat(F.lit("Q0"), _s(F.quarter(ship))))
-              .when(line == 5, F.concat(F.lit("M"), F.lpad(_s(F.month(ship)), 2, "0")))
-              .when(line == 6, F.concat(F.lit("S0"), F.when(F.month(ship) <= 6, "1").otherwise("2")))
-              .when(sk % 3 == 0, "Q05").when(sk % 3 == 1, "M13").otherwise("S03"))
-    return lineitem.select(
-        series_id.alias("series_id"),
-        F.year(ship).cast("int").alias("year"),
-        period.alias("period"),
-        F.col("l_quantity").alias("value"),
-        F.when(F.col("l_returnflag") == "R", "R").alias("footnote_codes"))
+    return lineitem.selectExpr(*[f"{e} AS {name}" for name, e in OBSERVATION_EXPRS.items()])
 
 
 def data_alldata(lineitem: DataFrame) -> DataFrame:
