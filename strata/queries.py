@@ -228,7 +228,7 @@ BRONZE_POPULATION_SCHEMA = ("data STRING, load_no INT, load_timestamp TIMESTAMP,
 @query
 def scd1_stream(spark, src):
     """JSON pages -> bronze table (stream 1); bronze table -> keyed upsert
-    into the silver snapshot table (stream 2, reading the bronze table as a
+    into the bucketed silver table (stream 2, reading the bronze table as a
     stream).  Three loads, each picked up by an available-now run."""
     def job(stream, out, ckpt):
         bronze = f"{ckpt}/bronze-table"

@@ -1,2 +1,2 @@
 """Structured Streaming jobs: incremental file ingest, streaming
-de-duplication and keyed upserts into versioned snapshot tables."""
+de-duplication and keyed upserts into key-hash-bucketed tables."""
