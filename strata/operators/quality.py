@@ -49,19 +49,24 @@ def violation_counts(df: DataFrame, rules: list[Expectation]) -> DataFrame:
 
 
 def quality_report(tables: dict[str, tuple[DataFrame, list[Expectation]]]) -> DataFrame:
-    """Long report: table, rule, action, failed_rows, total_rows."""
-    parts = []
+    """Long report: table, rule, action, failed_rows, total_rows.
+
+    Tables given as the *same* DataFrame object (e.g. two layers that share
+    their rows) are counted together in one aggregation pass."""
+    groups: dict[int, tuple[DataFrame, list[tuple[str, Expectation]]]] = {}
     for table, (df, rules) in tables.items():
-        if not rules:
+        groups.setdefault(id(df), (df, []))[1].extend((table, r) for r in rules)
+    parts = []
+    for df, tagged in groups.values():
+        if not tagged:
             continue
-        wide = violation_counts(df, rules)
+        wide = violation_counts(df, [r for _, r in tagged])
         rows = F.array(*[
-            F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
+            F.struct(F.lit(t).alias("table_name"), F.lit(r.name).alias("rule"),
+                     F.lit(r.action).alias("action"),
                      F.col(f"_r{i}").cast("bigint").alias("failed_rows"))
-            for i, r in enumerate(rules)])
-        parts.append(wide.select(F.lit(table).alias("table_name"),
-                                 F.col("_rows").cast("bigint").alias("total_rows"),
-                                 F.inline(rows))
+            for i, (t, r) in enumerate(tagged)])
+        parts.append(wide.select(F.col("_rows").cast("bigint").alias("total_rows"), F.inline(rows))
                          .select("table_name", "rule", "action", "failed_rows", "total_rows"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -431,14 +431,17 @@ def first_row(spark, src):
 def dq_report(spark, src):
     p = _p(spark, src)
     p.prepare(series=True, nation=True)
+    prod = p.fact_productivity(["series_id", "year", "period", "value", "class_sk", "duration_sk",
+                                "footnote_sk", "measure_sk", "period_sk", "sector_sk"])
     tables = {
         "brz_pr_data_0_current": (p.bronze["brz_pr_data_0_current"], EX.BRONZE["brz_pr_data_0_current"]),
         "brz_pr_data_1_alldata": (p.bronze["brz_pr_data_1_alldata"], EX.BRONZE["brz_pr_data_1_alldata"]),
         "brz_pr_sector": (p.bronze["brz_pr_sector"], EX.BRONZE["brz_pr_sector"]),
         "brz_pr_series": (p.bronze["brz_pr_series"], EX.BRONZE["brz_pr_series"]),
         "slv_pr_series": (p.silver_series, EX.SILVER["slv_pr_series"]),
-        "slv_pr_productivity": (p.silver_productivity, EX.SILVER["slv_pr_productivity"]),
-        "gold_fact_productivity": (p.gold_fact_productivity, EX.GOLD["gold_fact_productivity"]),
+        # same rows (lookups are left joins on unique keys): one pass for both
+        "slv_pr_productivity": (prod, EX.SILVER["slv_pr_productivity"]),
+        "gold_fact_productivity": (prod, EX.GOLD["gold_fact_productivity"]),
         "gold_fact_population": (p.gold_fact_population,
                                  EX.GOLD["gold_fact_population"] + EX.POPULATION_VALUE_RULES),
     }

@@ -151,3 +151,13 @@ def test_uniqueness_and_orphans(spark):
     assert quality.orphan_keys(fact, dim, "nation_sk").count() == 0
     bad = spark.createDataFrame([(9, 2020), (None, 2020)], "nation_sk LONG, year INT")
     assert _rows(quality.orphan_keys(bad, dim, "nation_sk").fillna(-1)) == [(-1,), (9,)]
+
+
+def test_quality_report_shares_one_pass_for_one_frame(spark):
+    df = spark.createDataFrame([(1, None), (None, 2)], "a INT, b INT")
+    r1 = [quality.expect("a_set", "a IS NOT NULL")]
+    r2 = [quality.expect_or_fail("b_set", "b IS NOT NULL")]
+    report = quality.quality_report({"t1": (df, r1), "t2": (df, r2)})
+    assert _rows(report) == [("t1", "a_set", "warn", 1, 2), ("t2", "b_set", "fail", 1, 2)]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
