@@ -62,8 +62,14 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key
     refreshed = incoming.join(old_keys, business_key, "inner").select(sk, *incoming.columns)
     gone = existing.join(incoming.select(*business_key), business_key, "left_anti").select(sk, *incoming.columns)
     new = incoming.join(old_keys.select(*business_key), business_key, "left_anti")
-    top = existing.agg(F.coalesce(F.max(sk), F.lit(0)).alias("_top")).first()["_top"]
-    new_dim = Dim(new, new.count())
+    # current maximum key and the number of new keys, in one job (two scalars)
+    stats = (existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("_v"))
+             .select(F.lit("top").alias("_k"), "_v")
+             .unionByName(new.agg(F.count(F.lit(1)).cast("bigint").alias("_v"))
+                          .select(F.lit("new").alias("_k"), "_v")))
+    got = {r["_k"]: int(r["_v"]) for r in stats.collect()}
+    top = got["top"]
+    new_dim = Dim(new, got["new"])
     numbered = assign_surrogate_keys(new_dim, business_key, sk, start=int(top) + 1,
                                      single_task_max_rows=single_task_max_rows).df
     return refreshed.unionByName(gone).unionByName(numbered)
