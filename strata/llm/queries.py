@@ -79,7 +79,7 @@ FROM r LEFT JOIN k USING (doc_id) GROUP BY doc_id"""
 _OP4 = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 u AS (SELECT *, list_inner_product(e, e) AS q FROM v
-      WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
       AND len(a.e) = len(b.e) WHERE a.q > 0 AND b.q > 0 AND list_inner_product(a.e, b.e) >= 0.98 * sqrt(a.q) * sqrt(b.q)),
 r(vec_id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id),
