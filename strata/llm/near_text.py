@@ -217,7 +217,8 @@ def near_texts(docs: DataFrame, least: float = JACCARD, k: int = SHINGLE, trees:
     members = stage(groups.join(nodes.select("key", "first_id", "copies"), "key"), "near-members")
     counts = members.groupBy("root").agg(F.count("*").alias("n"))
     dealt = block_cells(members, counts, ["root"], F.xxhash64("key"), block)
-    texts = rows.alias("t").join(members.select("key", "first_id").alias("m"),
+    # Members grow with the corpus: always a merge join, whatever size they have by chance.
+    texts = rows.alias("t").join(members.select("key", "first_id").alias("m").hint("merge"),
                                  (F.col("t.key") == F.col("m.key")) & F.col("t.doc_id").eqNullSafe(F.col("m.first_id"))) \
                 .select("t.key", "t.text")
     cells = (dealt.select("cell", "key", "copies", "block", "other").join(texts, "key")
