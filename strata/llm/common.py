@@ -37,6 +37,18 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
 
 
+_MEMO: list = []
+
+
+def use_memo(owner) -> None:
+    """A worker keeps what it has learnt about words for one operator at a time:
+    Spark hands the same Python processes from stage to stage."""
+    if not _MEMO or _MEMO[0] is not owner:
+        for other in _MEMO:
+            other.forget()
+        _MEMO[:] = [owner]
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import fresh, map_arrow
+from .common import fresh, map_arrow, use_memo
 
 SAMPLE = 1500              # documents of each language that the model is fitted on, about
 SMOOTHING = 0.5            # added to every piece count
-WORDS_KEPT = 600_000       # words whose scores a worker keeps
+WORDS_KEPT = 300_000       # words whose scores a worker keeps
 LONG = 40                  # characters from which a word is scored on its own
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,8 +50,11 @@ class Model:
         self.p /= total
         self.table = {w: i + 1 for i, w in enumerate(vocab)}
         self.longest = max(map(len, vocab), default=1)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.scores = np.empty((0, len(langs)))
+        self.scores = np.empty((0, len(self.langs)))
 
     def _piece(self, s: str, i: int, j: int) -> int:
         return self.table.get(s[i:j], 0 if j == i + 1 else -1)
@@ -155,7 +158,8 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample: int = SAMPLE) ->
                 .select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     per = train.groupBy("lang").agg(F.count("*").alias("n"))
     part = F.abs(F.xxhash64("doc_id") % F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = train.join(per, "lang").where(part * F.col("n") <= sample).select("lang", "text")
+    # One row per language, as the model has a column per language.
+    drawn = train.join(F.broadcast(per), "lang").where(part * F.col("n") <= sample).select("lang", "text")
     counts = (map_arrow(drawn, _count_pieces(vocabulary), "lang string, piece string, n bigint")
               .groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas())
     vocab = pieces(vocabulary)
@@ -171,6 +175,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample: int = SAMPLE) ->
 def _predict(model, text_at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
+        use_memo(m)
         langs = np.array([*m.langs, UNKNOWN], object)
         for b in batches:
             logs, has = m.logs(b.column(text_at).to_pylist())

@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, use_memo
 
 START = "▁"                # marks a word's first piece
-WORDS_KEPT = 600_000       # words whose counts a worker keeps
+WORDS_KEPT = 300_000       # words whose counts a worker keeps
 LONG = 64                  # longer words are counted each time
 
 
@@ -89,14 +89,25 @@ class Automaton:
         return n
 
 
-_MADE: dict[str, tuple[Automaton, dict[str, int]]] = {}
+class Counts:
+    """Counts of the words met by a worker."""
+
+    def __init__(self, path: str):
+        self.auto, self.known = Automaton(load_pieces(path)), {}
+
+    def forget(self) -> None:
+        self.known.clear()
+
+
+_MADE: dict[str, Counts] = {}
 
 
 def _counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _MADE:
-            _MADE[path] = Automaton(load_pieces(path)), {}
-        auto, known = _MADE[path]
+            _MADE[path] = Counts(path)
+        use_memo(_MADE[path])
+        auto, known = _MADE[path].auto, _MADE[path].known
         for b in batches:
             n_words, n_tokens = [], []
             for text in b.column(1).to_pylist():

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import map_arrow, text_key
+from .common import map_arrow, text_key, use_memo
 
 END_ID = 2
 BLOCK = 1 << 18            # ids after which a block ends (at the end of a document)
-WORDS_KEPT = 600_000       # words of a generation whose ids a worker keeps
+WORDS_KEPT = 300_000       # words of a generation whose ids a worker keeps
 
 
 def default_tokenizer() -> str:
@@ -62,6 +62,9 @@ class WordEncoder:
         self.ends[[i for t, i in self.vocab.items() if t.endswith("</w>")]] = True
         # Two generations of known words (and of their parts): when the younger
         # is full, the older one goes; words still in use move up.
+        self.forget()
+
+    def forget(self) -> None:
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -136,6 +139,7 @@ _RAW_DDL = ("part int, seq int, start bigint, doc_ids array<bigint>, n_tokens ar
 def _encode_blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(path), TaskContext.get().partitionId()
+        use_memo(enc)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
         counts = np.zeros(enc.size, np.int64)
