@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow
 
 SAMPLE = 2000              # labelled pages that the weights are fitted on, about
+UNFITTED = {"word": 2.0}   # without labelled pages: one word outweighs a heading's tags
 LOWEST = {"left": -6.0}    # a left-out element within the text must not cut it off
 
 # Fixed values of the HTML standard: elements whose content is not markup,
@@ -176,7 +177,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     rows = (map_arrow(drawn, _count_tokens, "token string, inner bigint, outer bigint")
             .groupBy("token").agg(F.sum("inner"), F.sum("outer")).collect())
     n_in, n_out = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    weights = {"word": 0.5}
+    weights = dict(UNFITTED)
     for token, a, b in rows if n_in and n_out else []:
         ratio = math.log((a + 1) / (n_in + len(rows))) - math.log((b + 1) / (n_out + len(rows)))
         weights[token] = max(0.05, min(3.0, ratio)) if token == "word" else min(-0.05, max(LOWEST.get(token, -12.0), ratio))
