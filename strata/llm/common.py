@@ -99,7 +99,7 @@ def text_key(text) -> F.Column:
 _WORD = np.zeros(256, bool)
 _WORD[[c for c in range(128) if chr(c).isalnum()]] = True
 _WORD[128:] = True
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
