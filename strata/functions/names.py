@@ -1,64 +1,64 @@
 """Column-name cleaning (flat and nested).
 
-Rule: drop tab characters, turn spaces into underscores, strip leading and
-trailing underscores, lower-case.  ``" Leading Space"`` -> ``leading_space``.
+Rule: tabs vanish, every blank becomes an underscore, letters become lower
+case, and no underscore stays at either end.  Two columns of one level that
+would get the same name are an error.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import StructType
+
+_LETTERS = str.maketrans({"\t": None, " ": "_"})
 
 
 def clean_name(name: str) -> str:
-    return name.replace("\t", "").replace(" ", "_").strip("_").lower()
+    return name.translate(_LETTERS).lower().strip("_")
 
 
-def _check_unique(old: list[str], new: list[str], where: str) -> None:
-    seen: dict[str, str] = {}
-    for o, n in zip(old, new):
-        if n in seen:
-            raise ValueError(
-                f"column-name cleaning maps {seen[n]!r} and {o!r} to the same name {n!r}{where}")
-        seen[n] = o
+def _renaming(names: list[str], where: str) -> dict[str, str]:
+    """Old to new names of one level; raises if two old ones meet."""
+    by_new: dict[str, list[str]] = defaultdict(list)
+    for n in names:
+        by_new[clean_name(n)].append(n)
+    for new, old in by_new.items():
+        if len(old) > 1:
+            raise ValueError(f"columns {old} of {where} would all be named {new!r}")
+    return {old[0]: new for new, old in by_new.items()}
 
 
-def clean_column_names(df: DataFrame) -> DataFrame:
-    """Top-level names only; a pure rename (no data touched)."""
-    new = [clean_name(c) for c in df.columns]
-    if new == df.columns:
-        return df
-    _check_unique(df.columns, new, "")
-    return df.toDF(*new)
+def clean_schema(schema: StructType) -> StructType:
+    """The schema with cleaned names at every depth.  Works on the schema's
+    JSON form, where each struct, however it is nested, is a list of fields."""
+    tree = schema.jsonValue()
+    pending = [("the table", tree)]
+    while pending:
+        where, node = pending.pop()
+        if isinstance(node, dict) and isinstance(node.get("fields"), list):
+            new = _renaming([f["name"] for f in node["fields"]], where)
+            for f in node["fields"]:
+                f["name"] = new[f["name"]]
+                pending.append((f["name"], f["type"]))
+        elif isinstance(node, dict):
+            pending.extend((where, node[k]) for k in ("elementType", "keyType", "valueType") if k in node)
+    return StructType.fromJson(tree)
 
 
-def clean_type(dt: DataType, path: str = "") -> DataType:
-    """Rebuild a type with cleaned field names inside structs, array elements
-    and map keys/values, keeping nullability and field metadata."""
-    if isinstance(dt, StructType):
-        names = [f.name for f in dt.fields]
-        new = [clean_name(n) for n in names]
-        _check_unique(names, new, f" inside {path or 'struct'}")
-        return StructType([
-            StructField(n, clean_type(f.dataType, f"{path}.{n}"), f.nullable, f.metadata)
-            for n, f in zip(new, dt.fields)])
-    if isinstance(dt, ArrayType):
-        return ArrayType(clean_type(dt.elementType, path + "[]"), dt.containsNull)
-    if isinstance(dt, MapType):
-        return MapType(clean_type(dt.keyType, path + "{key}"),
-                       clean_type(dt.valueType, path + "{value}"), dt.valueContainsNull)
-    return dt
+def clean_column_names(df: DataFrame) -> DataFrame:
+    """Top-level names only; a pure rename (no data touched)."""
+    new = _renaming(df.columns, "the table")
+    return df if all(k == v for k, v in new.items()) else df.toDF(*[new[c] for c in df.columns])
 
 
 def clean_column_names_nested(df: DataFrame) -> DataFrame:
-    """Clean top-level and nested names.  Nested renames are a cast to the
-    rebuilt type (struct casts are positional, so values are untouched)."""
-    new = [clean_name(c) for c in df.columns]
-    _check_unique(df.columns, new, "")
-    cols = []
-    for field, name in zip(df.schema.fields, new):
-        target = clean_type(field.dataType, name)
-        c = F.col(f"`{field.name}`")
-        cols.append((c.cast(target) if target != field.dataType else c).alias(name))
-    return df.select(*cols)
+    """Names at every depth.  A column whose inner names change is cast to its
+    cleaned type; struct casts go by position, so values stay as they are."""
+    out = []
+    for was, now in zip(df.schema, clean_schema(df.schema)):
+        col = F.col("`" + was.name.replace("`", "``") + "`")
+        out.append((col if was.dataType == now.dataType else col.cast(now.dataType)).alias(now.name))
+    return df.select(*out)
