@@ -60,11 +60,11 @@ _PNUM = "TRY_CAST(substring(period, 2, 2) AS INTEGER)"
 _OBS_DATE = f"""CASE WHEN period LIKE 'Q%' THEN CASE WHEN {_PNUM} = 1 THEN make_date(year, 3, 31)
                                     WHEN {_PNUM} = 2 THEN make_date(year, 6, 30)
                                     WHEN {_PNUM} = 3 THEN make_date(year, 9, 30)
-                                    ELSE make_date(year, 12, 31) END
+                                    WHEN {_PNUM} IS NOT NULL THEN make_date(year, 12, 31) END
           WHEN period LIKE 'M%' THEN CASE WHEN {_PNUM} = 13 THEN make_date(year, 12, 31)
                                     WHEN {_PNUM} BETWEEN 1 AND 12 THEN last_day(make_date(year, {_PNUM}, 1)) END
           WHEN period LIKE 'S%' THEN CASE WHEN {_PNUM} = 1 THEN make_date(year, 6, 30)
-                                    ELSE make_date(year, 12, 31) END END"""
+                                    WHEN {_PNUM} IS NOT NULL THEN make_date(year, 12, 31) END END"""
 _PTYPE = """CASE WHEN period LIKE 'Q%' THEN 'Quarterly' WHEN period LIKE 'M%' THEN 'Monthly'
      WHEN period LIKE 'S%' THEN 'Semi-Annual' ELSE 'Unknown' END"""
 
@@ -346,15 +346,12 @@ for _n in _DIMS:
     QUERIES[f"gold_dim_{_n}"] = sql(f"SELECT * FROM gold_{_n}", f"gold_{_n}")
 
 _Q2_BODY = """
-SELECT s.series_id, c.class_text, sec.sector_name, m.measure_text, d.duration_text, y.year, y.value_sum
-FROM gold_series s
-JOIN gold_class c ON s.class_code = c.class_code
-JOIN gold_sector sec ON s.sector_code = sec.sector_code
-JOIN gold_duration d ON s.duration_code = d.duration_code
-JOIN gold_measure m ON s.measure_code = m.measure_code
-JOIN (SELECT *, rank() OVER (PARTITION BY series_id ORDER BY value_sum DESC NULLS LAST) AS rnk FROM year_sum) y
-  ON s.series_id = y.series_id
-WHERE y.rnk = 1"""
+SELECT y.series_id, class_text, sector_name, measure_text, duration_text, y.year, y.value_sum
+FROM year_sum y, gold_series s, gold_sector, gold_measure, gold_duration, gold_class
+WHERE y.series_id = s.series_id AND s.sector_code = gold_sector.sector_code AND s.measure_code = gold_measure.measure_code
+  AND s.duration_code = gold_duration.duration_code AND s.class_code = gold_class.class_code
+  AND NOT EXISTS (SELECT 1 FROM year_sum b WHERE b.series_id = y.series_id
+                  AND (b.value_sum > y.value_sum OR (y.value_sum IS NULL AND b.value_sum IS NOT NULL)))"""
 QUERIES["q2_best_year"] = sql(_Q2_BODY, "gold_series", "gold_class", "gold_sector", "gold_duration",
                               "gold_measure", "year_sum")
 QUERIES["q2_best_year_sql"] = QUERIES["q2_best_year"]

@@ -1,70 +1,71 @@
-"""Population records, year-over-year fact and the nation dimension
-(restating the reference tests' inline cases through our code)."""
+"""Population records, year-over-year fact and the nation dimension."""
 
+import datetime as dt
 import json
 
-from pyspark.sql import functions as F
+import pytest
 
 from strata.operators.lookup import measured
 from strata.plans import gold as G
 from strata.plans import silver as S
 
+BRONZE = "data STRING, load_timestamp TIMESTAMP"
+SILVER = "nation STRING, nation_id STRING, population BIGINT, year INT"
 
-def test_records_cast_scientific_notation(spark):
-    data = json.dumps([{"Nation ID": "01000US", "Nation": "United States", "Year": "2024", "Population": 3.4011099e8},
-                       {"Nation ID": "01000US", "Nation": "United States", "Year": "2020", "Population": 3.2912623e8}])
-    bronze = spark.createDataFrame([(data, None)], "data STRING, load_timestamp TIMESTAMP")
-    rec = S.population_records(bronze).orderBy(F.col("year").desc())
-    assert dict(rec.dtypes)["population"] == "bigint" and dict(rec.dtypes)["year"] == "int"
-    first = rec.first()
-    assert first["population"] == 340110990 and first["year"] == 2024 and first["nation_id"] == "01000US"
-
-
-def test_records_empty_or_null_array_gives_no_rows(spark):
-    bronze = spark.createDataFrame([("[]", None), (None, None)], "data STRING, load_timestamp TIMESTAMP")
-    assert S.population_records(bronze).count() == 0
-
-
-def test_nation_first_seen(spark):
-    changes = spark.createDataFrame(
-        [(1, "01000US", "United States"), (1, "CA", "Canada"), (2, "01000US", "USA renamed")],
-        "load_no INT, nation_id STRING, nation STRING")
-    got = sorted(tuple(r) for r in S.silver_population_nation(changes, ["load_no", "nation"]).collect())
-    assert got == [("01000US", "United States"), ("CA", "Canada")]
-
-
-def test_year_over_year(spark):
-    silver = spark.createDataFrame(
-        [("US", "01000US", p, y) for y, p in
-         [(2020, 329000000), (2021, 332000000), (2022, 335000000), (2023, 338000000), (2024, 340000000)]]
-        + [("Zero", "ZZ", 0, 2020), ("Zero", "ZZ", 5, 2021)],
-        "nation STRING, nation_id STRING, population BIGINT, year INT")
-    dim = G.gold_dim_nation(silver.select("nation_id", "nation").distinct())
-    fact = {(r["nation_sk"], r["year"]): r for r in G.gold_fact_population(silver, dim).collect()}
-    us = dim.df.filter("nation_id = '01000US'").first()["nation_sk"]
-    assert fact[(us, 2020)]["previous_population"] is None
-    assert fact[(us, 2020)]["population_change"] is None
-    r = fact[(us, 2021)]
-    assert r["previous_population"] == 329000000 and r["population_change"] == 3000000
-    assert abs(r["population_pct_change"] - 3000000 / 329000000 * 100) < 0.01
-    zz = dim.df.filter("nation_id = 'ZZ'").first()["nation_sk"]
-    assert fact[(zz, 2021)]["population_pct_change"] is None  # previous 0: no error, NULL
-
-
-def test_fact_keeps_rows_of_unknown_nations(spark):
-    silver = spark.createDataFrame([("US", "01000US", 10, 2020), ("??", "XX", 5, 2020)],
-                                   "nation STRING, nation_id STRING, population BIGINT, year INT")
-    dim = G.gold_dim_nation(silver.filter("nation_id = '01000US'").select("nation_id", "nation"))
-    fact = G.gold_fact_population(silver, dim)
-    assert fact.count() == 2 and fact.filter("nation_sk IS NULL").count() == 1
-
-
-def test_dim_keys_unique(spark):
-    silver = spark.createDataFrame([("01000US", "US"), ("CA", "Canada"), ("MX", "Mexico")],
-                                   "nation_id STRING, nation STRING")
-    dim = G.gold_dim_nation(silver).df
-    assert [tuple(r) for r in dim.orderBy("nation_sk").collect()] == [
-        (1, "01000US", "US"), (2, "CA", "Canada"), (3, "MX", "Mexico")]
+
+def _page(*rows):
+    return json.dumps([dict(zip(("Nation ID", "Nation", "Year", "Population"), r)) for r in rows])
+
+
+def test_records_are_typed(spark):
+    page = _page(("P7", "Norland", "1987", 1.25e6), ("P7", "Norland", "1988", 1300007), ("Q2", "Isle", "x", 12))
+    rec = S.population_records(spark.createDataFrame([(page, dt.datetime(2024, 1, 5))], BRONZE))
+    assert {"population": "bigint", "year": "int"}.items() <= dict(rec.dtypes).items()
+    got = {(r["nation_id"], r["year"]): r["population"] for r in rec.collect()}
+    assert got == {("P7", 1987): 1_250_000, ("P7", 1988): 1_300_007, ("Q2", None): 12}
+
+
+@pytest.mark.parametrize("data", ["[]", None])
+def test_no_records(spark, data):
+    assert S.population_records(spark.createDataFrame([(data, None)], BRONZE)).isEmpty()
+
+
+def test_the_first_name_of_a_nation_stays(spark):
+    loads = [(5, "Q2", "Isle"), (3, "P7", "Norland"), (4, "P7", "North Land"), (6, "Q2", "The Isle")]
+    seen = S.silver_population_nation(spark.createDataFrame(loads, "load_no INT, nation_id STRING, nation STRING"),
+                                      ["load_no", "nation"])
+    assert {tuple(r) for r in seen.collect()} == {("P7", "Norland"), ("Q2", "Isle")}
+
+
+def _fact(spark, rows, known):
+    silver = spark.createDataFrame(rows, SILVER)
+    dim = G.gold_dim_nation(spark.createDataFrame(known, "nation_id STRING, nation STRING"))
+    keys = {r["nation_id"]: r["nation_sk"] for r in dim.df.collect()}
+    return keys, [r.asDict() for r in G.gold_fact_population(silver, dim).collect()]
+
+
+def test_change_against_the_row_before(spark):
+    rows = [("N", "P7", 480, 2003), ("N", "P7", 400, 2001), ("N", "P7", 360, 2006), ("I", "Q2", 0, 2001), ("I", "Q2", 9, 2002)]
+    keys, fact = _fact(spark, rows, [("P7", "N"), ("Q2", "I")])
+    got = {(r["nation_sk"], r["year"]): (r["previous_population"], r["population_change"], r["population_pct_change"])
+           for r in fact}
+    p, q = keys["P7"], keys["Q2"]
+    assert got == {(p, 2001): (None, None, None), (p, 2003): (400, 80, 20.0), (p, 2006): (480, -120, -25.0),
+                   (q, 2001): (None, None, None), (q, 2002): (0, 9, None)}
+
+
+def test_unknown_nations_stay_in_a_fixed_order(spark):
+    rows = [("?", "Z9", 7, 2001), ("?", "Y8", 4, 2001), ("N", "P7", 1, 2001)]
+    for order in (rows, rows[::-1]):
+        _, fact = _fact(spark, order, [("P7", "N")])
+        lost = {r["population"]: r["previous_population"] for r in fact if r["nation_sk"] is None}
+        assert len(fact) == 3 and lost == {4: None, 7: 4}
+
+
+def test_nation_keys_follow_the_ids(spark):
+    dim = G.gold_dim_nation(spark.createDataFrame([("Q2", "Isle"), ("A1", "Moor"), ("P7", "Norland")],
+                                                  "nation_id STRING, nation STRING")).df
+    assert sorted(map(tuple, dim.collect())) == [(1, "A1", "Moor"), (2, "P7", "Norland"), (3, "Q2", "Isle")]
     assert measured(dim).rows == 3
 
 
