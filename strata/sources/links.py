@@ -1,22 +1,40 @@
 """Link listing of HTML directory pages, distributed over a table of pages.
 
-Every ``<a ... href="...">`` yields its href; hrefs that are empty, the
-parent link ``../`` or end in ``/`` (sub-directories) are skipped; the file
-name is the last path component of the href.
+Every anchor's href as an HTML parser sees it: tag and attribute names in any
+case, values in double, single or no quotes, quoted values of other attributes
+skipped whole, character references decoded.  Hrefs that are empty, the parent
+link ``../`` or end in ``/`` (sub-directories) are skipped; the file name is
+the last path component of the href.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Anchor-with-href pattern (first capture group is the href).
-ANCHOR_HREF = r'<a\s[^>]*href="([^"]*)"'
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+# An anchor's start tag, up to the > that no quoted value holds.
+ANCHOR = r"""(?is)<a(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# Its first href: attributes of other names, with or without values, come before it.
+HREF = (r"(?is)^<a(?:[\s/]++(?!href\s*=)[^\s=>/\"']++(?:\s*+=\s*+" + _VALUE + r")?+)*+[\s/]++href\s*+=\s*+(" + _VALUE + ")")
 PARENT_HREF = "../"
+# The named character references of URLs; the ampersand last.
+REFERENCES = {"&quot;": '"', "&#34;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&lt;": "<", "&#60;": "<",
+              "&gt;": ">", "&#62;": ">", "&#47;": "/", "&#x2f;": "/", "&nbsp;": "\u00a0", "&#38;": "&", "&amp;": "&"}
+
+
+def _decoded(value: Column) -> Column:
+    for ref, char in REFERENCES.items():
+        value = F.replace(value, F.lit(ref), F.lit(char))
+    return value
 
 
 def page_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     keep = keep if keep is not None else [c for c in pages.columns if c != html]
-    hrefs = pages.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR_HREF), 1)).alias("href"))
+    tags = pages.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))).alias("_tag"))
+    hrefs = tags.withColumn("_href", F.regexp_extract("_tag", HREF, 1))
+    bare = F.when(F.substring("_href", 1, 1).isin('"', "'"), F.expr("substring(_href, 2, length(_href) - 2)")) \
+            .otherwise(F.col("_href"))
+    hrefs = hrefs.select(*keep, _decoded(F.trim(bare)).alias("href"))
     wanted = (F.col("href") != "") & (F.col("href") != PARENT_HREF) & ~F.col("href").endswith("/")
     return hrefs.filter(wanted).withColumn("file_name", F.substring_index("href", "/", -1))
