@@ -62,7 +62,7 @@ def period_end_date(year="year", period="period") -> Column:
     Quarters 1-3 end Mar 31 / Jun 30 / Sep 30, any other quarter number Dec 31;
     month 13 (annual average) ends Dec 31, months 1-12 end on their last day;
     half 1 ends Jun 30, any other half Dec 31; other letters give NULL.
-    An unparsable month number gives NULL instead of failing the job.
+    An unparsable number gives NULL instead of failing the job.
     """
     y, p = _c(year), _c(period)
     n = period_num(p)
@@ -71,10 +71,10 @@ def period_end_date(year="year", period="period") -> Column:
         return F.make_date(y, F.lit(m), F.lit(d))
 
     quarter_end = (F.when(n == 1, md(3, 31)).when(n == 2, md(6, 30))
-                   .when(n == 3, md(9, 30)).otherwise(md(12, 31)))
+                   .when(n == 3, md(9, 30)).when(n.isNotNull(), md(12, 31)))
     month_end = (F.when(n == 13, md(12, 31))
                  .when(n.between(1, 12), F.last_day(F.make_date(y, n, F.lit(1)))))
-    half_end = F.when(n == 1, md(6, 30)).otherwise(md(12, 31))
+    half_end = F.when(n == 1, md(6, 30)).when(n.isNotNull(), md(12, 31))
     return (F.when(p.startswith("Q"), quarter_end)
             .when(p.startswith("M"), month_end)
             .when(p.startswith("S"), half_end))

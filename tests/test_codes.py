@@ -23,12 +23,12 @@ def test_series_id_parts(spark):
 def test_period_end_date(spark):
     rows = [(2020, "Q01"), (2020, "Q02"), (2020, "Q03"), (2020, "Q04"), (2020, "Q05"),
             (2020, "M02"), (2021, "M02"), (2020, "M13"), (2020, "M14"), (2020, "S01"),
-            (2020, "S02"), (2020, "S03"), (2020, "A01"), (2020, "QXX"), (None, "Q01")]
+            (2020, "S02"), (2020, "S03"), (2020, "A01"), (2020, "QXX"), (2020, "SX"), (2020, "Q"), (None, "Q01")]
     got = [r[0] for r in _eval(spark, rows, codes.period_end_date("year", "period"))]
     d = dt.date
     assert got == [d(2020, 3, 31), d(2020, 6, 30), d(2020, 9, 30), d(2020, 12, 31), d(2020, 12, 31),
                    d(2020, 2, 29), d(2021, 2, 28), d(2020, 12, 31), None, d(2020, 6, 30),
-                   d(2020, 12, 31), d(2020, 12, 31), None, d(2020, 12, 31), None]
+                   d(2020, 12, 31), d(2020, 12, 31), None, None, None, None, None]
 
 
 def test_period_type_and_annual_flag(spark):

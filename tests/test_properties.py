@@ -74,14 +74,14 @@ def _end_brute(year, period):
     try:
         n = int(period[1:3])
     except ValueError:
-        n = None
+        return None                      # an unparsable number is no period
     if period[0] == "Q":
         return {1: dt.date(year, 3, 31), 2: dt.date(year, 6, 30), 3: dt.date(year, 9, 30)}.get(
             n, dt.date(year, 12, 31))
     if period[0] == "M":
         if n == 13:
             return dt.date(year, 12, 31)
-        if n is not None and 1 <= n <= 12:
+        if 1 <= n <= 12:
             return dt.date(year, n, calendar.monthrange(year, n)[1])
         return None
     if period[0] == "S":
