@@ -54,17 +54,17 @@ def read_table(spark: SparkSession, target: str) -> DataFrame | None:
 def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str],
                    staging: str, buckets: int | None = DEFAULT_BUCKETS) -> None:
     """Replace the batch's keys in ``target``, rewriting touched buckets only.
-    The bucket count must stay the same for the life of a target."""
+    The bucket count is kept with the target."""
     spark = batch.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _bucket_count(spark, target, buckets)
     upd = batch.withColumn(BUCKET, bucket_of(keys, buckets))
     stage = f"{staging.rstrip('/')}/batch={batch_id}"
     if _has_buckets(spark, target):
-        touched = upd.select(BUCKET).distinct()
-        old = (spark.read.parquet(target)
-               .join(F.broadcast(touched), BUCKET, "left_semi")      # at most `buckets` rows
-               .join(upd.select(*keys), keys, "left_anti"))
-        merged = old.unionByName(upd)
+        # At most ``buckets`` numbers: as literals they prune the target's partitions.
+        touched = [r[0] for r in upd.select(BUCKET).distinct().collect()]
+        o, u = spark.read.parquet(target).where(F.col(BUCKET).isin(touched)).alias("o"), upd.alias("u")
+        same = [F.col(f"o.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
+        merged = o.join(u, same, "left_anti").unionByName(upd)
     else:
         merged = upd
     # The merge reads the target, so it is staged before the overwrite.
@@ -72,3 +72,19 @@ def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str]
     (spark.read.parquet(stage).repartition(BUCKET)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BUCKET).parquet(target))
+    fs, p = _fs(spark, stage)
+    fs.delete(p, True)
+
+
+def _bucket_count(spark: SparkSession, target: str, asked: int | None) -> int:
+    """The target's bucket count, kept beside it as the name of a marker file:
+    a key must not move to another bucket when a setting changes."""
+    fs, p = _fs(spark, f"{target.rstrip('/')}/_buckets")
+    if fs.exists(p):
+        kept = int(next(iter(fs.listStatus(p))).getPath().getName()[2:])
+        if asked not in (None, kept):
+            raise ValueError(f"{target} has {kept} buckets, not {asked}")
+        return kept
+    n = asked or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fs.create(_fs(spark, f"{target.rstrip('/')}/_buckets/n={n}")[1], True).close()
+    return n
