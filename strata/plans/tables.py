@@ -101,11 +101,17 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec,
 
 def write_checked(spark: SparkSession, df: DataFrame, path: str, name: str, rules: list,
                   mode: str = "overwrite") -> dict[str, int]:
-    """Write ``df`` with its rules counted during the write; mark the output
-    published only if no fail rule was violated (raises otherwise)."""
+    """Write ``df`` beside ``path`` with its rules counted during the write; it
+    takes the place of what is at ``path`` only if no fail rule was violated
+    (raises otherwise, and the earlier rows stay readable)."""
     out, obs = quality.observed(df, name, rules) if rules else (df, None)
-    out.write.mode(mode).parquet(path)
+    fs, target = snapshots._fs(spark, path)
+    fresh = snapshots._fs(spark, f"{path.rstrip('/')}__checked")[1]
+    out.write.mode(mode).parquet(fresh.toString())
     counts = quality.check(obs, name, rules) if rules else {}
+    fs.delete(target, True)
+    if not fs.rename(fresh, target):
+        raise OSError(f"{name}: could not move the checked rows to {path}")
     _touch(spark, f"{path}/{PUBLISHED}")
     return counts
 

@@ -64,3 +64,18 @@ def test_json_pages_are_bounded_and_complete(spark):
     assert pages.count() <= sum(math.ceil(n / 4) for n in per_year.values())
     assert pages.count() > len(per_year)
     assert S.population_records(pages, keep=[]).count() == loads.count()
+
+
+def test_failed_rerun_keeps_the_rows_of_the_run_before(spark):
+    import pytest
+    from strata.operators import quality
+    from strata.plans import tables as T
+    from strata.session import scratch_path
+    path = scratch_path(spark, "checked")
+    rules = [quality.expect_or_fail("small", "id < 10")]
+    T.write_checked(spark, spark.range(5), path, "t", rules)
+    with pytest.raises(quality.ExpectationFailed):
+        T.write_checked(spark, spark.range(50), path, "t", rules)
+    assert spark.read.parquet(path).count() == 5
+    T.write_checked(spark, spark.range(7), path, "t", rules)
+    assert spark.read.parquet(path).count() == 7
