@@ -12,8 +12,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[By]) -> DataFrame:
     """One row per ``keys``: the first by ``order``, remaining ties broken by
     every other column (so the survivor never depends on input order).
 
-    Plan: HashAggregate(partial) -> Exchange(keys) -> HashAggregate(final);
-    the struct carries the whole row, so no join back is needed.
+    Plan: SortAggregate(partial) -> Exchange(keys) -> SortAggregate(final): the
+    buffer is a struct, so each side sorts by key first, but rows collapse before
+    the shuffle; the struct carries the whole row, so no join back is needed.
     """
     payload = [c for c in df.columns if c not in keys]
     winner = order_struct(df.schema, order, payload)

@@ -58,10 +58,12 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key
     """Existing rows keep their keys; unseen business keys get max(sk)+1.. in
     business-key order.  Attributes of existing keys are taken from
     ``incoming`` when present there (type-1 refresh)."""
-    old_keys = existing.select(sk, *business_key)
-    refreshed = incoming.join(old_keys, business_key, "inner").select(sk, *incoming.columns)
-    gone = existing.join(incoming.select(*business_key), business_key, "left_anti").select(sk, *incoming.columns)
-    new = incoming.join(old_keys.select(*business_key), business_key, "left_anti")
+    e, i = existing.alias("e"), incoming.alias("i")
+    # A NULL in a business key is a value like any other.
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"i.{c}")) for c in business_key]
+    refreshed = i.join(e, same, "inner").select(f"e.{sk}", *[F.col(f"i.{c}") for c in incoming.columns])
+    gone = e.join(i, same, "left_anti").select(sk, *incoming.columns)
+    new = i.join(e, same, "left_anti").select(*incoming.columns)
     # current maximum key and the number of new keys, in one job (two scalars)
     stats = (existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("_v"))
              .select(F.lit("top").alias("_k"), "_v")

@@ -98,7 +98,8 @@ def gold_fact_population(silver_population: DataFrame, dim_nation: Dim) -> DataF
     are not detected); change and percent change; a zero previous value
     gives a NULL percentage instead of an error."""
     df = lookup(silver_population, dim_nation.select("nation_sk", "nation_id"), "nation_id", "left")
-    w = Window.partitionBy("nation_sk").orderBy("year")
+    # nation_id orders the rows of nations that are not in the dimension.
+    w = Window.partitionBy("nation_sk").orderBy("year", "nation_id")
     prev = F.lag("population", 1).over(w)
     df = df.select("nation_sk", "year", "population", prev.alias("previous_population"))
     change = F.col("population") - F.col("previous_population")

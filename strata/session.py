@@ -52,7 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local/test session.  Make a private directory for it.
+        # Unset: fine for a local test session, which gets a private directory; on a
+        # cluster every machine would write to its own disk and rows would be lost.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -161,3 +161,12 @@ def test_quality_report_shares_one_pass_for_one_frame(spark):
     assert _rows(report) == [("t1", "a_set", "warn", 1, 2), ("t2", "b_set", "fail", 1, 2)]
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_extended_keys_with_null_business_key(spark):
+    from strata.operators.keys import extend_surrogate_keys
+    old = spark.createDataFrame([(1, "a", "x"), (2, None, "n")], "sk BIGINT, code STRING, name STRING")
+    load = spark.createDataFrame([(None, "N"), ("b", "y")], "code STRING, name STRING")
+    once = extend_surrogate_keys(old, load, ["code"], "sk")
+    assert {tuple(r) for r in once.collect()} == {(1, "a", "x"), (2, None, "N"), (3, "b", "y")}
+    assert extend_surrogate_keys(once, load, ["code"], "sk").count() == 3
