@@ -49,8 +49,8 @@ def assign_surrogate_keys(dim: Dim, order_by: list[str], sk: str, start: int = 1
                           single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
                           partitions: int | None = None) -> Dim:
     if dim.rows <= single_task_max_rows:
-        return Dim(_window_keys(dim.df, order_by, sk, start), dim.rows)
-    return Dim(_range_keys(dim.df, order_by, sk, start, partitions), dim.rows)
+        return dim.numbered(_window_keys(dim.df, order_by, sk, start))
+    return dim.numbered(_range_keys(dim.df, order_by, sk, start, partitions))
 
 
 def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key: list[str],

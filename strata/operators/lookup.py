@@ -1,58 +1,81 @@
 """Dimension lookups with a size-checked broadcast.
 
-A dimension is broadcast only when its row count is known to be under a
-bound; otherwise the join is left to the planner (sort-merge, or AQE's
+A dimension is broadcast only when its size in bytes has been measured and is
+under a bound; otherwise the join is left to the planner (sort-merge, or AQE's
 runtime switch to a broadcast once the real shuffle size is known).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
-# A dimension up to this many rows is shipped to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
+# A dimension up to this many bytes is shipped to every executor.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 @dataclass
 class Dim:
-    """A dimension DataFrame together with its checked row count."""
+    """A dimension DataFrame with its measured rows and bytes (None: unknown)."""
     df: DataFrame
     rows: int
+    bytes: int | None = None
 
-    def for_join(self, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-        return F.broadcast(self.df) if self.rows <= max_rows else self.df
+    def for_join(self, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+        small = self.bytes is not None and self.bytes <= max_bytes
+        return F.broadcast(self.df) if small else self.df
+
+    def part(self, df: DataFrame) -> "Dim":
+        """``df``, made of some rows and columns of this dimension."""
+        return Dim(df, self.rows, self.bytes)
 
     def select(self, *cols) -> "Dim":
-        return Dim(self.df.select(*cols), self.rows)
+        return self.part(self.df.select(*cols))
+
+    def numbered(self, df: DataFrame) -> "Dim":
+        """``df``, this dimension with one more number a row."""
+        return Dim(df, self.rows, None if self.bytes is None else self.bytes + 8 * self.rows)
+
+
+def _size(df: DataFrame) -> list[Column]:
+    """Aggregates: rows and bytes (texts by their length, other values at 16)."""
+    one = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            one = one + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        else:
+            one = one + (F.lit(16) if isinstance(f.dataType, AtomicType)
+                         else F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(one), F.lit(0)).alias("bytes")]
 
 
 def measured(df: DataFrame, cache: bool = True) -> Dim:
-    """Count a (small, derived) dimension once; cache it so the count and the
+    """Measure a (small, derived) dimension once; cache it so the count and the
     later join read the same rows without recomputing its lineage."""
     if cache:
         df = df.cache()
-    return Dim(df, df.count())
+    got = df.agg(*_size(df)).first()
+    return Dim(df, int(got["rows"]), int(got["bytes"]))
 
 
 def measured_all(dfs: dict[str, DataFrame], cache: bool | set[str] = True) -> dict[str, Dim]:
-    """Count several dimensions in one job (one small row per dimension comes
+    """Measure several dimensions in one job (one small row per dimension comes
     back to the driver).  ``cache`` (all, or a set of names) keeps the rows
     of costly dimensions so later joins reuse them; cheap ones derived from
     small tables are simply recomputed inside the plans that use them."""
-    from functools import reduce
     keep = set(dfs) if cache is True else (set() if cache is False else set(cache))
     frames = {n: (df.cache() if n in keep else df) for n, df in dfs.items()}
-    counts = reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
-        for n, df in frames.items()])
-    got = {r["name"]: int(r["rows"]) for r in counts.collect()}
-    return {n: Dim(frames[n], got[n]) for n in dfs}
+    sizes = reduce(DataFrame.unionByName, [
+        df.agg(*_size(df)).select(F.lit(n).alias("name"), "rows", "bytes") for n, df in frames.items()])
+    return {r["name"]: Dim(frames[r["name"]], int(r["rows"]), int(r["bytes"])) for r in sizes.collect()}
 
 
 def lookup(fact: DataFrame, dim: Dim | DataFrame, on: str | list[str] | Column,
-           how: str = "left", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    right = dim.for_join(max_rows) if isinstance(dim, Dim) else dim
+           how: str = "left", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    right = dim.for_join(max_bytes) if isinstance(dim, Dim) else dim
     return fact.join(right, on, how)

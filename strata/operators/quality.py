@@ -96,6 +96,16 @@ def key_uniqueness(df: DataFrame, keys: list[str]) -> DataFrame:
                   F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"))
 
 
+def keys_uniqueness(df: DataFrame, table: str, keys: list[list[str]]) -> DataFrame:
+    """``key_uniqueness`` of several keys of one table in one pass: table_name,
+    key_columns, total_rows, distinct_keys."""
+    wide = df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  *[F.count_distinct(*[F.col(c) for c in k]).alias(f"_k{i}") for i, k in enumerate(keys)])
+    rows = F.array(*[F.struct(F.lit(",".join(k)).alias("key_columns"), F.col(f"_k{i}").alias("distinct_keys"))
+                     for i, k in enumerate(keys)])
+    return wide.select(F.lit(table).alias("table_name"), "total_rows", F.inline(rows))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")

@@ -70,3 +70,9 @@ PRIMARY_KEYS = {
        ("class", "duration", "footnote", "measure", "period", "seasonal", "sector", "series", "nation")},
     "gold_fact_population": ["nation_sk", "year"],
 }
+
+# Business key of each dimension: one row per value.
+BUSINESS_KEYS = {
+    **{f"gold_dim_{t}": [f"{t}_code"] for t in ("class", "duration", "footnote", "measure", "seasonal", "sector")},
+    "gold_dim_period": ["period"], "gold_dim_series": ["series_id"], "gold_dim_nation": ["nation_id"],
+}

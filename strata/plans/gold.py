@@ -74,18 +74,15 @@ FACT_LOOKUPS = {"class": "class_code", "duration": "duration_code", "footnote":
 def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None = None) -> DataFrame:
     """Surrogate-key lookups (left joins: an unknown code gives a NULL key).
     The footnote list is matched as one whole string against single codes.
-    Dimensions are broadcast behind their row-count check, so the fact keeps
-    its partitioning and is never shuffled for a lookup.
+    Dimensions are broadcast behind their size check, so the fact keeps its
+    partitioning and is never shuffled for a lookup.
 
-    ``columns`` restricts the result to those fact columns, and only their
-    lookups are planned -- what a column-pruned scan of the stored fact
-    gives.  Dimension business keys are unique (checked by the key rules), so
-    a left lookup never changes the row count and skipping one is exact."""
+    ``columns`` restricts the result to those fact columns.  Every lookup is
+    made whatever the columns: a business key that a dimension holds twice
+    doubles its fact rows in each of them."""
     wanted = list(columns or FACT_PRODUCTIVITY_COLUMNS)
     df = silver
     for name, code in FACT_LOOKUPS.items():
-        if f"{name}_sk" not in wanted:
-            continue
         key = "footnote_code" if name == "footnote" else code
         df = lookup(df, dims[name].select(F.col(key).alias(f"_{name}_k"), f"{name}_sk"),
                     F.col(code) == F.col(f"_{name}_k"), "left")

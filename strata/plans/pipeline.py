@@ -13,9 +13,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.lookup import Dim, measured_all
-from ..sources.landing import Landing, from_tables
+from ..sources.landing import LOAD_DATES, Landing, from_tables
 from . import bronze as B
 from . import gold as G
+from . import population as POP
 from . import silver as S
 
 
@@ -108,8 +109,7 @@ class Pipeline:
         return G.gold_fact_productivity(self.silver_productivity, self.gold_dims)
 
     def fact_productivity(self, columns: list[str]) -> DataFrame:
-        """The productivity fact restricted to ``columns`` (only the lookups
-        those columns need are planned)."""
+        """The productivity fact restricted to ``columns`` (all lookups are made)."""
         return G.gold_fact_productivity(self.silver_productivity, self.gold_dims, columns)
 
     @cached_property
@@ -123,7 +123,6 @@ class Pipeline:
         run).  Each layer is then read back from the written files, so later
         layers start from stored tables (lineage cut at every table) and
         surrogate keys are fixed once written."""
-        from ..operators.lookup import Dim as _Dim
         from . import expectations as EX
         from .tables import write_checked
 
@@ -142,19 +141,37 @@ class Pipeline:
         self.__dict__["silver_dims"] = measured_all(silver_dims)
         self.__dict__["silver_series"] = put("slv_pr_series", self.silver_series)
         self.__dict__["silver_productivity"] = put("slv_pr_productivity", self.silver_productivity)
-        self.__dict__["silver_population"] = put("slv_population", self.silver_population)
-        self.__dict__["silver_population_nation"] = put("slv_population_nation",
-                                                        self.silver_population_nation)
+        report.update(self.run_population(root))
         gold = {n: put(f"gold_dim_{n}", self.gold_dims[n].df) for n in G.DIMENSIONS}
-        self.__dict__["gold_dims"] = {n: _Dim(gold[n], self.silver_dims[n].rows) for n in gold}
+        self.__dict__["gold_dims"] = {n: self.gold_dims[n].part(gold[n]) for n in gold}
         series = self.gold_dim_series
-        self.__dict__["gold_dim_series"] = _Dim(put("gold_dim_series", series.df), series.rows)
+        self.__dict__["gold_dim_series"] = series.part(put("gold_dim_series", series.df))
         nation = self.gold_dim_nation
-        self.__dict__["gold_dim_nation"] = _Dim(put("gold_dim_nation", nation.df), nation.rows)
+        self.__dict__["gold_dim_nation"] = nation.part(put("gold_dim_nation", nation.df))
         self.__dict__["gold_fact_productivity"] = put("gold_fact_productivity", self.gold_fact_productivity)
         self.__dict__["gold_fact_population"] = put("gold_fact_population", self.gold_fact_population)
         return report
 
+    def run_population(self, root: str) -> dict[str, dict[str, int]]:
+        """Population from its source files: the loads arrive as JSON pages, the
+        streams keep the bronze and silver tables under ``root``, and this
+        pipeline's gold tables and questions read those.  Returns the counts of
+        the rules on the way."""
+        POP.land_and_run(self.spark, self.population_changes, LOAD_DATES, f"{root}/_landing/population", root)
+        stored = POP.stored_tables(self.spark, root)
+        self.__dict__["bronze_population"] = stored[POP.BRONZE]
+        self.__dict__["silver_population"] = stored["slv_population"]
+        self.__dict__["silver_population_nation"] = stored["slv_population_nation"]
+        report: dict[str, dict[str, int]] = {"slv_population": {}, "slv_population_nation": {}}
+        for r in POP.rule_report(self.spark, root).collect():       # one row per rule
+            report.setdefault(r["table_name"], {})[r["rule"]] = int(r["failed_rows"])
+        return report
+
+    def preview(self, name: str) -> DataFrame:
+        """A bronze table or a trimmed code dimension, by name."""
+        kind, _, dim = name.partition("_pr_")
+        return self.bronze[name] if kind == "brz" else self.silver_dim(dim)
+
     def tables(self) -> dict[str, DataFrame]:
         """Every table by name (building each one on access)."""
         out = {n: self.bronze[n] for n in self.bronze.names()}

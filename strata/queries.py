@@ -9,6 +9,7 @@ is compared against them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,11 @@ from .operators.cdc import scd1
 from .operators.keys import assign_surrogate_keys, extend_surrogate_keys
 from .operators.lookup import measured
 from .plans import expectations as EX
+from .plans import population as POP
 from .plans import questions as Q
 from .plans import silver as S
 from .plans import tables as T
+from .plans.gold import DIMENSIONS
 from .plans.pipeline import Pipeline
 from .session import scratch_path
 from .sources import json_pages, landing as L
@@ -36,7 +39,6 @@ Q1_YEARS = (1996, 1999)
 Q3_SERIES = "PRS00006032"
 Q3_PERIOD = "Q01"
 POINT = ("PRS00006011", 1995, "Q01")
-LOAD_DATES = ("2024-01-01", "2024-01-02", "2024-01-03")
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -72,7 +74,7 @@ def _land_and_stream(spark, src, job, name):
     loads = L.landing_population_loads(spark, src).cache()
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    for i, day in enumerate(LOAD_DATES, start=1):
+    for i, day in enumerate(L.LOAD_DATES, start=1):
         json_pages.write_population_pages(loads, root, i, day)
         job(json_pages.with_file_audit(json_pages.stream_pages(spark, root)), out, ckpt)
     loads.unpersist()
@@ -93,7 +95,7 @@ def json_stream_ingest(spark, src):
 def json_explode(spark, src):
     root = scratch_path(spark, "pages")
     loads = L.landing_population_loads(spark, src).cache()
-    for i, day in enumerate(LOAD_DATES, start=1):
+    for i, day in enumerate(L.LOAD_DATES, start=1):
         json_pages.write_population_pages(loads, root, i, day)
     loads.unpersist()
     rec = S.population_records(json_pages.read_pages(spark, root), keep=["load_no"])
@@ -220,11 +222,6 @@ def silver_population_nation(spark, src):
     return _p(spark, src).silver_population_nation
 
 
-# Bronze population table as written by the ingest stream.
-BRONZE_POPULATION_SCHEMA = ("data STRING, load_no INT, load_timestamp TIMESTAMP, "
-                            "file_arrival_timestamp TIMESTAMP, file_path STRING")
-
-
 @query
 def scd1_stream(spark, src):
     """JSON pages -> bronze table (stream 1); bronze table -> keyed upsert
@@ -233,7 +230,7 @@ def scd1_stream(spark, src):
     def job(stream, out, ckpt):
         bronze = f"{ckpt}/bronze-table"
         jobs.ingest_bronze(stream, bronze, f"{ckpt}/bronze")
-        from_bronze = spark.readStream.schema(BRONZE_POPULATION_SCHEMA).parquet(bronze)
+        from_bronze = spark.readStream.schema(POP.BRONZE_SCHEMA).parquet(bronze)
         rec = S.population_records(from_bronze, keep=["load_timestamp", "file_arrival_timestamp", "file_path"])
         jobs.upsert_scd1(rec, ["year", "nation_id"],
                          ["load_timestamp", "file_arrival_timestamp", "file_path", "record_pos"],
@@ -398,6 +395,36 @@ def pipeline_run_best_year(spark, src):
                           d["measure"], d["duration"], d["sector"])
 
 
+def _population_from_pages(spark, src, name) -> Pipeline:
+    """Population all the way from JSON pages: bronze stream, silver upserts."""
+    p = _p(spark, src)
+    p.run_population(scratch_path(spark, f"population-{name}"))
+    return p
+
+
+@query
+def population_pipeline_q1(spark, src):
+    """Q1 on the fact and dimension built over the streams' tables."""
+    r = Q.q1_mean_stddev(_population_from_pages(spark, src, "q1").gold_fact_population, *Q1_YEARS)
+    return r.select(_r6(F.col("mean_population")).alias("mean_population"),
+                    _r6(F.col("stddev_population")).alias("stddev_population"))
+
+
+@query
+def population_pipeline_q3(spark, src):
+    p = _population_from_pages(spark, src, "q3")
+    return Q.q3_series_population(p.fact_productivity(Q.FACT_COLUMNS), p.gold_dims["period"],
+                                  p.gold_fact_population, Q3_SERIES, Q3_PERIOD)
+
+
+@query
+def population_rules(spark, src):
+    """Rules of the bronze population table and of the views behind it."""
+    root = scratch_path(spark, "population-rules")
+    _p(spark, src).run_population(root)
+    return POP.rule_report(spark, root)
+
+
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)
@@ -418,6 +445,21 @@ def table_preview(spark, src):
     return _p(spark, src).bronze["brz_pr_series"].drop("load_timestamp")
 
 
+def _preview_query(table):
+    def fn(spark, src):
+        df = _p(spark, src).preview(table)
+        return df.drop("load_timestamp")
+    fn.__name__ = f"preview_{table}"
+    return query(fn)
+
+
+# Tables that no other query returns whole.
+PREVIEWS = ([f"brz_pr_{n}" for n in (*DIMENSIONS, "data_0_current", "data_1_alldata")]
+            + [f"slv_pr_{n}" for n in ("class", "duration", "footnote", "measure", "seasonal")])
+for _n in PREVIEWS:
+    _preview_query(_n)
+
+
 @query
 def first_row(spark, src):
     f = _p(spark, src).gold_fact_population
@@ -429,45 +471,33 @@ def first_row(spark, src):
 
 @query
 def dq_report(spark, src):
+    """Every declared rule of every table (those of the population streams:
+    ``population_rules``)."""
     p = _p(spark, src)
     p.prepare(series=True, nation=True)
-    prod = p.fact_productivity(["series_id", "year", "period", "value", "class_sk", "duration_sk",
-                                "footnote_sk", "measure_sk", "period_sk", "sector_sk"])
-    tables = {
-        "brz_pr_data_0_current": (p.bronze["brz_pr_data_0_current"], EX.BRONZE["brz_pr_data_0_current"]),
-        "brz_pr_data_1_alldata": (p.bronze["brz_pr_data_1_alldata"], EX.BRONZE["brz_pr_data_1_alldata"]),
-        "brz_pr_sector": (p.bronze["brz_pr_sector"], EX.BRONZE["brz_pr_sector"]),
-        "brz_pr_series": (p.bronze["brz_pr_series"], EX.BRONZE["brz_pr_series"]),
-        "slv_pr_series": (p.silver_series, EX.SILVER["slv_pr_series"]),
-        # same rows (lookups are left joins on unique keys): one pass for both
-        "slv_pr_productivity": (prod, EX.SILVER["slv_pr_productivity"]),
-        "gold_fact_productivity": (prod, EX.GOLD["gold_fact_productivity"]),
-        "gold_fact_population": (p.gold_fact_population,
-                                 EX.GOLD["gold_fact_population"] + EX.POPULATION_VALUE_RULES),
-    }
-    return quality.quality_report(tables)
+    rules = {**EX.BRONZE, **EX.SILVER, **EX.GOLD}
+    rules["gold_fact_population"] = rules["gold_fact_population"] + EX.POPULATION_VALUE_RULES
+    return quality.quality_report({n: (df, rules[n]) for n, df in p.tables().items() if n in rules})
 
 
 @query
 def key_uniqueness(spark, src):
+    """Declared primary keys and the dimensions' business keys."""
     p = _p(spark, src)
     p.prepare(series=True, nation=True)
-    parts = []
-    for name, df in (("gold_dim_period", p.gold_dims["period"].df),
-                     ("gold_dim_series", p.gold_dim_series.df),
-                     ("gold_dim_nation", p.gold_dim_nation.df),
-                     ("gold_fact_population", p.gold_fact_population)):
-        keys = EX.PRIMARY_KEYS[name]
-        parts.append(quality.key_uniqueness(df, keys).select(F.lit(name).alias("table_name"), "*"))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    tables = {**{f"gold_dim_{n}": p.gold_dims[n].df for n in DIMENSIONS}, "gold_dim_series": p.gold_dim_series.df,
+              "gold_dim_nation": p.gold_dim_nation.df, "gold_fact_population": p.gold_fact_population}
+    return reduce(DataFrame.unionByName, [
+        quality.keys_uniqueness(df, name, [k[name] for k in (EX.PRIMARY_KEYS, EX.BUSINESS_KEYS) if name in k])
+        for name, df in tables.items()])
 
 
 @query
 def orphan_keys(spark, src):
     p = _p(spark, src)
+    p.prepare(series=False, nation=True)
     names = ("class", "duration", "footnote", "measure", "period", "sector")
     fact = p.fact_productivity([f"{n}_sk" for n in names])
-    return quality.orphan_keys_all(fact, {f"{n}_sk": p.gold_dims[n].df.select(f"{n}_sk") for n in names})
+    found = quality.orphan_keys_all(fact, {f"{n}_sk": p.gold_dims[n].df.select(f"{n}_sk") for n in names})
+    return found.unionByName(quality.orphan_keys_all(
+        p.gold_fact_population, {"nation_sk": p.gold_dim_nation.df.select("nation_sk")}))

@@ -178,6 +178,10 @@ def population(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> Dat
     ).agg((F.count(F.lit(1)) * 1000).cast("bigint").alias("population"))
 
 
+# Days on which the three loads arrive.
+LOAD_DATES = ("2024-01-01", "2024-01-02", "2024-01-03")
+
+
 def population_loads(pop: DataFrame) -> DataFrame:
     """Change feed of three loads: load_no, nation_id, nation, year, population."""
     k, y = F.col("nation_key"), F.col("year")

@@ -3,6 +3,7 @@
 * ``ingest_bronze``   incremental file ingest into an append-only bronze table.
 * ``dedup_first_seen`` streaming drop-duplicates on a key (first seen wins;
   state grows with the number of distinct keys, as there is no watermark).
+* ``upsert_first_seen`` the same, kept in a keyed upsert target.
 * ``upsert_scd1``     keyed upsert, latest sequence wins, NULLs optionally
   ignored.  The per-key, per-column (sequence, value) state lives in the
   streaming aggregation's state store, so results do not depend on how
@@ -58,6 +59,22 @@ def dedup_first_seen(stream: DataFrame, keys: list[str], table_path: str, checkp
                       .option("path", table_path).outputMode("append"), checkpoint)
 
 
+def upsert_first_seen(stream: DataFrame, keys: list[str], target: str, checkpoint: str,
+                      buckets: int | None = snapshots.DEFAULT_BUCKETS) -> None:
+    """Keyed upsert behind a streaming de-duplication: only a key's first-seen
+    row passes, so each key is written once (again by a replayed batch)."""
+    first = stream.dropDuplicates(keys)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        # The staged copy, the buckets and the merge read the batch: keep it.
+        batch = batch.persist()
+        snapshots.upsert_buckets(batch, batch_id, target, keys,
+                                 staging=f"{checkpoint.rstrip('/')}/_staging", buckets=buckets)
+        batch.unpersist()
+
+    run_available_now(first.writeStream.outputMode("append").foreachBatch(merge), checkpoint)
+
+
 def upsert_scd1(stream: DataFrame, keys: list[str], sequence_by: list[str], columns: list[str],
                 target: str, checkpoint: str, ignore_null_updates: bool = True,
                 buckets: int | None = snapshots.DEFAULT_BUCKETS) -> None:

@@ -69,7 +69,8 @@ def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str]
         merged = upd
     # The merge reads the target, so it is staged before the overwrite.
     merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-    (spark.read.parquet(stage).repartition(BUCKET)
+    # A batch without a change (a run that finds known keys only) stages no file.
+    (spark.read.schema(merged.schema).parquet(stage).repartition(BUCKET)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BUCKET).parquet(target))
     fs, p = _fs(spark, stage)

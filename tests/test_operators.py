@@ -106,7 +106,7 @@ def test_lookup_broadcasts_only_checked_small_dims(spark):
     dim = measured(spark.createDataFrame([(0, "a"), (1, "b")], "k LONG, t STRING"))
     plan = lookup(fact, dim, "k", "left")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    big = Dim(dim.df, rows=10 ** 9)
+    big = Dim(dim.df, rows=10 ** 9, bytes=10 ** 12)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -37,3 +37,33 @@ def test_fail_rule_stops_the_run(spark):
     p = Pipeline(spark, _BadLanding(spark, SF_SMALL))
     with pytest.raises(ExpectationFailed, match="valid_series_id"):
         p.materialize(scratch_path(spark, "bad-run"))
+
+
+def test_population_arrives_through_the_streams(spark):
+    p = Pipeline.from_tables(spark, SF_SMALL)
+    batch = p.gold_fact_population.select("nation_sk", "year", "population", "population_change").collect()
+    report = p.run_population(scratch_path(spark, "population"))
+    assert report["population_data_transformed"] == {"year_populated": 0}
+    assert set(report["brz_population_data"]) == {"data_element_populated"}
+    assert "load_timestamp" in p.silver_population.columns and "load_timestamp" in p.silver_population_nation.columns
+    assert p.silver_population.where("load_timestamp IS NULL").isEmpty()
+    q = Pipeline.from_tables(spark, SF_SMALL)
+    q.__dict__.update({n: p.__dict__[n] for n in ("silver_population", "silver_population_nation")})
+    streamed = q.gold_fact_population.select("nation_sk", "year", "population", "population_change").collect()
+    assert sorted(map(tuple, streamed)) == sorted(map(tuple, batch))
+
+
+class _DoubleCode(L.TableLanding):
+    """The sector with the most observations stands twice in its dimension."""
+    @property
+    def sector(self):
+        base = super().sector
+        return base.unionByName(base.withColumn("sector_name", F.lit("Again")))
+
+
+def test_a_code_twice_doubles_its_facts_whatever_columns_are_asked(spark):
+    p = Pipeline(spark, _DoubleCode(spark, SF_SMALL))
+    rows = p.gold_fact_productivity.count()
+    assert rows > p.silver_productivity.count()
+    assert p.fact_productivity(["series_id", "year", "value"]).count() == rows
+    assert p.fact_productivity(["class_sk"]).count() == rows
