@@ -236,6 +236,32 @@ class Forest:
         return True
 
 
+HOT_KEYS = 1000     # a key with more than one in HOT_KEYS of all rows is dealt over several tasks
+
+
+def deal_join(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``keys``, unique in ``on``, whose column ``n``
+    counts the rows of each key (it is dropped).  ``keys`` should be a stored
+    table: it is read three times.
+
+    A key that holds over one in HOT_KEYS of the rows is dealt over as many parts
+    as it holds such shares: its row of ``keys`` is repeated for each part, and
+    each of ``rows`` goes to one of them by its hash and its task's number (rows
+    may be equal).  Fewer than HOT_KEYS keys can be so large, so their numbers of
+    parts are broadcast; they add up to less than twice HOT_KEYS."""
+    total = keys.agg(F.sum("n")).first()[0]
+    if not total:
+        return rows.join(keys.drop("n"), on)
+    parts, part = fresh(rows.join(keys, on), "parts", "part")
+    keys = keys.withColumn(parts, F.ceil(F.col("n") * HOT_KEYS / F.lit(total)).cast("int")).drop("n")
+    hot = F.broadcast(keys.where(F.col(parts) > 1).select(*on, parts))
+    here = F.xxhash64(*rows.columns, F.spark_partition_id())
+    dealt = (rows.join(hot, on, "left")
+             .withColumn(part, F.pmod(here, F.coalesce(parts, F.lit(1))).cast("int")).drop(parts))
+    places = keys.withColumn(part, F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).drop(parts)
+    return dealt.join(places, [*on, part]).drop(part)
+
+
 def block_cells(rows: DataFrame, counts: DataFrame, on: list[str], spread_by, size: int) -> DataFrame:
     """Deal the rows of every group (``counts``: on, n) into cells in which all
     pairs of a group meet, none of which grows with the group: a group of n rows

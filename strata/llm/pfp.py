@@ -53,6 +53,25 @@ def hash_at(levels: dict[int, np.ndarray], base: int, pos: np.ndarray, length: i
     return total
 
 
+def suffix_ranks(buf: np.ndarray, length: int) -> np.ndarray:
+    """Place of every suffix of ``buf`` of ``length`` bytes or more in the order
+    of their first ``length`` bytes: the suffix array of ``buf`` by prefix
+    doubling, stopped where the order is that of the strings wanted.  Equal ranks
+    are equal bytes.  ``length`` is 8 or more."""
+    if len(buf) < length:
+        return np.empty(0, np.int64)
+    eight = np.lib.stride_tricks.sliding_window_view(buf, 8)
+    key = np.zeros(len(eight), U)
+    for i in range(8):
+        key = key << U(8) | eight[:, i]
+    rank, n = np.unique(key, return_inverse=True)[1].astype(np.int64), 8
+    while n < length:
+        step = min(n, length - n)
+        rank = np.unique(rank[:-step] * (rank.max() + 1) + rank[step:], return_inverse=True)[1].astype(np.int64)
+        n += step
+    return rank
+
+
 def window_argmin(h: np.ndarray, span: int) -> np.ndarray:
     """Leftmost position of the minimum of ``h[p : p + span]`` for every p."""
     n = len(h)

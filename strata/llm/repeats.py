@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pfp
-from .common import map_arrow, release, stage, whole_groups
+from .common import deal_join, map_arrow, release, stage, whole_groups
 
 SIZE = 200                 # bytes of a repeated string
 HOT = 20_000               # different phrases round one anchor from which its windows are dealt out singly
@@ -53,13 +53,19 @@ _PHRASE_DDL = "dk bigint, d2 int, anchor bigint, phrase bigint, first int, more
 
 def _contexts(size: int):
     """Bytes of the wanted phrases of every text; those of a hot anchor as their
-    single windows."""
+    single windows.  A task does so once for all copies of a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["cell", "hot", "dk", "d2", "first", "more", "turn", "single", "body"]
+        done = set()
         for b in batches:
             out = {k: [] for k in names}
-            for dk, d2, raw, want in zip(*(b.column(k).to_pylist() for k in ("dk", "d2", "raw", "want"))):
-                for w in want:
+            texts = zip(b.column("dk").to_pylist(), b.column("d2").to_pylist(), b.column("raw"), b.column("want"))
+            for dk, d2, raw, want in texts:
+                if (dk, d2) in done:
+                    continue
+                done.add((dk, d2))
+                raw = raw.as_py()
+                for w in want.as_py():
                     body = raw[w["first"]:w["first"] + w["more"] + size]
                     if not w["hot"]:
                         rows = [(w["anchor"], w["first"], w["more"], w["turn"], body)]
@@ -104,11 +110,17 @@ def _compare(size: int):
             begin = np.concatenate([[0], np.cumsum(n + size - 1)])[:-1]
             row = np.repeat(np.arange(len(one)), n)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            h = pfp.hash_at(pfp.doubling(buf, pfp.BASE_1, 128), pfp.BASE_1, begin[row] + nth, size)
-            x = (turn[one][row] - nth).astype(np.int64).view(U)
-            key = pfp.mix(pfp.mix(h) + x * U(0x9E3779B97F4A7C15) + group[one][row].astype(U) * U(0xC2B2AE3D27D4EB4F))
-            _, inv, count = np.unique(key, return_inverse=True, return_counts=True)
-            hit = (count[inv] > 1) & single[one][row]
+            rank = pfp.suffix_ranks(buf, size)[begin[row] + nth]
+            turns = turn[one][row] - nth
+            # Equal strings of a group, equally far from the trigger, are neighbours in this order.
+            order = np.lexsort((rank, turns, group[one][row]))
+            same = np.ones(len(order) - 1, bool)
+            for x in (rank, turns, group[one][row]):
+                same &= x[order[1:]] == x[order[:-1]]
+            again = np.zeros(len(order), bool)
+            again[order[1:]] |= same
+            again[order[:-1]] |= same
+            hit = again & single[one][row]
             at = np.flatnonzero(hit)
             if not len(at):
                 continue
@@ -135,30 +147,37 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFr
     1. Anchors that stand in one place only drop out, with their phrases.
     2. A phrase that stands in two places is the dictionary entry of both:
        everything in it is repeated.
-    3. What is left are phrases that differ at an end.  Within an anchor they
-       are compared, together with one representative of each repeated phrase,
-       string by string at equal distances from the trigger.
+    3. What is left are phrases that differ at an end.  Within an anchor they,
+       and one representative of each repeated phrase, are put in suffix order;
+       strings that are neighbours in it, equal in all bytes and equally far
+       from the trigger, are repeated.  As a string never leaves its phrase, the
+       dictionary's suffix order alone settles it, and the parse need only say
+       where each phrase stands.
 
     Steps 1 and 2 are aggregations of hashes; only step 3 reads bytes, of few
-    phrases.  An anchor with more than ``hot`` different phrases is not compared
-    in one task: its strings are counted one by one, by their hash."""
+    phrases.  Anchors and phrases that stand in very many places are dealt over
+    several tasks.  An anchor with more than ``hot`` different phrases is not
+    sorted in one task: its strings are counted one by one, by their hash."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     phrases = map_arrow(keyed.select("dk", "d2", "raw"), _parse(size), _PHRASE_DDL)
     place = F.xxhash64("dk", "d2", "first")
-    anchors = (phrases.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-               .where("lo <> hi").select("anchor"))
-    common = stage(phrases.join(anchors, "anchor"), "pfp-phrases")
+    anchors = (phrases.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
+               .where("lo <> hi").select("anchor", "n"))
+    common = stage(deal_join(phrases, stage(anchors, "pfp-anchors"), ["anchor"]), "pfp-phrases")
 
-    entries = common.groupBy("anchor", "phrase").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    entries = (common.groupBy("anchor", "phrase")
+               .agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n")))
     entries = stage(entries, "pfp-dictionary")
     per = (entries.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if(F.col("lo") == F.col("hi")).alias("singles"))
-           .where("n > 1 and singles > 0").select("anchor", (F.col("n") > hot).alias("hot")))
-    whole = (common.join(entries.where("lo <> hi").select("anchor", "phrase"), ["anchor", "phrase"], "left_semi")
+           .where("n > 1 and singles > 0").select("anchor", "n", (F.col("n") > hot).alias("hot")))
+    per = stage(per, "pfp-open")
+    whole = (deal_join(common, entries.where("lo <> hi").select("anchor", "phrase", "n"), ["anchor", "phrase"])
              .select("dk", "d2", F.col("first").alias("start"), (F.col("first") + F.col("more") + size).alias("stop"))
              .distinct())
-    open_ = entries.join(per, "anchor").select("anchor", "phrase", "lo", (F.col("lo") == F.col("hi")).alias("single"), "hot")
-    wanted = (common.join(open_, ["anchor", "phrase"]).where(place == F.col("lo"))
+    open_ = deal_join(entries.withColumnRenamed("n", "rows"), per, ["anchor"]).select(
+        "anchor", "phrase", "lo", (F.col("lo") == F.col("hi")).alias("single"), "hot", F.col("rows").alias("n"))
+    wanted = (deal_join(common, stage(open_, "pfp-open-phrases"), ["anchor", "phrase"]).where(place == F.col("lo"))
               .dropDuplicates(["anchor", "dk", "d2", "first"])
               .groupBy("dk", "d2").agg(F.collect_list(F.struct("anchor", "first", "more", "turn", "single", "hot"))
                                        .alias("want")))
@@ -171,8 +190,9 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFr
     ranges = map_arrow(cells, _compare(size), _RANGE_DDL)
     if any_hot:
         windows = bodies.where("hot")
-        twice = windows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
-        ranges = ranges.unionByName(windows.where("single").join(twice, "cell").select(
+        twice = (windows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
+                 .where("lo <> hi").select("cell", "n"))
+        ranges = ranges.unionByName(deal_join(windows.where("single"), stage(twice, "pfp-twice"), ["cell"]).select(
             "dk", "d2", F.col("first").alias("start"), (F.col("first") + size).alias("stop")))
     ranges = stage(ranges, "pfp-ranges").unionByName(whole)
     release(spark)

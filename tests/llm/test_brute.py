@@ -176,3 +176,37 @@ def test_triggers_depend_on_the_window_only():
         own = np.repeat(t, last - first + 1)[pad:] - pad
         found.append(own)
     assert (found[0] == found[1]).all() and (found[0] == found[2]).all()
+
+
+@pytest.mark.parametrize("unit", [b"ab", b"abcdefghij"])
+def test_suffix_ranks(unit):
+    rng = random.Random(5)
+    raw = unit * 40 + bytes(rng.choice(b"ab\xff\x00") for _ in range(300)) + unit * 30
+    for length in (8, 13, 64, 200):
+        rank = pfp.suffix_ranks(np.frombuffer(raw, np.uint8), length)
+        cut = [raw[p:p + length] for p in range(len(raw) - length + 1)]
+        place = {x: i for i, x in enumerate(sorted(set(cut)))}
+        assert rank.tolist() == [place[x] for x in cut]
+    assert not len(pfp.suffix_ranks(np.frombuffer(raw[:7], np.uint8), 8))
+
+
+def test_deal_join(spark):
+    rows = spark.createDataFrame([("hot", i % 7) for i in range(3000)] + [(f"k{i}", i) for i in range(50)],
+                                 "k string, part int")
+    keys = rows.groupBy("k").agg(common.F.count("*").alias("n"), common.F.max("part").alias("top")).where("k <> 'k3'")
+    got = common.deal_join(rows, keys, ["k"])
+    assert got.columns == ["k", "part", "top"]
+    want = rows.join(keys.drop("n"), "k")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert common.deal_join(rows, keys.where("n < 0"), ["k"]).isEmpty()
+
+
+def test_copies_give_their_strings_once():
+    import pyarrow as pa
+    want = [{"anchor": 5, "first": 0, "more": 1, "turn": 0, "single": True, "hot": False}]
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("first", pa.int32()), ("more", pa.int16()),
+                               ("turn", pa.int16()), ("single", pa.bool_()), ("hot", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 1]), pa.array([2, 2], pa.int32()), pa.array([b"x" * 201] * 2), pa.array([want] * 2, kind)],
+        ["dk", "d2", "raw", "want"])
+    assert sum(b.num_rows for b in repeats._contexts(200)(iter([batch, batch]))) == 1
