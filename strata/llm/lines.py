@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_key
+from .common import deal_join, stage, text_key
 
 RUN = 3    # lines: the shortest repeated run that is deleted, and the winnowing window
 
@@ -46,17 +46,19 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     position, to all ``run`` lines of the window, and the windows whose lines
     all agree are the matches; overlapping matched windows make up longer runs.
     Of equal windows the first, in order of (doc_id, text key, position), stays.
-    Groups are only aggregated (map-side first), never gathered, and each
-    window is compared with the first of its group alone."""
+    Groups are only aggregated (map-side first), never gathered, each window is
+    compared with the first of its group alone, and the windows of a frequent
+    fingerprint are dealt over several tasks."""
     w = stage(_windows(docs, run), "line-windows")
     here = F.struct("doc_id", "key", "pos")
-    marks = (w.groupBy("fp").agg(F.min(here).alias("lo"), F.max(here).alias("hi"))
-             .where("lo <> hi").select("fp"))
-    near = w.join(marks, "fp")
+    marks = (w.groupBy("fp").agg(F.min(here).alias("lo"), F.max(here).alias("hi"), F.count("*").alias("n"))
+             .where("lo <> hi").select("fp", "n"))
+    near = stage(deal_join(w, stage(marks, "line-marks"), ["fp"]), "line-near")
     place = F.struct("doc_id", "key", "s")
-    firsts = (near.groupBy("k1", "k2", "len").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    firsts = (near.groupBy("k1", "k2", "len")
+              .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
               .where("first <> last").drop("last"))
-    later = near.join(firsts, ["k1", "k2", "len"]).where(place > F.col("first"))
+    later = deal_join(near, stage(firsts, "line-firsts"), ["k1", "k2", "len"]).where(place > F.col("first"))
     # Lines of a first occurrence that its own repetition overlaps stay.
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     start = F.when(same, F.greatest("s", F.col("first.s") + F.col("len"))).otherwise(F.col("s"))
