@@ -124,7 +124,7 @@ class Pipeline:
         layers start from stored tables (lineage cut at every table) and
         surrogate keys are fixed once written."""
         from . import expectations as EX
-        from .tables import write_checked
+        from .tables import GOLD_SPECS, conform, write_checked
 
         spark = self.spark
         rules = {**EX.BRONZE, **EX.SILVER, **EX.GOLD}
@@ -132,6 +132,8 @@ class Pipeline:
 
         def put(name: str, df: DataFrame) -> DataFrame:
             path = f"{root.rstrip('/')}/{name}"
+            if name in GOLD_SPECS:
+                df = conform(df, GOLD_SPECS[name])
             report[name] = write_checked(spark, df, path, name, rules.get(name, []))
             return spark.read.parquet(path)
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from ..operators import quality
 from ..streaming import snapshots
 from . import expectations as EX
+from . import gold as G
 
 PUBLISHED = "_PUBLISHED"
 
@@ -48,35 +49,65 @@ class TableSpec:
         return StructType.fromDDL(self.ddl)
 
 
-# Declared gold schemas with column comments.
-GOLD_SPECS = {
-    "gold_dim_sector": TableSpec(
-        "gold_dim_sector",
-        "sector_sk BIGINT COMMENT 'Dense surrogate key in sector-code order', "
-        "sector_code STRING COMMENT 'Four-character sector code (business key)', "
-        "sector_name STRING COMMENT 'Sector description, blanks trimmed', "
-        "display_level INT COMMENT 'Depth of the sector in the display hierarchy', "
-        "selectable STRING COMMENT 'T when the sector can be selected, F for headings', "
-        "sort_sequence INT COMMENT 'Position of the sector in the published listing'",
-        "Sector dimension", ("sector_sk",), EX.GOLD["gold_dim_sector"]),
-    "gold_dim_nation": TableSpec(
-        "gold_dim_nation",
-        "nation_sk BIGINT COMMENT 'Dense surrogate key in nation-id order', "
-        "nation_id STRING COMMENT 'Nation identifier as delivered (business key)', "
-        "name STRING COMMENT 'Nation name as first delivered'",
-        "Nation dimension", ("nation_sk",), EX.GOLD["gold_dim_nation"]),
-    "gold_fact_population": TableSpec(
-        "gold_fact_population",
-        "nation_sk BIGINT COMMENT 'Nation surrogate key', year INT COMMENT 'Calendar year', "
-        "population BIGINT COMMENT 'Population in that year', "
-        "previous_population BIGINT COMMENT 'Population of the previous row in year order', "
-        "population_change BIGINT COMMENT 'population - previous_population', "
-        "population_pct_change DOUBLE COMMENT 'Change in percent of previous_population'",
-        "Population per nation and year with year-over-year change", ("nation_sk", "year"),
-        EX.GOLD["gold_fact_population"]),
+# Types of the gold columns that are not STRING.
+TYPES = {"BIGINT": ("population", "previous_population", "population_change"),
+         "INT": ("display_level", "sort_sequence", "year", "observation_year", "observation_quarter",
+                 "observation_month"),
+         "DOUBLE": ("value", "population_pct_change"), "DATE": ("observation_date",),
+         "BOOLEAN": ("is_annual_average",)}
+
+# What each column of the gold tables holds.
+COMMENTS = {
+    "display_level": "Depth of the entry in the display hierarchy",
+    "selectable": "T when the entry can be selected, F for headings",
+    "sort_sequence": "Position of the entry in the published listing",
+    "class_code": "Class code", "class_text": "Class description, blanks trimmed",
+    "duration_code": "Duration code", "duration_text": "Duration description, blanks trimmed",
+    "measure_code": "Measure code", "measure_text": "Measure description, blanks trimmed",
+    "sector_code": "Four-character sector code", "sector_name": "Sector description, blanks trimmed",
+    "footnote_code": "Footnote code", "footnote_text": "Footnote, blanks trimmed",
+    "footnote_codes": "Footnote codes as delivered, a list in one text",
+    "seasonal_code": "Code of seasonal adjustment", "seasonal_text": "Seasonal adjustment, blanks trimmed",
+    "period": "Period code", "period_abbr": "Short name of the period", "period_name": "Name of the period, blanks trimmed",
+    "period_type": "Kind of period", "is_annual_average": "True for the average of a whole year",
+    "series_id": "Series identifier, blanks trimmed", "survey_code": "Survey part of the series identifier",
+    "base_year": "Year to which index values refer", "begin_year": "Year of the first observation",
+    "begin_period": "Period of the first observation", "end_year": "Year of the last observation",
+    "end_period": "Period of the last observation",
+    "year": "Calendar year", "value": "Observed value", "observation_date": "Last day of the period",
+    "observation_year": "Year of observation_date", "observation_quarter": "Quarter of observation_date",
+    "observation_month": "Month of observation_date",
+    "nation_id": "Nation identifier as delivered", "name": "Nation name as first delivered",
+    "population": "Population in that year", "previous_population": "Population of the previous row in year order",
+    "population_change": "population - previous_population",
+    "population_pct_change": "Change in percent of previous_population",
 }
 
 
+def _ddl(columns: list[str]) -> str:
+    kinds = {c: kind for kind, names in TYPES.items() for c in names}
+    return ", ".join(f"{c} BIGINT COMMENT 'Surrogate key: {c[:-3]}'" if c.endswith("_sk")
+                     else f"{c} {kinds.get(c, 'STRING')} COMMENT '{COMMENTS[c]}'" for c in columns)
+
+
+def _gold_spec(name: str, columns: list[str], comment: str, key: tuple[str, ...]) -> TableSpec:
+    return TableSpec(name, _ddl(columns), comment, key, EX.GOLD.get(name, []))
+
+
+# Declared schemas of all gold tables.
+GOLD_SPECS = {s.name: s for s in [
+    *[_gold_spec(f"gold_dim_{n}", [f"{n}_sk", *cols], f"{n.capitalize()} dimension", (f"{n}_sk",))
+      for n, (_, cols) in G.DIMENSIONS.items()],
+    _gold_spec("gold_dim_series", ["series_sk", *G.SERIES_COLUMNS], "Series dimension", ("series_sk",)),
+    _gold_spec("gold_dim_nation", ["nation_sk", "nation_id", "name"], "Nation dimension", ("nation_sk",)),
+    _gold_spec("gold_fact_productivity", G.FACT_PRODUCTIVITY_COLUMNS, "Observations with their surrogate keys",
+               ("series_id", "year", "period_sk")),
+    _gold_spec("gold_fact_population",
+               ["nation_sk", "year", "population", "previous_population", "population_change", "population_pct_change"],
+               "Population per nation and year with year-over-year change", ("nation_sk", "year")),
+]}
+
+
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Select the declared columns in declared order, cast to declared types,
     attach the column comments as metadata."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.quality import ExpectationFailed
+from strata.plans import tables as T
 from strata.plans.pipeline import Pipeline
 from strata.session import scratch_path
 from strata.sources import landing as L
@@ -13,11 +14,18 @@ from conftest import SF_SMALL
 
 def test_run_writes_every_table_and_reports_rules(spark):
     p = Pipeline.from_tables(spark, SF_SMALL)
-    report = p.materialize(scratch_path(spark, "run"))
+    root = scratch_path(spark, "run")
+    report = p.materialize(root)
+    # every gold table is stored with its declared types and comments
+    assert set(T.GOLD_SPECS) == {n for n in p.tables() if n.startswith("gold_")}
+    for name, spec in T.GOLD_SPECS.items():
+        stored = spark.read.parquet(f"{root}/{name}").schema
+        assert [(f.name, f.dataType, f.metadata["comment"]) for f in stored] == \
+            [(f.name, f.dataType, f.metadata["comment"]) for f in spec.schema]
     assert {"brz_pr_data_0_current", "slv_pr_productivity", "gold_fact_productivity",
             "gold_fact_population", "gold_dim_series"} <= set(report)
     # the sector landing carries one selectable code outside T/F: a warning, not a failure
-    assert report["brz_pr_sector"]["valid_selectable"] >= 0
+    assert report["brz_pr_sector"]["valid_selectable"] == 1
     assert report["gold_fact_population"]["gold_population_nation_fk"] == 0
     # later layers read the stored tables: the fact's plan starts from files
     plan = p.gold_fact_productivity._jdf.queryExecution().optimizedPlan().toString()
