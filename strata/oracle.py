@@ -417,6 +417,9 @@ QUERIES["q3_series_population_sql"] = QUERIES["q3_series_population"]
 QUERIES["tsv_pipeline_best_year"] = QUERIES["q2_best_year"]
 QUERIES["materialized_dim_sector"] = QUERIES["gold_dim_sector"]
 QUERIES["materialized_fact_population"] = QUERIES["fact_population"]
+for _n in ("class", "duration", "measure", "footnote", "seasonal", "period", "series", "nation"):
+    QUERIES[f"materialized_dim_{_n}"] = QUERIES[f"gold_dim_{_n}"]
+QUERIES["materialized_fact_productivity"] = QUERIES["fact_star_left"]
 QUERIES["pipeline_run_best_year"] = QUERIES["q2_best_year"]
 QUERIES["population_pipeline_q1"] = QUERIES["q1_mean_stddev"]
 QUERIES["population_pipeline_q3"] = QUERIES["q3_series_population"]

@@ -90,21 +90,20 @@ def _ddl(columns: list[str]) -> str:
                      else f"{c} {kinds.get(c, 'STRING')} COMMENT '{COMMENTS[c]}'" for c in columns)
 
 
-def _gold_spec(name: str, columns: list[str], comment: str, key: tuple[str, ...]) -> TableSpec:
-    return TableSpec(name, _ddl(columns), comment, key, EX.GOLD.get(name, []))
+def _gold_spec(name: str, columns: list[str], comment: str) -> TableSpec:
+    return TableSpec(name, _ddl(columns), comment, tuple(EX.PRIMARY_KEYS.get(name, ())), EX.GOLD.get(name, []))
 
 
 # Declared schemas of all gold tables.
 GOLD_SPECS = {s.name: s for s in [
-    *[_gold_spec(f"gold_dim_{n}", [f"{n}_sk", *cols], f"{n.capitalize()} dimension", (f"{n}_sk",))
+    *[_gold_spec(f"gold_dim_{n}", [f"{n}_sk", *cols], f"{n.capitalize()} dimension")
       for n, (_, cols) in G.DIMENSIONS.items()],
-    _gold_spec("gold_dim_series", ["series_sk", *G.SERIES_COLUMNS], "Series dimension", ("series_sk",)),
-    _gold_spec("gold_dim_nation", ["nation_sk", "nation_id", "name"], "Nation dimension", ("nation_sk",)),
-    _gold_spec("gold_fact_productivity", G.FACT_PRODUCTIVITY_COLUMNS, "Observations with their surrogate keys",
-               ("series_id", "year", "period_sk")),
+    _gold_spec("gold_dim_series", ["series_sk", *G.SERIES_COLUMNS], "Series dimension"),
+    _gold_spec("gold_dim_nation", ["nation_sk", "nation_id", "name"], "Nation dimension"),
+    _gold_spec("gold_fact_productivity", G.FACT_PRODUCTIVITY_COLUMNS, "Observations with their surrogate keys"),
     _gold_spec("gold_fact_population",
                ["nation_sk", "year", "population", "previous_population", "population_change", "population_pct_change"],
-               "Population per nation and year with year-over-year change", ("nation_sk", "year")),
+               "Population per nation and year with year-over-year change"),
 ]}
 
 

@@ -384,6 +384,23 @@ def materialized_fact_population(spark, src):
     return f.withColumn("population_pct_change", _r6(F.col("population_pct_change")))
 
 
+def _materialized(name: str, frame) -> None:
+    """Register ``materialized_<table>``: a gold table written through its
+    declared schema with its rules enforced, then read back."""
+    def run(spark, src):
+        root = scratch_path(spark, f"gold_{name}")
+        T.materialize(spark, frame(_p(spark, src)), root, T.GOLD_SPECS[f"gold_{name}"])
+        return T.read_published(spark, root)
+    REGISTRY[f"materialized_{name}"] = run
+
+
+for _n in ("class", "duration", "measure", "footnote", "seasonal", "period"):
+    _materialized(f"dim_{_n}", lambda p, n=_n: p.gold_dims[n].df)
+_materialized("dim_series", lambda p: p.gold_dim_series.df)
+_materialized("dim_nation", lambda p: p.gold_dim_nation.df)
+_materialized("fact_productivity", lambda p: p.gold_fact_productivity)
+
+
 @query
 def pipeline_run_best_year(spark, src):
     """Full pipeline run: every bronze, silver and gold table written with
