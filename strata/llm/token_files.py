@@ -60,6 +60,7 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in self.vocab.items() if t.endswith("</w>")]] = True
+        self.apart: dict[str, bool] = {}
         # Two generations of known words (and of their parts): when the younger
         # is full, the older one goes; words still in use move up.
         self.forget()
@@ -74,10 +75,20 @@ class WordEncoder:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ends_piece(self, c: str) -> bool:
+        """Whether the tokenizer itself, by its own classes of characters, ends
+        a piece between ``c`` and punctuation."""
+        if c not in self.apart:
+            norm = self.lib.normalizer.normalize_str(c + ",") if self.lib.normalizer else c + ","
+            self.apart[c] = self.lib.pre_tokenizer.pre_tokenize_str(norm)[-1][0] == ","
+        return self.apart[c]
+
     def _learn(self, missing: set[str]) -> None:
-        """Ids of new words.  Punctuation at a word's end is split off by the
-        tokenizer anyway, so both parts are looked up on their own; words of
-        letters only are encoded in one text, whose word ends show in the ids."""
+        """Ids of new words.  Punctuation after a letter or number at a word's
+        end is split off by the tokenizer anyway, so both parts are looked up on
+        their own; punctuation after anything else is one piece with it, so such
+        words are encoded whole.  Words of letters only are encoded in one text,
+        whose word ends show in the ids."""
         split, new = [], {}
         for w in missing:
             known = self.old_words.get(w)
@@ -85,6 +96,8 @@ class WordEncoder:
                 self.words[w] = known
                 continue
             core = w.rstrip(self._TAIL)
+            if core and not self._ends_piece(core[-1]):
+                core = w
             two = (core.lower() if core.isascii() else core), w[len(core):]
             split.append((w, two))
             for p in two:

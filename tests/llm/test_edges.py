@@ -1,6 +1,7 @@
 """Nulls in every column, empty and very long texts, repeated rows, an empty
 table and clashing extra columns, for every operator over documents."""
 
+import random
 import zlib
 
 import numpy as np
@@ -89,6 +90,18 @@ def test_tokens_round_trip(spark, make_docs):
     assert [r["doc_id"] for r in rows] == [None, 1, 2, 3, 4, 4, 5, 6, 7, 8]
 
 
+def test_words_ending_in_other_signs_are_encoded_whole():
+    enc = token_files.WordEncoder(token_files.default_tokenizer())
+    words = ["'x'.", "dogs',", "”.", "»,", "…)", "wow😀!", "हिन्दी,", "İ,", "I\u0307.", "e\u0301.", "x²,", "½)", "ª.",
+             "don't.", "'S.", "--", "…", "'", "''.", "A—,", "한글.", "日本語!", "a\u200d,", "٣."]
+    rng = random.Random(6)
+    signs = "aZ9 '’”»…😀िé\u0301²İßσ.,)!-<|_한\u1161"
+    words += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 7))) for _ in range(4000)]
+    for text in [*words, " ".join(words[:24])]:
+        want = enc.lib.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc(text), enc.dtype).tolist() == want, text
+
+
 def test_mix_and_stages(spark, make_docs):
     mixed = mixing.mix(make_docs(ROWS))
     plan = {(r["doc_id"], r["source"]): r for r in mixing.fair_mix(make_docs(ROWS)).collect()}
