@@ -7,7 +7,9 @@ from collections.abc import Iterable, Iterator
 
 import gc
 import os
+import re
 import tempfile
+import unicodedata
 import zipfile
 from pathlib import Path
 
@@ -143,7 +145,8 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
 def word_hashes(texts: Iterable[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Word hashes of texts, chunk by chunk: (first text, number of texts,
     hashes, offsets).  Text ``first + i`` has ``hashes[offsets[i]:offsets[i + 1]]``.
-    Words are runs of letters and digits of the lower-cased text."""
+    Words are runs of ASCII letters and digits and of any non-ASCII characters
+    of the lower-cased text; ``spaced`` texts have words by Unicode's classes."""
     hold: list[bytes] = []
     size = first = 0
 
@@ -171,6 +174,49 @@ def word_hashes(texts: Iterable[str | None]) -> Iterator[tuple[int, int, np.ndar
         yield flush()
 
 
+# Blocks of scripts written without spaces between words: Thai, Lao, Burmese, Khmer, Tai and
+# Javanese scripts, kana, Chinese characters, Yi.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF),
+            (0x1B00, 0x1B7F), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+            (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF),
+            (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF))
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
+
+
+class _Spaced(dict):
+    """Characters as ``spaced`` writes them, worked out when first met."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if not (c.isalnum() or unicodedata.category(c)[0] == "M"):
+            out = " "
+        elif any(a <= code <= b for a, b in UNSPACED):
+            out = f" {c} "
+        else:
+            out = c
+        self[code] = out
+        return out
+
+
+_SPACED = _Spaced()
+
+
+def spaced(text: str | None) -> str:
+    """``text`` in lower case with a space for every non-ASCII character that is
+    no letter, digit or combining mark, and spaces around each character of a
+    script without them, so that ``word_hashes`` finds its words."""
+    text = (text or "").lower()
+    return text if text.isascii() else _NOT_ASCII.sub(lambda m: m[0].translate(_SPACED), text)
+
+
+def word_count(text) -> F.Column:
+    """The number of words of ``spaced`` texts (for bounds: Java's tables of
+    characters may be older or newer than Python's)."""
+    alone = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED)
+    letter = r"\p{L}\p{N}\p{M}"
+    return F.regexp_count(text, F.lit(rf"[{letter}&&[{alone}]]|[{letter}&&[^{alone}]]+"))
+
+
 def shingles(h: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of k words of each text (a text of 1 to k-1 words has
     one shingle, all its words), and the offsets of each text's shingles."""

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import fresh, map_arrow, mix, word_hashes
+from .common import fresh, map_arrow, mix, spaced, word_count, word_hashes
 
 RATIO = 0.2                # edits a benchmark item may have, of its words
-MIN_WORDS = 5              # shorter items cannot be told from chance
+MIN_WORDS = 5              # shorter items have no edits and are looked up exactly
 RECALL = 0.99              # target, for windows with the most edits allowed
 SAMPLED = 4                # embedded positions in one hash
 MAX_REPEATS = 96
@@ -81,6 +81,42 @@ def best_edit(item: np.ndarray, n: np.ndarray, region: np.ndarray) -> np.ndarray
     return out
 
 
+def _runs(h: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of all runs of q words."""
+    out = np.zeros(max(0, len(h) - q + 1), U)
+    for i in range(q):
+        out = mix(out * U(0xD6E8FEB86659FD93) + h[i:len(h) - q + 1 + i])
+    return out
+
+
+class Short:
+    """Items of fewer than MIN_WORDS words, looked up as exact runs of words; an
+    item of one word, which any text may hold by chance, only as a whole text."""
+
+    def __init__(self, words: list[np.ndarray]):
+        self.of = {}
+        for q in range(1, MIN_WORDS):
+            mine = np.array([i for i, w in enumerate(words) if len(w) == q], np.int64)
+            if len(mine):
+                keys = np.concatenate([_runs(words[i], q) for i in mine])
+                order = np.argsort(keys, kind="stable")
+                self.of[q] = keys[order], mine[order]
+
+    def find(self, h: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) of the items in the texts."""
+        for q, (keys, owner) in self.of.items():
+            runs = _runs(h, q)
+            first = np.searchsorted(keys, runs, "left")
+            at = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == runs)
+            doc = np.searchsorted(offsets, at, "right") - 1
+            inside = at + q <= offsets[doc + 1]
+            if q == 1:
+                inside &= np.diff(offsets)[doc] == 1
+            for d, k in np.unique(np.stack([doc[inside], first[at[inside]]]), axis=1).T.tolist():
+                for item in owner[k:np.searchsorted(keys, keys[k], "right")].tolist():
+                    yield d, item
+
+
 class Grams:
     """Runs of q words of the items, and the windows of a text with enough of
     them (the q-gram lemma) to be within the allowed distance of some item."""
@@ -91,29 +127,23 @@ class Grams:
         self.q, self.lengths = q, np.unique(n[mine])
         if not len(self.lengths):
             return
-        self.known = np.unique(np.concatenate([self._runs(w) for w, m in zip(words, mine) if m]))
+        self.known = np.unique(np.concatenate([_runs(w, q) for w, m in zip(words, mine) if m]))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.known >> U(44)).astype(np.int64)] = True
         self.of = np.zeros((len(self.lengths), len(self.known)), bool)     # which lengths a run comes from
         for w, m in zip(words, mine):
             if m:
-                self.of[np.searchsorted(self.lengths, len(w)), np.searchsorted(self.known, self._runs(w))] = True
+                self.of[np.searchsorted(self.lengths, len(w)), np.searchsorted(self.known, _runs(w, q))] = True
         e = edits(self.lengths)
         self.span, self.need = self.lengths + e, self.lengths - q + 1 - q * e
         # Of the stretches of ``part`` run starts that make up a rich window, one is rich.
         self.part = int(self.span.min())
         self.part_need = max(1, int(np.ceil(self.need / np.ceil((self.span - q + 1) / self.part)).min()))
 
-    def _runs(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(max(0, len(h) - self.q + 1), U)
-        for i in range(self.q):
-            out = mix(out * U(0xD6E8FEB86659FD93) + h[i:len(h) - self.q + 1 + i])
-        return out
-
     def windows(self, h: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """(text, start, length, end of the text) of windows, length by length."""
         q = self.q
-        runs = self._runs(h)
+        runs = _runs(h, q)
         at = np.flatnonzero(self.maybe[(runs >> U(44)).astype(np.int64)])
         which = np.minimum(np.searchsorted(self.known, runs[at]), len(self.known) - 1)
         at, which = at[self.known[which] == runs[at]], which[self.known[which] == runs[at]]
@@ -141,11 +171,12 @@ class Index:
     """Benchmark items, their runs of words and their LSH keys."""
 
     def __init__(self, ids: list[int | None], texts: list[str | None], recall: float = RECALL):
-        words = [h[o[i]:o[i + 1]] for _, n, h, o in word_hashes(texts) for i in range(n)]
+        words = [h[o[i]:o[i + 1]] for _, n, h, o in word_hashes(map(spaced, texts)) for i in range(n)]
         use = [i for i, w in enumerate(words) if len(w) >= MIN_WORDS]
-        self.ids = [ids[i] for i in use]
+        self.ids, self.use, self.short = list(ids), use, Short(words)
         words = [words[i] for i in use]
         self.n = np.array([len(w) for w in words], np.int64)
+        self.grams: list[Grams] = []
         if not use:
             return
         self.longest = int(self.n.max())
@@ -187,11 +218,12 @@ class Index:
     def find(self, texts: list[str | None]) -> list[list]:
         """For every text the ids of the items it contains."""
         found: list[set[int]] = [set() for _ in texts]
-        if len(self.n):
-            for first, count, h, offsets in word_hashes(texts):
-                where = [w for g in self.grams for w in g.windows(h, offsets)]
-                for doc, item in self._search(h, offsets, where):
-                    found[first + doc].add(item)
+        for first, count, h, offsets in word_hashes(map(spaced, texts)) if self.use or self.short.of else ():
+            for doc, item in self.short.find(h, offsets):
+                found[first + doc].add(item)
+            where = [w for g in self.grams for w in g.windows(h, offsets)]
+            for doc, item in self._search(h, offsets, where):
+                found[first + doc].add(self.use[item])
         return [sorted((self.ids[i] for i in f), key=lambda x: (x is None, x)) for f in found]
 
     def _search(self, h, offsets, where) -> set[tuple[int, int]]:
@@ -249,8 +281,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL,
     items that the text contains; its name is ``item_column(docs)``.
 
     A text contains an item of n words if some run of its words is at most
-    0.2 n edits (insert, delete, replace a word) from the item.  Words are runs
-    of letters and digits, lower-cased.  Candidate windows, of the items' sizes,
+    0.2 n edits (insert, delete, replace a word) from the item, for fewer than 5
+    words exactly the item; an item of one word must be the whole text.  Words
+    are runs of letters, digits and combining marks by Unicode's classes,
+    lower-cased; in scripts written without spaces every character is a word.
+    Candidate windows, of the items' sizes,
     are embedded by the CGK walk and looked up by bit-sampling LSH; repetitions
     are added until items with the most edits allowed reach the target recall;
     what is found is verified by exact edit distance.  Windows that share too
@@ -261,14 +296,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL,
     bounded by ``item_words``: a larger benchmark is cut into parts of at most
     about that many words, each of which is a pass over the documents.
 
-    Null and empty texts contain nothing.  Null item texts and items of fewer
-    than 5 words are not looked for; a null item_id is a null in the list.
+    Null and empty texts contain nothing.  Null item texts and items without a
+    letter or digit are not looked for; a null item_id is a null in the list.
     Repeated rows get the same result; an empty benchmark finds nothing, an
     empty table gives an empty result.  Other columns pass through."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null")
-    size = F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))
-    total = items.agg(F.sum(size)).first()[0] or 0
+    total = items.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
     passes = -(-int(total) // item_words)
     name, more = fresh(docs, "item_ids", "item_ids_more")
     schema = StructType([*docs.schema.fields, StructField(name, ArrayType(LongType()))])

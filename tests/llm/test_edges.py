@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import contamination, lang, lines, mixing, near_text, repeats, token_counts, token_files
+from strata.llm import common, contamination, lang, lines, mixing, near_text, repeats, token_counts, token_files
 from strata.session import scratch_path
 
 LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(60_000))
@@ -76,6 +76,20 @@ def test_contamination_rows(spark, make_docs):
     assert sorted(str((r["doc_id"], r["item_ids"])) for r in parts) == sorted(map(str, out))
 
 
+def test_short_items_and_items_of_every_script(spark, make_docs):
+    items = [(1, "Who wrote Hamlet?"), (2, "what is the answer"), (3, "中国的首都是哪里？"), (4, "日本の首都はどこですか"),
+             (5, "เมืองหลวงของไทยคืออะไร"), (6, "¿Cuál es la capital de España?"), (7, "столица"), (8, "ok"), (9, "?!")]
+    rows = [(1, "so who wrote hamlet then"), (2, "what is the right answer"), (3, "问：中国的首都是哪里？答：北京"),
+            (4, "質問:日本の首都はどこですか。東京"), (5, "ถามว่าเมืองหลวงของไทยคืออะไรครับ"),
+            (6, "«¿cuál\u00a0es la—capital de españa?»"), (7, "Столица"), (8, "it is ok"), (9, "?!"),
+            (10, "中国的首都在哪里"), (11, "what is the"), (12, "answer"), (13, "what IS\u2003the “answer”"), (14, "北京很大")]
+    found = contamination.find_items(make_docs(rows), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r["doc_id"]: r["item_ids"] for r in found.collect()}
+    assert got == {1: [1], 2: [], 3: [3], 4: [4], 5: [5], 6: [6], 7: [7], 8: [], 9: [], 10: [3], 11: [], 12: [],
+                   13: [2], 14: []}
+    assert found.sparkSession.range(1).select(common.word_count(F.lit("a bc, 中国x हिन्दी"))).first()[0] == 6
+
+
 def test_tokens_round_trip(spark, make_docs):
     path = token_files.write_tokens(make_docs(ROWS), scratch_path(spark, "t"))
     rows = sorted(token_files.read_tokens(spark, path, with_ids=True).collect(), key=lambda r: r["start"])
