@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +30,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BLOCKS = {"address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt",
           "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "html", "li", "main", "ol", "p",
           "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-# Elements that are never main text, and words of class, id and role that say so.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Elements that are never main text, and names of class, id and role that say so.
 ASIDE = {"nav", "footer", "aside", "form", "svg", "canvas", "button", "select", "dialog", "menu", "object", "audio",
          "video", "map", "fieldset", "header"}
 ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb",
@@ -38,12 +40,17 @@ ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "recommended",
                "related", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
                "sponsored", "subscribe", "toolbar", "widget"}
+# Words that only place such a name: "site-footer", "related-posts".
+PLACING = {"area", "bar", "block", "bottom", "box", "buttons", "container", "form", "global", "inner", "item", "items",
+           "left", "links", "list", "main", "outer", "page", "posts", "primary", "right", "secondary", "section",
+           "site", "top", "wrapper"}
+WRAPPERS = {"form", "fieldset", "object"}    # of ASIDE, those that may also enclose a whole page
 CONTENT = {"article", "main"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*)[^>]*>?|<[!?/][^>]*>?", re.S)
-_NAMING = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_WORDS = re.compile(r"[a-z0-9]+")
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_SLUG = re.compile(r"[-_]+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 
 # Items of a page: (kind, name, text).  Kinds: word run, tag, left-out element.
@@ -76,28 +83,55 @@ def parse(page: str) -> list[tuple[int, str, str]]:
     return out
 
 
-def _is_aside(name: str, attrs: str) -> bool:
+def _names_aside(value: str) -> bool:
+    """Whether a class or role is a name of ASIDE_WORDS, or is put together of
+    such names and words that place them."""
+    if value in ASIDE_WORDS:
+        return True
+    parts = [x for x in _SLUG.split(value) if x]
+    return any(x in ASIDE_WORDS for x in parts) and all(x in ASIDE_WORDS or x in PLACING for x in parts)
+
+
+def _is_aside(name: str, attrs: str, inside: bool = False) -> bool:
+    """Whether an element says of itself that it is no main text: by its tag, a
+    class or role, or its whole id.  Headings and elements within a line never
+    do by a name; ids of sections and paragraphs ``inside`` the content are
+    anchors made of their titles."""
     if name in ASIDE:
         return True
-    if not attrs or name in ("html", "body", "article", "main"):
+    if not attrs or name in ("html", "body") or name in CONTENT or name in HEADINGS or name in INLINE:
         return False
-    return any(w in ASIDE_WORDS for v in _NAMING.findall(attrs) for w in _WORDS.findall(v.lower()))
+    for key, value in _ATTR.findall(attrs):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key in ("class", "role") and any(map(_names_aside, value.split())):
+            return True
+        if key == "id" and value.strip() in ASIDE_WORDS and not (inside and name in ("section", "p")):
+            return True
+    return False
 
 
 def leave_out(items: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
     """Items without menus, adverts and the like: each such element becomes one
     LEFT item.  An element that is never closed, or holds the page's article,
-    stays; a header within an article that holds a heading is its title."""
-    out, i, n, inside = [], 0, len(items), 0
+    stays; a header within an article that holds a heading is its title.  On a
+    page without an article or main element, a block that holds most of its words
+    stays too (unless its tag alone says what it is): the weights decide."""
+    out, i, n, inside, words = [], 0, len(items), 0, None
+    bare = not any(x[0] == TAG and x[1] in CONTENT for x in items)
     while i < n:
         kind, name, attrs = items[i]
         if kind == TAG and name.lstrip("/") in CONTENT:
             inside += -1 if name[0] == "/" else 1
-        if kind == TAG and name[0] != "/" and name not in VOID and _is_aside(name, attrs):
+        if kind == TAG and name[0] != "/" and name not in VOID and _is_aside(name, attrs, inside > 0 or bare):
             end = _end_of(items, i, name)
             within = {x[1] for x in items[i + 1:end or i + 1] if x[0] == TAG}
             title = inside > 0 and ("header" == name or "header" in attrs.lower()) and within & {"h1", "h2"}
-            if end is not None and not within & CONTENT and not title:
+            most = False
+            if end is not None and bare and (name not in ASIDE or name in WRAPPERS):
+                if words is None:
+                    words = list(accumulate((len(x[2].split()) if x[0] == TEXT else 0 for x in items), initial=0))
+                most = 2 * (words[end] - words[i]) > words[n]
+            if end is not None and not within & CONTENT and not title and not most:
                 out.append((LEFT, name, ""))
                 i = end
                 continue
@@ -254,7 +288,7 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     the contiguous run with the highest sum is its content, widened to whole
     blocks.  Menus, headers, footers, side columns, notices, adverts, forms,
     scripts, styles and reader comments inside it are left out by element and
-    by the words of class, id and role.  A null or empty page, or one without
+    by whole names of class, id and role (see ``leave_out``).  A null or empty page, or one without
     words, has the text ''.  Rows are independent and nothing is shuffled:
     repeated rows and null ids need no care; an empty table gives none."""
     p = pages.select("page_id", "url", "html")

@@ -155,6 +155,23 @@ def test_pages(page, text):
     assert html_text.extract_text(page, html_text.UNFITTED) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<article><h2 id="related-work">Related work</h2><p>one two</p><h2 class="search">Search</h2><p id="notice-period">'
+     'three four</p><p>do <span class="share">share</span> it</p></article>',
+     "Related work\none two\nSearch\nthree four\ndo share it"),
+    ('<main><section id="social-impact"><h2 id="search-results">Impact</h2><p>one two</p></section><section id="notice">'
+     '<p>five six</p></section></main>', "Impact\none two\nfive six"),
+    ('<div class="content with-sidebar"><p>one two three</p><div id="sidebar">no</div><div class="site-footer">no</div></div>',
+     "one two three"),
+    ('<div class="widget"><p>one two three four</p><ul class="related-posts"><li>no</li></ul></div>', "one two three four"),
+    ('<form id="page"><p>one two three four</p><div role="search">no</div></form>', "one two three four"),
+    ('<article><p title="the class=ad">one two</p><div class="share-buttons">no</div></article><div class="comments">'
+     'no no no no no no</div>', "one two"),
+])
+def test_names_that_only_look_like_asides(page, text):
+    assert html_text.extract_text(page, html_text.UNFITTED) == text
+
+
 def test_page_weights(spark):
     w = html_text.fit(table(spark, SF, "pages"))
     assert w["word"] > 0 and all(v < 0 for k, v in w.items() if k != "word")
