@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ ITEM_WORDS = 200_000       # words of benchmark items handled in one pass over t
 U = np.uint64
 PAD = U(0x5bd1e995)
 _WINDOWS = 4096            # windows embedded at once
+_CELLS = 1 << 20           # words of windows (or of regions) held at once: long items go in smaller batches
 
 
 def edits(n: np.ndarray | int):
@@ -40,12 +42,9 @@ class Embedding:
         self.longest, self.repeats = longest, repeats
         steps = 3 * longest
         self.turn = rng.integers(1, 1 << 63, (steps, repeats), dtype=np.int64).astype(U) * U(2) + U(1)
-        at = rng.random((repeats, SAMPLED))
-        odd = rng.integers(1, 1 << 63, (repeats, SAMPLED), dtype=np.int64).astype(U) * U(2) + U(1)
-        self.coef = np.zeros((longest + 1, steps, repeats), U)
-        for n in range(1, longest + 1):
-            for k in range(SAMPLED):
-                np.add.at(self.coef[n], ((at[:, k] * 3 * n).astype(int), np.arange(repeats)), odd[:, k])
+        # Sampled positions as shares of the 3n steps, and the factors of the words there.
+        self.at = rng.random((repeats, SAMPLED))
+        self.odd = rng.integers(1, 1 << 63, (repeats, SAMPLED), dtype=np.int64).astype(U) * U(2) + U(1)
 
     def keys(self, words: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Hashes (windows x repeats) of the first n[i] words of each row."""
@@ -57,9 +56,18 @@ class Embedding:
         padded = np.concatenate([words, np.full((len(words), 1), PAD, U)], axis=1)
         end = np.where(n < words.shape[1], n, words.shape[1])[:, None]
         padded[np.arange(padded.shape[1])[None, :] >= end] = PAD
+        lengths, which = np.unique(n, return_inverse=True)
+        step = (self.at * 3 * lengths[:, None, None]).astype(np.int64)
+        order = np.argsort(step.ravel(), kind="stable")
+        row, repeat, k = np.unravel_index(order, step.shape)
+        cut = np.searchsorted(step.ravel()[order], np.arange(3 * top + 1))
         for j in range(3 * top):
             now = padded[rows, i]
-            key += now * self.coef[n, j]
+            if cut[j] < cut[j + 1]:
+                part = slice(cut[j], cut[j + 1])
+                coef = np.zeros((len(lengths), self.repeats), U)
+                np.add.at(coef, (row[part], repeat[part]), self.odd[repeat[part], k[part]])
+                key += now * coef[which]
             i = np.minimum(i + (mix(now * self.turn[j]) >> U(63)).astype(np.int64), end)
         return mix(key + np.arange(self.repeats, dtype=U) * U(0x9E3779B97F4A7C15) + n[:, None].astype(U))
 
@@ -167,6 +175,16 @@ class Grams:
                     yield np.full(len(ok), d), ok, np.full(len(ok), n), np.full(len(ok), b)
 
 
+def _batches(n: np.ndarray, most: int) -> Iterator[slice]:
+    """Cuts of rising sizes n, of at most ``most`` rows and _CELLS in a rectangle."""
+    lo = 0
+    while lo < len(n):
+        some = n[lo:lo + most]
+        hi = lo + max(1, int(np.searchsorted(some * np.arange(1, len(some) + 1), _CELLS, "right")))
+        yield slice(lo, hi)
+        lo = hi
+
+
 class Index:
     """Benchmark items, their runs of words and their LSH keys."""
 
@@ -180,37 +198,57 @@ class Index:
         if not use:
             return
         self.longest = int(self.n.max())
-        self.words = np.full((len(words), self.longest), PAD, U)
-        for i, w in enumerate(words):
-            self.words[i, :len(w)] = w
+        self.flat, self.start = np.concatenate(words), np.cumsum(self.n) - self.n
+        self.alike = dict(zip(*(x.tolist() for x in np.unique(self.n, return_counts=True))))   # items of each length
         # A text that differs from an item in e words shares n - q + 1 - q e runs of q words with
         # it, in n + e words: runs of three, or of two for the lengths that leave too few.
         self.grams = [Grams(q, words, self.n) for q in (2, 3)]
         self.grams = [g for g in self.grams if len(g.lengths)]
         self.embedding = Embedding(self.longest, self._repeats(recall))
-        keys = self.embedding.keys(self.words, self.n)
-        flat = keys.ravel()
+        flat = self._keys(self.embedding, np.arange(len(words))).ravel()
         order = np.argsort(flat, kind="stable")
-        self.keys, self.owner = flat[order], np.repeat(np.arange(len(words)), keys.shape[1])[order]
+        self.keys, self.owner = flat[order], np.repeat(np.arange(len(words)), self.embedding.repeats)[order]
+
+    def _grid(self, items: np.ndarray) -> np.ndarray:
+        """Words of items, a row each."""
+        n = self.n[items][:, None]
+        ahead = np.arange(int(n.max()))
+        return np.where(ahead < n, self.flat[np.minimum(self.start[items][:, None] + ahead, len(self.flat) - 1)], PAD)
+
+    def _keys(self, embedding: Embedding, items: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(items), embedding.repeats), U)
+        order = np.argsort(self.n[items], kind="stable")
+        for cut in _batches(self.n[items[order]], _WINDOWS):
+            out[order[cut]] = embedding.keys(self._grid(items[order[cut]]), self.n[items[order[cut]]])
+        return out
 
     def _repeats(self, recall: float) -> int:
         """Repetitions for the target: items with as many random edits as
         allowed are embedded, and repetitions are added until that share of them
-        meets its item."""
+        meets its item.  Few long items are tried less often."""
         rng = np.random.default_rng(11)
         take = rng.permutation(len(self.n))[:200]
-        take = np.concatenate([take] * max(1, 400 // len(take)))
-        changed = np.full((len(take), self.longest), PAD, U)
-        for r, i in enumerate(take):
-            w = list(self.words[i, :self.n[i]])
+        once = len(take)
+        take = np.concatenate([take] * max(1, min(400, (1 << 21) // self.longest) // once))
+        changed = []
+        for i in take:
+            w = list(self.flat[self.start[i]:self.start[i] + self.n[i]])
             for _ in range(int(edits(self.n[i]))):
                 at, kind = int(rng.integers(len(w))), int(rng.integers(3))
                 new = U(rng.integers(1, 1 << 62))
                 w[at:at + (kind != 0)] = [new] if kind != 2 else []
-            w = (w + list(rng.integers(1, 1 << 62, self.longest).astype(U)))[:self.n[i]]
-            changed[r, :len(w)] = w
+            more = rng.integers(1, 1 << 62, self.longest).astype(U)
+            changed.append(np.array([*w, *more[:max(0, self.n[i] - len(w))]], U)[:self.n[i]])
         probe = Embedding(self.longest, MAX_REPEATS)
-        same = probe.keys(changed, self.n[take]) == probe.keys(self.words[take], self.n[take])
+        own = self._keys(probe, take[:once])
+        same = np.zeros((len(take), MAX_REPEATS), bool)
+        order = np.argsort(self.n[take], kind="stable")
+        for cut in _batches(self.n[take[order]], _WINDOWS):
+            rows = order[cut]
+            grid = np.full((len(rows), int(self.n[take[rows]].max())), PAD, U)
+            for r, i in enumerate(rows):
+                grid[r, :len(changed[i])] = changed[i]
+            same[rows] = probe.keys(grid, self.n[take[rows]]) == own[rows % once]
         met = np.logical_or.accumulate(same, axis=1).mean(0)
         enough = np.flatnonzero(met >= recall)
         return int(enough[0]) + 1 if len(enough) else MAX_REPEATS
@@ -231,12 +269,20 @@ class Index:
             return set()
         doc, start, n, end = (np.concatenate(x) for x in zip(*where))
         out: set[tuple[int, int]] = set()
-        padded = np.concatenate([h, np.full(3 * self.longest, PAD, U)])
-        ahead = np.arange(self.longest)
-        for lo in range(0, len(doc), _WINDOWS):
-            d, s, m, b = (x[lo:lo + _WINDOWS] for x in (doc, start, n, end))
-            words = padded[s[:, None] + ahead]
-            words[s[:, None] + ahead >= b[:, None]] = PAD
+        tried: set[tuple[int, int, int]] = set()
+        padded = np.concatenate([h, np.full(self.longest, PAD, U)])
+        # By length; windows of long items in scattered order, so that an item is met, and
+        # the rest of its windows left, after few of them.
+        far = np.where(n * _WINDOWS > _CELLS, start.astype(U) * U(0x9E3779B97F4A7C15), U(0))
+        order = np.lexsort((far, n))
+        doc, start, n, end = doc[order], start[order], n[order], end[order]
+        while len(doc):
+            cut = next(_batches(n, _WINDOWS))
+            d, s, m, b = doc[cut], start[cut], n[cut], end[cut]
+            doc, start, n, end = (x[cut.stop:] for x in (doc, start, n, end))
+            at = s[:, None] + np.arange(int(m.max()))
+            words = padded[at]
+            words[at >= b[:, None]] = PAD
             keys = self.embedding.keys(words, m)
             first = np.searchsorted(self.keys, keys.ravel(), "left")
             last = np.searchsorted(self.keys, keys.ravel(), "right")
@@ -247,23 +293,28 @@ class Index:
             # Windows of one text that start close to each other lie in one region.
             cell = s[win] // (self.n[item] // 2 + 1)
             pairs = np.unique(np.stack([d[win], item, cell]), axis=1)
-            known = np.array([(x, y) not in out for x, y in zip(pairs[0].tolist(), pairs[1].tolist())], bool)
-            pairs = pairs[:, known]
+            new = np.array([(x, y) not in out and (x, y, z) not in tried for x, y, z in pairs.T.tolist()], bool)
+            pairs = pairs[:, new]
             if not pairs.shape[1]:
                 continue
-            x, item, cell = pairs
+            tried.update(map(tuple, pairs.T.tolist()))
+            x, item, cell = pairs[:, np.argsort(self.n[pairs[1]], kind="stable")]
             step = self.n[item] // 2 + 1
             begin = np.maximum(cell * step - self.n[item], offsets[x])
-            width = int(4 * self.longest + 2)
-            col = begin[:, None] + np.arange(width)
             stop = np.minimum((cell + 1) * step + 2 * self.n[item], offsets[x + 1])
-            for p in range(0, len(x), 2048):
-                q = slice(p, p + 2048)
-                c = np.minimum(col[q], len(h) - 1)
-                region = np.where(col[q] < stop[q, None], h[c], U(0))
-                far = best_edit(self.words[item[q]], self.n[item[q]], region)
+            before = len(out)
+            for q in _batches(4 * self.n[item] + 2, 2048):
+                col = begin[q, None] + np.arange(4 * int(self.n[item[q]].max()) + 2)
+                region = np.where(col < stop[q, None], h[np.minimum(col, len(h) - 1)], U(0))
+                far = best_edit(self._grid(item[q]), self.n[item[q]], region)
                 good = far <= edits(self.n[item[q]])
                 out.update(zip(x[q][good].tolist(), item[q][good].tolist()))
+            if len(out) > before and len(doc) and n[-1] * _WINDOWS > _CELLS:
+                # Windows of a length whose items are all found in their text say nothing new.
+                got = Counter((x, int(self.n[i])) for x, i in out)
+                full = [x * (self.longest + 1) + k for (x, k), c in got.items() if c == self.alike[k]]
+                left = ~np.isin(doc * (self.longest + 1) + n, np.array(full, np.int64))
+                doc, start, n, end = doc[left], start[left], n[left], end[left]
         return out
 
 

@@ -90,6 +90,34 @@ def test_edited_items_are_found():
     assert sum(i in f for i, f in enumerate(index.find(texts))) >= 58
 
 
+def test_long_items():
+    import pickle
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(3000)]
+    items = [" ".join(words), *(" ".join(f"v{rng.randrange(999)}" for _ in range(30)) for _ in range(40))]
+    index = contamination.Index(list(range(41)), items)
+    assert len(pickle.dumps(index)) < 32 << 20
+    changed = [w if i % 50 else "new" for i, w in enumerate(words)]
+    texts = ["x " * 700 + items[0] + " y" * 50, "a b " + " ".join(changed), " ".join(words[:2000]), "x " + items[7]]
+    assert index.find(texts) == [[0], [0], [], [7]]
+
+
+def test_keys_of_the_walk():
+    rng = np.random.default_rng(1)
+    e, n = contamination.Embedding(40, 5), np.array([40, 7, 7, 1, 23])
+    words = rng.integers(1, 1 << 62, (5, 40)).astype(np.uint64)
+    got = e.keys(words, n)
+    for w, m, keys in zip(words.tolist(), n.tolist(), got.tolist()):
+        for r, key in enumerate(keys):
+            at, total, w = 0, 0, [*w[:m], int(contamination.PAD)]
+            for j in range(3 * m):
+                total += w[at] * sum(int(o) for a, o in zip(e.at[r], e.odd[r]) if int(a * 3 * m) == j)
+                turn = np.array([w[at] * int(e.turn[j, r]) % (1 << 64)], np.uint64)
+                at = min(at + int(common.mix(turn)[0] >> np.uint64(63)), m)
+            total = np.array([(total + r * 0x9E3779B97F4A7C15 + m) % (1 << 64)], np.uint64)
+            assert key == int(common.mix(total)[0])
+
+
 def test_language(spark):
     rows = queries.op10_language_id(spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r["held_out"]]
