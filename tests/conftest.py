@@ -14,6 +14,3 @@ def spark():
                       extra={"spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
-
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -11,7 +11,7 @@ from tools.oracle_check import rows_of
 from strata.session import scratch_path
 from strata.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 
 CHECKED = ["dedup_latest", "silver_observations", "gold_dim_series", "fact_star_left",
            "silver_population", "silver_population_nation", "scd1_ignore_null", "scd1_overwrite",

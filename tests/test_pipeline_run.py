@@ -9,7 +9,7 @@ from strata.plans.pipeline import Pipeline
 from strata.session import scratch_path
 from strata.sources import landing as L
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 
 
 def test_run_writes_every_table_and_reports_rules(spark):

@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 
 
 def _plan(spark, name):

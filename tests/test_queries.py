@@ -8,7 +8,7 @@ from strata.oracle import QUERIES
 from strata.queries import REGISTRY
 from tools.oracle_check import duck, rows_of
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 
 NAMES = sorted(REGISTRY)
 

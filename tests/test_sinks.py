@@ -55,7 +55,7 @@ def test_json_pages_are_bounded_and_complete(spark):
     from strata.plans import silver as S
     from strata.sources import json_pages
     from strata.sources import landing as L
-    from conftest import SF_SMALL
+    from given_tables import SF_SMALL
     loads = L.landing_population_loads(spark, SF_SMALL).filter("load_no = 1")
     root = scratch_path(spark, "pages")
     json_pages.write_population_pages(loads, root, 1, "2024-01-01", page_size=4)

@@ -9,7 +9,7 @@ from strata.sources import json_pages
 from strata.sources import landing as L
 from strata.streaming import jobs, snapshots
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 
 
 def _rows(df):
