@@ -124,9 +124,11 @@ def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(word)
     offset = np.arange(len(at)) - np.repeat(np.cumsum(lens) - lens, lens)
     top = int(lens.max())
-    power = np.cumprod(np.concatenate([[1], np.full(top, 0x9E3779B97F4A7C15, U)]).astype(U))
+    power = np.full(top, 0x9E3779B97F4A7C15, U)     # unsigned throughout: a float here would drop low bits
+    power[0] = 1
+    power = np.multiply.accumulate(power)
     terms = (buf[at].astype(U) + U(1)) * power[offset]
-    return mix(np.add.reduceat(terms, np.cumsum(lens) - lens)), starts
+    return mix(np.add.reduceat(terms, np.cumsum(lens) - lens) + mix(lens.astype(U))), starts
 
 
 def _pieces(raw: bytes) -> Iterator[bytes]:

@@ -18,8 +18,19 @@ SMOOTHING = 0.5            # added to every piece count
 WORDS_KEPT = 300_000       # words whose scores a worker keeps
 LONG = 40                  # characters from which a word is scored on its own
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")
 _START = "▁"
+LEARNT = 1 << 21           # characters of texts whose new words are learnt together, about
+_TOGETHER = 4096           # words of one length that the forward algorithm runs over at once
+
+
+def letter_runs(text: str) -> list[str]:
+    """The runs of letters (Unicode's class L, so no numerals such as ½ or ⅷ) of
+    the lower-cased text."""
+    runs = _RUNS.findall(text.lower())
+    if not runs or "".join(runs).isalpha():
+        return runs
+    return [w for r in runs for w in ([r] if r.isalpha() else "".join(c if c.isalpha() else " " for c in r).split())]
 
 
 def default_vocabulary() -> str:
@@ -33,7 +44,62 @@ def pieces(path: str) -> list[str]:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     out = {sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_byte(i)
                                                                          or sp.is_unknown(i))}
-    return sorted(p for p in {p.lower() for p in out} if _LETTERS.fullmatch(p.removeprefix(_START) or "a"))
+    return sorted(p for p in {p.lower() for p in out} if (p.removeprefix(_START) or "a").isalpha())
+
+
+class Trie:
+    """The pieces as a trie whose steps many words take at once: edges are
+    (state, character) pairs in a hash table of two arrays."""
+
+    def __init__(self, vocab: list[str]):
+        self.letters = {c: i + 1 for i, c in enumerate(sorted(set("".join(vocab))))}
+        self.width = len(self.letters) + 1               # 0: a character of no piece
+        edges: dict[int, int] = {}
+        ends = {}
+        for row, piece in enumerate(vocab, start=1):
+            state = 0
+            for c in piece:
+                state = edges.setdefault(state * self.width + self.letters[c], len(edges) + 1)
+            ends[state] = row
+        self.row = np.full(len(edges) + 1, -1)           # the piece that ends at a state
+        self.row[list(ends)] = list(ends.values())
+        bits = max(4, (8 * len(edges)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.next = np.full(1 << bits, -1), np.full(1 << bits, -1, np.int32)
+        todo = np.array(list(edges), np.int64)
+        to = np.array(list(edges.values()), np.int32)
+        at = self._slot(todo)
+        while len(todo):
+            free = self.keys[at] == -1
+            self.keys[at[free]], self.next[at[free]] = todo[free], to[free]
+            left = self.keys[at] != todo                 # another edge took the slot
+            todo, to, at = todo[left], to[left], (at[left] + 1) % len(self.keys)
+        codes = np.array([ord(c) for c in self.letters], np.int64)
+        self.code = np.zeros(int(codes.max(initial=0)) + 2, np.int32)
+        self.code[codes] = list(self.letters.values())
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def read(self, words: list[str]) -> np.ndarray:
+        """Words of one length as rows of character numbers."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+        return self.code[np.minimum(codes, len(self.code) - 1)]
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The states that follow, -1 where there is none."""
+        key = state.astype(np.int64) * self.width + letter
+        at = self._slot(key)
+        seen = self.keys[at]
+        out = np.where(seen == key, self.next[at], -1)
+        wait = np.flatnonzero((seen != key) & (seen != -1))
+        while len(wait):
+            at[wait] = (at[wait] + 1) % len(self.keys)
+            seen = self.keys[at[wait]]
+            found = seen == key[wait]
+            out[wait[found]] = self.next[at[wait[found]]]
+            wait = wait[~found & (seen != -1)]
+        return out
 
 
 class Model:
@@ -50,6 +116,10 @@ class Model:
         self.p /= total
         self.table = {w: i + 1 for i, w in enumerate(vocab)}
         self.longest = max(map(len, vocab), default=1)
+        self.trie = Trie(vocab)
+        size = np.array([1, *map(len, vocab), 1])[:, None]
+        self.scale = self.p[0] ** -0.5
+        self.scaled = self.p * self.scale ** size
         self.forget()
 
     def forget(self) -> None:
@@ -61,19 +131,29 @@ class Model:
 
     def _equal(self, words: list[str]) -> np.ndarray:
         """The forward algorithm over words of one length: alpha[j] sums, over
-        the pieces that end at j, alpha[i] * P(piece).  Short words stay far
-        from the least double, so the sums need no scaling."""
-        n, get = len(words[0]) + 1, self.table.get
-        alpha = [np.ones((len(words), len(self.langs)))]
-        marked = [_START + w for w in words]
-        for j in range(1, n + 1):
-            total = 0.0
-            for i in range(max(0, j - self.longest), j):
-                none = 0 if j == i + 1 else -1
-                ids = np.array([get(s[i:j], none) for s in marked])
-                total = total + alpha[i] * self.p[ids]
-            alpha.append(total)
-        return np.log(alpha[n])
+        the pieces that end at j, alpha[i] * P(piece).  Only pieces that the
+        words hold are met, by walks in the trie from every start.  Each
+        character's probability is scaled up by a fixed factor, taken off again
+        at the end, so that sums of many rare pieces stay far from the least
+        double however large the counts are."""
+        n, trie = len(words[0]) + 1, self.trie
+        letters = trie.read([_START + w for w in words])
+        alpha = np.zeros((n + 1, len(words), len(self.langs)))
+        alpha[0] = 1.0
+        for i in range(n):
+            live = np.arange(len(words))
+            state = trie.step(np.zeros(len(words), np.int32), letters[:, i])
+            alpha[i + 1] += alpha[i] * self.scaled[np.where(state >= 0, np.maximum(trie.row[state], 0), 0)]
+            for j in range(i + 1, n):
+                live, state = live[state >= 0], state[state >= 0]
+                if not len(live):
+                    break
+                state = trie.step(state, letters[live, j])
+                row = np.where(state >= 0, trie.row[state], -1)
+                hit = np.flatnonzero(row >= 0)
+                if len(hit):
+                    alpha[j + 1, live[hit]] += alpha[i, live[hit]] * self.scaled[row[hit]]
+        return np.log(alpha[n]) - n * np.log(self.scale)
 
     def _long(self, word: str) -> np.ndarray:
         """The same for one long word, in logarithms."""
@@ -99,27 +179,34 @@ class Model:
             grown[:at] = self.scores[:at]
             self.scores = grown
         for n, words in by_length.items():
-            got = self._equal(words) if n < LONG else [self._long(w) for w in words]
-            self.scores[at:at + len(words)] = got
-            self.known.update(zip(words, range(at, at + len(words))))
-            at += len(words)
+            for first in range(0, len(words), _TOGETHER):
+                some = words[first:first + _TOGETHER]
+                got = self._equal(some) if n < LONG else [self._long(w) for w in some]
+                self.scores[at:at + len(some)] = got
+                self.known.update(zip(some, range(at, at + len(some))))
+                at += len(some)
 
     def logs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """log P(text | language) of every text, and whether it has a letter."""
-        split = [_LETTERS.findall(t.lower()) if t else [] for t in texts]
         out = np.zeros((len(texts), len(self.langs)))
-        has = np.array([bool(w) for w in split], bool)
-        step = 64                       # texts whose new words are learnt together
-        for at in range(0, len(split), step):
-            part = split[at:at + step]
+        has = np.zeros(len(texts), bool)
+        at = 0
+        while at < len(texts):
+            part, held = [], 0              # texts whose new words are learnt together
+            while at < len(texts) and held < LEARNT:
+                text = texts[at] or ""
+                part.append(letter_runs(text))
+                held += len(text)
+                at += 1
             missing = set().union(*part).difference(self.known)
             if missing:
                 if len(self.known) + len(missing) > WORDS_KEPT:
                     self.known.clear()
                     missing = set().union(*part)
                 self._learn(missing)
-            for i, words in enumerate(part, at):
+            for i, words in enumerate(part, at - len(part)):
                 if words:
+                    has[i] = True
                     out[i] = self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(0)
         return out, has
 
@@ -131,7 +218,7 @@ def _count_pieces(path: str):
         counts: dict[str, np.ndarray] = {}
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = sp.encode(" ".join(_LETTERS.findall(text.lower())))
+                ids = sp.encode(" ".join(letter_runs(text)))
                 n = np.bincount(ids, minlength=sp.get_piece_size())
                 counts[lang] = counts[lang] + n if lang in counts else n
         for lang, n in counts.items():

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from .common import map_arrow, text_key, use_memo
 END_ID = 2
 BLOCK = 1 << 18            # ids after which a block ends (at the end of a document)
 WORDS_KEPT = 300_000       # words of a generation whose ids a worker keeps
+LEARNT = 1 << 21           # characters of texts whose new words are learnt together, about
 
 
 def default_tokenizer() -> str:
@@ -89,48 +91,69 @@ class WordEncoder:
         their own; punctuation after anything else is one piece with it, so such
         words are encoded whole.  Words of letters only are encoded in one text,
         whose word ends show in the ids."""
-        split, new = [], {}
+        plain, split, new = [], [], {}
+        old, parts, old_parts = self.old_words, self.parts, self.old_parts
         for w in missing:
-            known = self.old_words.get(w)
-            if known is not None:
-                self.words[w] = known
+            if w in old:
+                self.words[w] = old[w]
                 continue
-            core = w.rstrip(self._TAIL)
-            if core and not self._ends_piece(core[-1]):
-                core = w
-            two = (core.lower() if core.isascii() else core), w[len(core):]
-            split.append((w, two))
-            for p in two:
-                if p and p not in self.parts:
-                    known = self.old_parts.get(p)
-                    if known is None:
-                        new[p] = None
+            if w.isalpha():
+                core, tail = w, ""
+            else:
+                core = w.rstrip(self._TAIL)
+                if core and not self._ends_piece(core[-1]):
+                    core = w
+                tail = w[len(core):]
+            if core.isascii():
+                core = core.lower()
+            if tail:
+                split.append((w, core, tail))
+            else:
+                plain.append((w, core))
+            for p in (core, tail) if tail else (core,):
+                if p not in parts:
+                    if p in old_parts:
+                        parts[p] = old_parts[p]
                     else:
-                        self.parts[p] = known
+                        new[p] = None
+        new.pop("", None)
         letters = [p for p in new if p.isalpha()]
         if letters:
             raw = self._lib([" ".join(letters)])[0]
             ends = np.flatnonzero(self.ends[np.frombuffer(raw, self.dtype)]) + 1
             if len(ends) == len(letters):
                 at = [0, *(ends * self.dtype.itemsize).tolist()]
-                self.parts.update((p, raw[a:b]) for p, a, b in zip(letters, at, at[1:]))
-        rest = [p for p in new if p not in self.parts]
+                parts.update((p, raw[a:b]) for p, a, b in zip(letters, at, at[1:]))
+        rest = [p for p in new if p not in parts]
         if rest:
-            self.parts.update(zip(rest, self._lib(rest)))
-        for w, (core, tail) in split:
-            self.words[w] = (self.parts[core] if core else b"") + (self.parts[tail] if tail else b"")
+            parts.update(zip(rest, self._lib(rest)))
+        parts[""] = b""
+        self.words.update((w, parts[core]) for w, core in plain)
+        self.words.update((w, parts[core] + parts[tail]) for w, core, tail in split)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of the texts, whose new words are learnt together, about LEARNT
+        characters of texts at a time."""
+        at = 0
+        while at < len(texts):
+            split, held = [], 0
+            while at < len(texts) and held < LEARNT:
+                text = texts[at]
+                split.append(None if "<|" in text or self._ODD.search(text) else text.split())
+                held += len(text)
+                at += 1
+            if len(self.words) > WORDS_KEPT:
+                self.old_words, self.words = self.words, {}
+                self.old_parts, self.parts = self.parts, {}
+            missing = set().union(*filter(None, split)).difference(self.words)
+            if missing:
+                self._learn(missing)
+            ids_of = self.words.__getitem__
+            for i, words in enumerate(split, at - len(split)):
+                yield self._lib([texts[i]])[0] if words is None else b"".join(map(ids_of, words))
 
     def __call__(self, text: str) -> bytes:
-        if "<|" in text or self._ODD.search(text):
-            return self._lib([text])[0]
-        if len(self.words) > WORDS_KEPT:
-            self.old_words, self.words = self.words, {}
-            self.old_parts, self.parts = self.parts, {}
-        words = text.split()
-        missing = set(words).difference(self.words)
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.words.__getitem__, words))
+        return next(self.encode([text]))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -169,8 +192,9 @@ def _encode_blocks(path: str, end_id: int):
             return row
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = enc(text or "") + end
+            texts = pc.fill_null(b.column(1), "").to_pylist()
+            for doc_id, raw in zip(b.column(0).to_pylist(), enc.encode(texts)):
+                raw += end
                 doc_ids.append(doc_id)
                 ids.append(raw)
                 lens.append(len(raw) // width)
