@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import contamination, html_text, lang, lines, mixing, near_text, repeats, token_counts, token_files, vectors
+from . import (contamination, html_text, lang, lexical, lines, mixing, near_text, repeats, token_counts, token_files,
+               vectors, whitening)
 from .common import table
 
 
@@ -55,9 +56,18 @@ def op10_language_id(spark, src):
     return found.select("doc_id", lang.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_embedding_whitening(spark, src):
+    return whitening.whiten(table(spark, src, "embeddings"))
+
+
+def op13_lexical_search(spark, src):
+    return lexical.search(table(spark, src, "documents"), table(spark, src, "benchmark"))
+
+
 REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_ngram_jaccard, op3_html_text, op4_embedding_near_dup,
                                     op5_source_mix, op6_token_files, op7_decontamination, op8_token_counts,
-                                    op9_suffix_dedup, op10_language_id)}
+                                    op9_suffix_dedup, op10_language_id, op11_embedding_whitening,
+                                    op13_lexical_search)}
 
 # Shared shingles counted pair by pair; classes by a recursive walk over the links.
 _OP2 = """
@@ -92,4 +102,5 @@ ORACLE = {
     "op2_ngram_jaccard": _OP2,
     "op4_embedding_near_dup": _OP4,
     "op5_source_mix": f"SELECT * FROM ({mixing.oracle_sql()})",
+    "op13_lexical_search": lexical.ORACLE_SQL,
 }
