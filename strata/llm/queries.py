@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (contamination, html_text, lang, lexical, lines, mixing, near_text, repeats, token_counts, token_files,
-               vectors, whitening)
+from . import (contamination, html_text, lang, lexical, lines, mixing, near_text, pii, repeats, token_counts,
+               token_files, vectors, whitening)
 from .common import table
 
 
@@ -60,6 +60,12 @@ def op11_embedding_whitening(spark, src):
     return whitening.whiten(table(spark, src, "embeddings"))
 
 
+def op12_personal_data(spark, src):
+    docs = table(spark, src, "documents")
+    found = pii.find_personal_data(docs.select("doc_id", "text"), pii.fit(docs))
+    return found.drop("text")
+
+
 def op13_lexical_search(spark, src):
     return lexical.search(table(spark, src, "documents"), table(spark, src, "benchmark"))
 
@@ -67,7 +73,7 @@ def op13_lexical_search(spark, src):
 REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_ngram_jaccard, op3_html_text, op4_embedding_near_dup,
                                     op5_source_mix, op6_token_files, op7_decontamination, op8_token_counts,
                                     op9_suffix_dedup, op10_language_id, op11_embedding_whitening,
-                                    op13_lexical_search)}
+                                    op12_personal_data, op13_lexical_search)}
 
 # Shared shingles counted pair by pair; classes by a recursive walk over the links.
 _OP2 = """

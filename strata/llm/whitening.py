@@ -151,7 +151,8 @@ def above(t: tuple[np.ndarray, np.ndarray], shifts: np.ndarray) -> np.ndarray:
 def fences(t: tuple[np.ndarray, np.ndarray], wanted: int, floor: float, per: int = PER_INTERVAL) -> list[tuple]:
     """Intervals (low, high, count) that hold the ``wanted`` largest eigenvalues
     above ``floor`` (more, where the last ones cannot be told apart), cut in the
-    widest gaps.  Eigenvalues are fenced by bisection with inertia counts."""
+    widest gaps.  Eigenvalues are fenced by bisection with inertia counts, which
+    also show that none lies between two intervals."""
     radius = np.abs(np.concatenate([[0], t[1]])) + np.abs(np.concatenate([t[1], [0]]))
     top = float((t[0] + radius).max()) * (1 + 1e-12) + np.finfo(float).tiny
     have = int(above(t, np.array([floor]))[0])
@@ -167,7 +168,7 @@ def fences(t: tuple[np.ndarray, np.ndarray], wanted: int, floor: float, per: int
     value = (low + high) / 2
     gap = np.append(value[:-1] - value[1:], value[-1] - floor if more == have else 0.0)    # below eigenvalue k
     least = 1e-10 * top                                            # closer ones stay together
-    out, first, edge = [], 0, top
+    out, first = [], 0
     while first < min(wanted, more):
         stop = min(first + per, more)
         cuts = [k for k in range(first, stop) if gap[k] > least]
@@ -177,9 +178,14 @@ def fences(t: tuple[np.ndarray, np.ndarray], wanted: int, floor: float, per: int
         cuts = [k for k in cuts if k >= wanted - 1] or cuts
         k = max(cuts, key=lambda c: gap[c], default=None)
         bottom = floor if k is None else value[k] - gap[k] / 2
-        count = int(above(t, np.array([bottom]))[0]) - first
-        out.append((float(bottom), float(edge), count))
-        first, edge = first + count, float(bottom)
+        # Not much wider than what it holds: the filter tells near from far by the interval's size.
+        room = gap[first - 1] / 2 if first else top - value[0]
+        edge = value[first] + min(room, max(value[first] - bottom, least))
+        known = above(t, np.array([bottom, edge]))
+        if known[1] != first:
+            raise ArithmeticError(f"{int(known[1])} eigenvalues above {edge}, {first} are fenced")
+        out.append((float(bottom), float(edge), int(known[0]) - first))
+        first = int(known[0])
     return out
 
 
@@ -208,10 +214,11 @@ def feast(a: np.ndarray, low: float, high: float, count: int, nodes: int = NODES
             inside = (ritz > low) & (ritz <= high)
             rest = a @ y[:, inside] - y[:, inside] * ritz[inside]
             off = float(np.abs(rest).max(initial=0.0)) / scale
-            if inside.sum() == count and (off < 4e-16 or off < 1e-12 and off > best / 2) or size == d:
+            done = inside.sum() == count and (off < 4e-16 or off < 1e-12 and off > best / 2 or size == d)
+            if done or size == d:
                 break                                              # at rounding level
             best = off if inside.sum() == count else np.inf
-        if inside.sum() == count:
+        if done:
             return ritz[inside], y[:, inside]
         if size == d:
             raise ArithmeticError(f"{int(inside.sum())} eigenvalues found between {low} and {high}, inertia says {count}")
