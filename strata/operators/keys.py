@@ -5,15 +5,16 @@ dimensions (checked count) use one ordered window; large ones are range
 partitioned, numbered inside each partition, and shifted by the row counts
 of the partitions before them -- no single task ever sees the whole table.
 ``extend_surrogate_keys`` keeps existing keys stable across loads and numbers
-only new business keys after the current maximum.
+only new business keys after the current maximum.  ``kept_keys`` does so with a
+key map stored between runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .lookup import Dim
+from .lookup import Dim, measured
 
 SINGLE_TASK_MAX_ROWS = 1_000_000
 
@@ -75,3 +76,35 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key
     numbered = assign_surrogate_keys(new_dim, business_key, sk, start=int(top) + 1,
                                      single_task_max_rows=single_task_max_rows).df
     return refreshed.unionByName(gone).unionByName(numbered)
+
+
+def _null_safe(left: str, right: str, columns: list[str]):
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return same
+
+
+def kept_keys(spark: SparkSession, dim: Dim, business_key: list[str], sk: str, map_path: str,
+              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> Dim:
+    """``dim`` with surrogate keys that outlive the run: the key map at
+    ``map_path`` (business key, its number among equal ones, key) is read, new
+    business keys are appended to it after its greatest key in business-key
+    order, and none is ever renumbered or reused, whatever else a run holds.
+    The first run numbers like ``assign_surrogate_keys``."""
+    from ..streaming.snapshots import exists
+    order = [F.col(c).asc_nulls_first() for c in dim.df.columns]
+    rows = dim.df.withColumn("_nth", F.row_number().over(Window.partitionBy(*business_key).orderBy(*order)))
+    found = rows.select(*business_key, "_nth")
+    start = 1
+    if exists(spark, f"{map_path}/_SUCCESS"):
+        known = spark.read.parquet(map_path)
+        found = found.alias("f").join(known.alias("k"), _null_safe("f", "k", [*business_key, "_nth"]), "left_anti")
+        start = int(known.agg(F.max(sk)).first()[0] or 0) + 1
+    new = measured(found)
+    if new.rows or start == 1:
+        assign_surrogate_keys(new, [*business_key, "_nth"], sk, start, single_task_max_rows).df.write.mode("append").parquet(map_path)
+    new.df.unpersist()
+    known = spark.read.parquet(map_path)
+    keyed = rows.alias("r").join(known.alias("k"), _null_safe("r", "k", [*business_key, "_nth"]))
+    return dim.numbered(keyed.select(f"k.{sk}", *[f"r.{c}" for c in dim.df.columns]))

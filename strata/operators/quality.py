@@ -5,11 +5,14 @@
 A predicate that evaluates to NULL counts as a violation.
 
 Counting is attached to the action that materialises the table
-(``DataFrame.observe``), so checking costs no extra pass over the data.
+(``DataFrame.observe``), so checking costs no extra pass over the data.  Fail
+rules are also a condition of the plan itself (``guarded``): the task that
+meets a violating row raises, so the write is aborted before a row is kept.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,6 +44,29 @@ class ExpectationFailed(RuntimeError):
     pass
 
 
+_ABORT = "expectation violated"
+_ABORTED = re.compile(_ABORT + r" \[(.*?)\] \[(.*?)\]")
+
+
+def guarded(df: DataFrame, table: str, rules: list[Expectation]) -> DataFrame:
+    """``df`` with its fail rules in the plan: a row that violates one raises in
+    its task.  No pass, no shuffle, no driver step; a plan without fail rules
+    stays as it is."""
+    keep = None
+    for r in rules:
+        if r.action == FAIL:
+            error = F.raise_error(F.lit(f"{_ABORT} [{table}] [{r.name}]")).cast("boolean")
+            own = F.when(r.violated(), error).otherwise(F.lit(True))
+            keep = own if keep is None else keep & own
+    return df if keep is None else df.filter(keep)
+
+
+def as_expectation_failed(error: Exception) -> Exception:
+    """The ``ExpectationFailed`` that a guard in a plan has raised, or ``error``."""
+    found = _ABORTED.search(str(error))
+    return ExpectationFailed(f"{found[1]}: expectation {found[2]} violated") if found else error
+
+
 def violation_counts(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """One aggregate pass: total rows and failed rows per rule (wide, one row)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]

@@ -26,6 +26,7 @@ def gold_dim(name: str, silver: Dim | DataFrame) -> Dim:
     return assign_surrogate_keys(dim.select(*cols), [key] + [c for c in cols if c != key], f"{name}_sk")
 
 
+# Columns of the gold series dimension, in order.
 SERIES_COLUMNS = ["series_id", "base_year", "footnote_codes", "begin_year", "begin_period",
                   "end_year", "end_period", "survey_code", "seasonal_code", "class_code",
                   "sector_code", "measure_code", "duration_code"]
@@ -60,6 +61,7 @@ def gold_dim_nation(silver_nation: DataFrame | Dim) -> Dim:
     return assign_surrogate_keys(dim, ["nation_id", "name"], "nation_sk")
 
 
+# Columns of the productivity fact, in order.
 FACT_PRODUCTIVITY_COLUMNS = [
     "seasonal_code", "series_id", "class_sk", "duration_sk", "footnote_sk", "measure_sk",
     "period_sk", "sector_sk", "year", "value", "observation_date", "observation_year",
@@ -90,16 +92,34 @@ def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None =
     return df.select(*[out.get(c, F.col(c)) for c in wanted])
 
 
+def year_over_year(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Change of ``population`` against the row before, in the order of year, of
+    the same nation_sk (gaps are not detected); change and percent change; a
+    zero previous value gives a NULL percentage instead of an error.
+
+    Rows without a nation_sk follow each other as if they were one nation, in
+    the order of year and nation_id.  Their window is cut by year, and the first
+    row of a year takes the last one of the latest year before it from a table
+    of one row a year: no task holds all of them."""
+    lost = F.col("nation_sk").isNull()
+    w = Window.partitionBy("nation_sk", F.when(lost, F.col("year"))).orderBy("year", "nation_id")
+    keep = keep or []
+    df = rows.select("nation_sk", "year", "population", "nation_id", *[c for c in keep if c != "nation_id"],
+                     F.lag("population", 1).over(w).alias("_prev"), F.row_number().over(w).alias("_rn"))
+    # max_by over the row itself: a NULL population is the last one's value all the same.
+    last = (rows.where(lost).groupBy("year")
+            .agg(F.max(F.struct("nation_id", F.struct("population").alias("row"))).alias("_last")))
+    before = last.select("year", F.lag(F.col("_last.row.population")).over(Window.orderBy("year")).alias("_before"))
+    df = (df.withColumn("_first", F.when(lost & (F.col("_rn") == 1), F.struct("year").alias("y")))
+          .join(before.select(F.struct("year").alias("_first"), "_before"), "_first", "left"))
+    prev = F.when(F.col("_first").isNull(), F.col("_prev")).otherwise(F.col("_before"))
+    df = df.select("nation_sk", "year", "population", prev.alias("previous_population"), *keep)
+    change = F.col("population") - F.col("previous_population")
+    return df.select("nation_sk", "year", "population", "previous_population", change.alias("population_change"),
+                     (F.try_divide(change, F.col("previous_population")) * 100).alias("population_pct_change"), *keep)
+
+
 def gold_fact_population(silver_population: DataFrame, dim_nation: Dim) -> DataFrame:
-    """Year-over-year change per nation: previous *row* in year order (gaps
-    are not detected); change and percent change; a zero previous value
-    gives a NULL percentage instead of an error."""
+    """``year_over_year`` of every nation."""
     df = lookup(silver_population, dim_nation.select("nation_sk", "nation_id"), "nation_id", "left")
-    # nation_id orders the rows of nations that are not in the dimension.
-    w = Window.partitionBy("nation_sk").orderBy("year", "nation_id")
-    prev = F.lag("population", 1).over(w)
-    df = df.select("nation_sk", "year", "population", prev.alias("previous_population"))
-    change = F.col("population") - F.col("previous_population")
-    return df.select("nation_sk", "year", "population", "previous_population",
-                     change.alias("population_change"),
-                     (F.try_divide(change, F.col("previous_population")) * 100).alias("population_pct_change"))
+    return year_over_year(df)

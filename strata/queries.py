@@ -183,12 +183,12 @@ def dedup_latest(spark, src):
 
 @query
 def dedup_stream(spark, src):
+    """First row of each nation by load, file and position in it."""
     def job(stream, out, ckpt):
-        rec = S.population_records(stream, keep=["load_timestamp"])
-        jobs.dedup_first_seen(rec.select("nation_id", "nation", "load_timestamp"),
-                              ["nation_id"], out, ckpt)
+        rec = S.population_records(stream, keep=["load_timestamp", "file_arrival_timestamp", "file_path"])
+        jobs.upsert_first_seen(rec, ["nation_id"], POP.SEQUENCE, ["nation"], out, ckpt)
     out = _land_and_stream(spark, src, job, "dedup")
-    return spark.read.parquet(out).select("nation_id", "nation")
+    return snapshots.read_table(spark, out).select("nation_id", "nation")
 
 
 # --- keyed upserts -----------------------------------------------------------
@@ -442,6 +442,29 @@ def population_rules(spark, src):
     return POP.rule_report(spark, root)
 
 
+@query
+def stream_rule_counts(spark, src):
+    """What the rules inside the streams have counted, micro-batch by
+    micro-batch (one batch a load and stream)."""
+    root = scratch_path(spark, "stream-rules")
+    _p(spark, src).run_population(root)
+    return jobs.rule_counts(spark, f"{root}/_rules")
+
+
+@query
+def population_refresh(spark, src):
+    """The population fact brought up to date after each load: only the nations
+    that the load has changed are recomputed."""
+    root, pages = scratch_path(spark, "refresh"), scratch_path(spark, "refresh-pages")
+    loads = L.landing_population_loads(spark, src).cache()
+    for i, day in enumerate(L.LOAD_DATES, start=1):
+        json_pages.write_population_pages(loads, pages, i, day)
+        POP.run_streams(spark, pages, root)
+        POP.refresh_fact(spark, root)
+    loads.unpersist()
+    return POP.stored_fact(spark, root).withColumn("population_pct_change", _r6(F.col("population_pct_change")))
+
+
 @query
 def q3_series_population(spark, src):
     p = _p(spark, src)

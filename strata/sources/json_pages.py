@@ -51,12 +51,20 @@ def read_pages(spark: SparkSession, root: str, schema: str = PAGE_SCHEMA) -> Dat
 
 
 def stream_pages(spark: SparkSession, root: str, schema: str = PAGE_SCHEMA,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, archive: str | None = None) -> DataFrame:
     """Incremental read: each file is delivered once (the file log lives in
-    the query checkpoint); files present at the first start are included."""
+    the query checkpoint); files present at the first start are included.
+
+    ``max_files_per_trigger`` bounds a micro-batch, so that a first run over
+    many files is many bounded batches.  ``archive`` (a folder outside ``root``)
+    takes the files of every finished batch, so that neither the listing nor the
+    log of seen files grows with what has ever arrived; the files of a run's
+    last batch move when the next run's first batch is done."""
     r = spark.readStream.options(**JSON_READ_OPTIONS).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return r.json(root)
 
 

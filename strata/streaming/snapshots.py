@@ -3,15 +3,17 @@
 The target is a parquet table partitioned by a hash bucket of its key
 (``_bucket = pmod(xxhash64(keys), buckets)``).  A micro-batch rewrites only
 the buckets its keys fall in: it reads those buckets (partition pruning),
-replaces the batch's keys, stages the merged buckets under the batch id, and
-swaps them in with a dynamic partition overwrite.  Untouched buckets are
-never read or written, so the cost of a micro-batch follows the batch, not
+merges the batch's rows into them, stages the merged buckets under the batch
+id, and swaps them in with a dynamic partition overwrite.  Untouched buckets
+are never read or written, so the cost of a micro-batch follows the batch, not
 the table.
 
-The rows a micro-batch carries are the *complete* current state of their
-keys (the streaming aggregation's output), so replaying a batch after a
-failure rewrites the same buckets with the same rows: the sink is
-idempotent without a transactional table format.
+``merge_buckets`` keeps states (see ``operators.cdc``) in the target and
+combines the batch's with them, so no other copy of the table exists, in a
+state store or elsewhere, and batches may come in any order and more than once.
+``upsert_buckets`` replaces whole rows.  A batch whose merged buckets were
+staged in full before a failure is swapped in from there: the swap, unlike the
+merge, may then meet a target that is half overwritten.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cdc
+
 BUCKET = "_bucket"
 # None: as many buckets as the session's shuffle partitions.
 DEFAULT_BUCKETS = None
@@ -45,10 +49,46 @@ def _has_buckets(spark: SparkSession, target: str) -> bool:
         st.isDirectory() and st.getPath().getName().startswith(BUCKET + "=") for st in fs.listStatus(p))
 
 
-def read_table(spark: SparkSession, target: str) -> DataFrame | None:
+def read_stored(spark: SparkSession, target: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """The target as it is stored (with ``_bucket``), or some of its buckets:
+    numbers in a literal list, which prune its partitions."""
     if not _has_buckets(spark, target):
         return None
-    return spark.read.parquet(target).drop(BUCKET)
+    df = spark.read.parquet(target)
+    return df if buckets is None else df.where(F.col(BUCKET).isin(buckets))
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame | None:
+    stored = read_stored(spark, target)
+    if stored is None:
+        return None
+    rows = stored.drop(BUCKET)
+    return cdc.values(rows) if cdc.STATE in rows.columns else rows
+
+
+def touched_buckets(rows: DataFrame) -> list[int]:
+    """The buckets of some rows: at most as many numbers as the target has."""
+    return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+
+
+def swap_buckets(merged: DataFrame, target: str, stage: str, replaced: list[int] | None = None) -> None:
+    """Put ``merged`` in place of the buckets that it holds, by way of ``stage``
+    (``merged`` may read the target).  Those of ``replaced`` that it does not
+    hold are emptied."""
+    spark = merged.sparkSession
+    schema = merged.schema
+    if not exists(spark, f"{stage}/_SUCCESS"):
+        merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
+    # A batch without a change stages no file.
+    (spark.read.schema(schema).parquet(stage).repartition(BUCKET)
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(BUCKET).parquet(target))
+    for b in replaced or []:
+        if not exists(spark, f"{stage}/{BUCKET}={b}"):
+            fs, p = _fs(spark, f"{target}/{BUCKET}={b}")
+            fs.delete(p, True)
+    fs, p = _fs(spark, stage)
+    fs.delete(p, True)
 
 
 def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str],
@@ -56,28 +96,38 @@ def upsert_buckets(batch: DataFrame, batch_id: int, target: str, keys: list[str]
     """Replace the batch's keys in ``target``, rewriting touched buckets only.
     The bucket count is kept with the target."""
     spark = batch.sparkSession
-    buckets = _bucket_count(spark, target, buckets)
-    upd = batch.withColumn(BUCKET, bucket_of(keys, buckets))
-    stage = f"{staging.rstrip('/')}/batch={batch_id}"
+    buckets = bucket_count(spark, target, buckets)
+    merged = upd = batch.withColumn(BUCKET, bucket_of(keys, buckets))
     if _has_buckets(spark, target):
-        # At most ``buckets`` numbers: as literals they prune the target's partitions.
-        touched = [r[0] for r in upd.select(BUCKET).distinct().collect()]
-        o, u = spark.read.parquet(target).where(F.col(BUCKET).isin(touched)).alias("o"), upd.alias("u")
+        o, u = read_stored(spark, target, touched_buckets(upd)).alias("o"), upd.alias("u")
         same = [F.col(f"o.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
         merged = o.join(u, same, "left_anti").unionByName(upd)
-    else:
-        merged = upd
-    # The merge reads the target, so it is staged before the overwrite.
-    merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-    # A batch without a change (a run that finds known keys only) stages no file.
-    (spark.read.schema(merged.schema).parquet(stage).repartition(BUCKET)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BUCKET).parquet(target))
+    swap_buckets(merged, target, f"{staging.rstrip('/')}/batch={batch_id}")
+
+
+def merge_buckets(states: DataFrame, batch_id: int, target: str, keys: list[str], staging: str, pick=F.max,
+                  buckets: int | None = DEFAULT_BUCKETS, bucket_by: list[str] | None = None) -> list[int]:
+    """Combine the batch's states with those of ``target``, bucketed by
+    ``bucket_by`` (some of the keys; all of them, if not given).  Returns the
+    buckets touched.  The batch is computed once, into the staging folder."""
+    spark = states.sparkSession
+    buckets = bucket_count(spark, target, buckets)
+    stage = f"{staging.rstrip('/')}/batch={batch_id}"
+    new = states.withColumn(BUCKET, bucket_of(bucket_by or keys, buckets))
+    schema = new.schema
+    if not exists(spark, f"{stage}-merged/_SUCCESS"):
+        new.write.mode("overwrite").parquet(stage)
+    new = spark.read.schema(schema).parquet(stage)
+    touched = touched_buckets(new)
+    old = read_stored(spark, target, touched)
+    merged = new if old is None else cdc.fold(old.select(*new.columns).unionByName(new), [*keys, BUCKET], pick)
+    swap_buckets(merged, target, f"{stage}-merged")
     fs, p = _fs(spark, stage)
     fs.delete(p, True)
+    return touched
 
 
-def _bucket_count(spark: SparkSession, target: str, asked: int | None) -> int:
+def bucket_count(spark: SparkSession, target: str, asked: int | None = None) -> int:
     """The target's bucket count, kept beside it as the name of a marker file:
     a key must not move to another bucket when a setting changes."""
     fs, p = _fs(spark, f"{target.rstrip('/')}/_buckets")
