@@ -1,8 +1,11 @@
 """Dimension lookups with a size-checked broadcast.
 
 A dimension is broadcast only when its size in bytes has been measured and is
-under a bound; otherwise the join is left to the planner (sort-merge, or AQE's
-runtime switch to a broadcast once the real shuffle size is known).
+under a bound.  Beyond it ``lookup_key`` joins by a shuffle that no key can
+overload: rows with a NULL key, which match nothing, are spread over all tasks,
+and a key that holds more than one in ``HOT_KEYS`` rows is dealt over as many
+parts as it holds such shares.  ``lookup`` leaves the join to the planner
+(sort-merge, or AQE's runtime switch once the real shuffle size is known).
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 # A dimension up to this many bytes is shipped to every executor.
 BROADCAST_MAX_BYTES = 64 << 20
+# A key with more than one in HOT_KEYS of all rows is dealt over several tasks.
+HOT_KEYS = 1000
 
 
 @dataclass
@@ -79,3 +84,47 @@ def lookup(fact: DataFrame, dim: Dim | DataFrame, on: str | list[str] | Column,
            how: str = "left", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     right = dim.for_join(max_bytes) if isinstance(dim, Dim) else dim
     return fact.join(right, on, how)
+
+
+def hot_parts(rows: DataFrame, key: str) -> dict:
+    """The keys with more than one in HOT_KEYS of the rows, fewer than HOT_KEYS
+    of them, and the number of parts each is dealt over.  Two aggregations of
+    the key column alone, combined before their shuffle."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = int(rows.agg(F.count(F.lit(1))).first()[0])
+    hot = counts.where(F.col("_n") * HOT_KEYS > total).collect()
+    return {r[0]: -(-int(r["_n"]) * HOT_KEYS // total) for r in hot}
+
+
+def dealt_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """Left join of ``fact`` with ``dim`` on fact_key = dim_key (the key of
+    ``dim`` is dropped) by a shuffle over (key, part).  The rows of a hot key go
+    to its parts by their hash, and its rows of ``dim`` to each of them; rows
+    with a NULL key go anywhere.  Same rows as the plain left join: unmatched
+    keys give NULLs, a key that stands twice in ``dim`` doubles its rows."""
+    parts = hot_parts(fact, fact_key)
+    spread = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    here = F.xxhash64(*[F.col(f"`{c}`") for c, t in fact.dtypes if not t.startswith("map")], F.spark_partition_id())
+    many = _map_of(parts, dict(fact.dtypes)[fact_key])
+    share = lambda key: F.coalesce(F.element_at(many, key), F.lit(1)) if parts else F.lit(1)
+    dealt = fact.withColumn("_part", F.when(F.col(fact_key).isNull(), F.pmod(here, F.lit(spread * 8)))
+                            .otherwise(F.pmod(here, share(F.col(fact_key)))).cast("int"))
+    placed = (dim.where(F.col(dim_key).isNotNull())
+              .withColumn("_place", F.explode(F.sequence(F.lit(0), share(F.col(dim_key)) - 1))))
+    # A NULL key never equals one of the dimension's, wherever its row went.
+    joined = dealt.join(placed, (F.coalesce(F.col(fact_key).cast("string"), F.lit("")) == F.col(dim_key).cast("string"))
+                        & F.col(fact_key).isNotNull() & (F.col("_part") == F.col("_place")), "left")
+    return joined.drop("_part", "_place", dim_key)
+
+
+def _map_of(parts: dict, key_type: str) -> Column:
+    entries = [x for k, n in parts.items() for x in (F.lit(k).cast(key_type), F.lit(n))]
+    return F.create_map(*entries) if entries else F.lit(None)
+
+
+def lookup_key(fact: DataFrame, dim: Dim, fact_key: str, dim_key: str, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Left lookup on one key (``dim_key`` must be no column of ``fact``; it is
+    dropped): broadcast behind the size check, else dealt over all tasks."""
+    if dim.bytes is not None and dim.bytes <= max_bytes:
+        return fact.join(F.broadcast(dim.df), F.col(fact_key) == F.col(dim_key), "left").drop(dim_key)
+    return dealt_lookup(fact, dim.df, fact_key, dim_key)

@@ -206,8 +206,9 @@ LEFT JOIN gold_duration d ON f.duration_code = d.duration_code
 LEFT JOIN gold_measure m ON f.measure_code = m.measure_code
 LEFT JOIN gold_period p ON f.period = p.period
 LEFT JOIN gold_sector s ON f.sector_code = s.sector_code
+LEFT JOIN gold_seasonal se ON f.seasonal_code = se.seasonal_code
 LEFT JOIN gold_footnote fn ON f.footnote_codes = fn.footnote_code""",
-    "slv_prod", "gold_class", "gold_duration", "gold_measure", "gold_period", "gold_sector", "gold_footnote")
+    "slv_prod", "gold_seasonal", "gold_class", "gold_duration", "gold_measure", "gold_period", "gold_sector", "gold_footnote")
 
 # population
 cte("pop", """
@@ -386,10 +387,22 @@ def _rules(table: str, src: str) -> str:
 QUERIES["dq_report"] = sql(" UNION ALL ".join(_rules(t, src) for t, src in _SOURCE.items() if t in _RULES),
                            *[src for t, src in _SOURCE.items() if t in _RULES])
 
-# At these sizes a load's pages are one per year; every page holds its records.
-QUERIES["population_rules"] = sql(" UNION ALL ".join([
-    _rules("brz_population_data", "(SELECT load_no, year, '[]' AS data FROM loads GROUP BY load_no, year) p"),
-    _rules("population_data_transformed", "loads"), _rules("population_nation_data_transformed", "loads")]), "loads")
+# At these sizes a load's pages are one per year, and a run has one micro-batch a load.
+_STREAM_RULES = """
+SELECT CAST(load_no - 1 AS BIGINT) AS batch_id, 'brz_population_data' AS table_name, 'data_element_populated' AS rule,
+       'warn' AS action, CAST(0 AS BIGINT) AS failed_rows, CAST(count(DISTINCT year) AS BIGINT) AS total_rows
+FROM loads GROUP BY load_no
+UNION ALL
+SELECT CAST(load_no - 1 AS BIGINT), 'population_data_transformed', 'year_populated', 'warn',
+       CAST(count(*) - count(year) AS BIGINT), CAST(count(*) AS BIGINT) FROM loads GROUP BY load_no
+UNION ALL
+SELECT CAST(load_no - 1 AS BIGINT), 'population_nation_data_transformed', 'nation_id_populated', 'warn',
+       CAST(count(*) - count(nation_id) AS BIGINT), CAST(count(*) AS BIGINT) FROM loads GROUP BY load_no"""
+QUERIES["stream_rule_counts"] = sql(_STREAM_RULES, "loads")
+QUERIES["population_rules"] = sql(f"""
+SELECT table_name, rule, action, CAST(sum(failed_rows) AS BIGINT) AS failed_rows, CAST(sum(total_rows) AS BIGINT) AS total_rows
+FROM ({_STREAM_RULES}) s GROUP BY table_name, rule, action""", "loads")
+QUERIES["population_refresh"] = QUERIES["fact_population"]
 
 QUERIES["key_uniqueness"] = sql(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{k}' AS key_columns, count(*) AS total_rows, count(DISTINCT {k}) AS distinct_keys "
@@ -423,3 +436,19 @@ QUERIES["materialized_fact_productivity"] = QUERIES["fact_star_left"]
 QUERIES["pipeline_run_best_year"] = QUERIES["q2_best_year"]
 QUERIES["population_pipeline_q1"] = QUERIES["q1_mean_stddev"]
 QUERIES["population_pipeline_q3"] = QUERIES["q3_series_population"]
+
+# Damaged landing: by the class of the order, short, long and unparsable lines.
+cte("damaged", f"""
+SELECT series_id, CASE WHEN c <> 29 THEN year END AS year, period, CASE WHEN c <> 5 THEN value END AS value,
+       CASE WHEN c <> 5 THEN footnote_codes END AS footnote_codes, c IN (5, 17, 29) AS damaged
+FROM (SELECT obs.*, c FROM ({CTE["obs"][0].replace("SELECT rpad", "SELECT l_orderkey % 101 AS c, rpad", 1)}) obs) o""")
+QUERIES["tsv_damaged"] = sql("SELECT * FROM damaged", "damaged")
+QUERIES["tsv_damage_rules"] = sql("""
+SELECT 'lines' AS table_name, r.rule, CAST(CASE r.rule WHEN 'well_formed_line' THEN count_if(damaged)
+         WHEN 'valid_year' THEN count_if(year IS NULL) ELSE 0 END AS BIGINT) AS failed_rows, CAST(count(*) AS BIGINT) AS total_rows
+FROM damaged, (VALUES ('well_formed_line'), ('valid_series_id'), ('valid_year'), ('valid_period')) r(rule) GROUP BY r.rule
+UNION ALL SELECT 'headers', 'header_as_declared', CAST(0 AS BIGINT), NULL""", "damaged")
+QUERIES["json_rescued"] = sql("""
+SELECT CASE WHEN load_no <> 3 THEN load_no END AS load_no, CAST(CASE WHEN load_no <> 3 THEN count(*) ELSE 0 END AS INTEGER) AS records,
+       CASE WHEN load_no = 2 THEN '{"note":"{\\"id\\":\\"' || nation_id || '\\",\\"rev\\":2}"}' END AS _rescued_data, load_no = 3 AS damaged
+FROM loads GROUP BY load_no, nation_id""", "loads")

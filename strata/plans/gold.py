@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import assign_surrogate_keys
-from ..operators.lookup import Dim, lookup, measured
+from ..operators.lookup import BROADCAST_MAX_BYTES, Dim, lookup_key, measured
 
 # Business key and column list of each code dimension.
 DIMENSIONS = {
@@ -70,14 +70,16 @@ FACT_PRODUCTIVITY_COLUMNS = [
 
 # Fact column holding the business code looked up in each dimension.
 FACT_LOOKUPS = {"class": "class_code", "duration": "duration_code", "footnote": "footnote_codes",
-                "measure": "measure_code", "period": "period", "sector": "sector_code"}
+                "measure": "measure_code", "period": "period", "seasonal": "seasonal_code", "sector": "sector_code"}
 
 
-def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None = None) -> DataFrame:
+def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None = None,
+                           max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Surrogate-key lookups (left joins: an unknown code gives a NULL key).
     The footnote list is matched as one whole string against single codes.
     Dimensions are broadcast behind their size check, so the fact keeps its
-    partitioning and is never shuffled for a lookup.
+    partitioning and is not shuffled for a lookup; a dimension beyond it is
+    joined with hot and NULL codes dealt over all tasks.
 
     ``columns`` restricts the result to those fact columns.  Every lookup is
     made whatever the columns: a business key that a dimension holds twice
@@ -86,40 +88,42 @@ def gold_fact_productivity(silver: DataFrame, dims, columns: list[str] | None =
     df = silver
     for name, code in FACT_LOOKUPS.items():
         key = "footnote_code" if name == "footnote" else code
-        df = lookup(df, dims[name].select(F.col(key).alias(f"_{name}_k"), f"{name}_sk"),
-                    F.col(code) == F.col(f"_{name}_k"), "left")
+        df = lookup_key(df, dims[name].select(F.col(key).alias(f"_{name}_k"), f"{name}_sk"), code, f"_{name}_k", max_bytes)
     out = {"series_id": F.trim("series_id").alias("series_id")}
     return df.select(*[out.get(c, F.col(c)) for c in wanted])
 
 
-def year_over_year(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def year_over_year(rows: DataFrame, keep: list[str] | None = None, with_id: bool = False) -> DataFrame:
     """Change of ``population`` against the row before, in the order of year, of
     the same nation_sk (gaps are not detected); change and percent change; a
     zero previous value gives a NULL percentage instead of an error.
 
     Rows without a nation_sk follow each other as if they were one nation, in
-    the order of year and nation_id.  Their window is cut by year, and the first
-    row of a year takes the last one of the latest year before it from a table
-    of one row a year: no task holds all of them."""
+    the order of year and nation_id.  Their window is cut by year; the value
+    before a year's first row, the last one of the latest year before it, comes
+    as a row of its own (one a year) put in front: no task holds all of them."""
+    keep = [c for c in keep or [] if c != "nation_id"]
     lost = F.col("nation_sk").isNull()
-    w = Window.partitionBy("nation_sk", F.when(lost, F.col("year"))).orderBy("year", "nation_id")
-    keep = keep or []
-    df = rows.select("nation_sk", "year", "population", "nation_id", *[c for c in keep if c != "nation_id"],
-                     F.lag("population", 1).over(w).alias("_prev"), F.row_number().over(w).alias("_rn"))
-    # max_by over the row itself: a NULL population is the last one's value all the same.
-    last = (rows.where(lost).groupBy("year")
-            .agg(F.max(F.struct("nation_id", F.struct("population").alias("row"))).alias("_last")))
-    before = last.select("year", F.lag(F.col("_last.row.population")).over(Window.orderBy("year")).alias("_before"))
-    df = (df.withColumn("_first", F.when(lost & (F.col("_rn") == 1), F.struct("year").alias("y")))
-          .join(before.select(F.struct("year").alias("_first"), "_before"), "_first", "left"))
-    prev = F.when(F.col("_first").isNull(), F.col("_prev")).otherwise(F.col("_before"))
-    df = df.select("nation_sk", "year", "population", prev.alias("previous_population"), *keep)
+    columns = ["nation_sk", "year", "population", "nation_id", *keep]
+    # A struct in a struct: the last row's value counts even where it is NULL.
+    last = rows.where(lost).groupBy("year").agg(F.max(F.struct("nation_id", F.struct("population").alias("row"))).alias("_l"))
+    before = last.select("year", F.lag("_l.row.population").over(Window.orderBy("year")).alias("population"), F.lit(0).alias("_own"))
+    both = rows.select(*columns, F.lit(1).alias("_own")).unionByName(before, allowMissingColumns=True)
+    w = Window.partitionBy("nation_sk", F.when(lost, F.col("year"))).orderBy("year", "_own", "nation_id")
+    keep = (["nation_id"] if with_id else []) + keep
+    df = (both.select("nation_sk", "year", "population", F.lag("population", 1).over(w).alias("previous_population"), "_own", *keep)
+          .where("_own = 1"))
     change = F.col("population") - F.col("previous_population")
     return df.select("nation_sk", "year", "population", "previous_population", change.alias("population_change"),
                      (F.try_divide(change, F.col("previous_population")) * 100).alias("population_pct_change"), *keep)
 
 
-def gold_fact_population(silver_population: DataFrame, dim_nation: Dim) -> DataFrame:
+def gold_fact_population(silver_population: DataFrame, dim_nation: Dim, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``year_over_year`` of every nation."""
-    df = lookup(silver_population, dim_nation.select("nation_sk", "nation_id"), "nation_id", "left")
-    return year_over_year(df)
+    return year_over_year(with_nation_key(silver_population, dim_nation, max_bytes))
+
+
+def with_nation_key(rows: DataFrame, dim_nation: Dim, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``rows`` with the nation_sk of their nation_id, NULL if it is unknown."""
+    return lookup_key(rows, dim_nation.select("nation_sk", F.col("nation_id").alias("_nation_k")), "nation_id", "_nation_k",
+                      max_bytes)

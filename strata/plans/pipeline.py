@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..operators.keys import kept_keys
 from ..operators.lookup import Dim, measured_all
 from ..sources.landing import LOAD_DATES, Landing, from_tables
 from . import bronze as B
@@ -122,9 +123,10 @@ class Pipeline:
         each table's rules during its write (a violated fail rule stops the
         run).  Each layer is then read back from the written files, so later
         layers start from stored tables (lineage cut at every table) and
-        surrogate keys are fixed once written."""
+        surrogate keys are fixed once written.  A later run into the same root
+        keeps the keys of all codes it has seen and numbers only new ones."""
         from . import expectations as EX
-        from .tables import GOLD_SPECS, conform, write_checked
+        from .tables import SPECS, conform, write_checked
 
         spark = self.spark
         rules = {**EX.BRONZE, **EX.SILVER, **EX.GOLD}
@@ -132,8 +134,8 @@ class Pipeline:
 
         def put(name: str, df: DataFrame) -> DataFrame:
             path = f"{root.rstrip('/')}/{name}"
-            if name in GOLD_SPECS:
-                df = conform(df, GOLD_SPECS[name])
+            if name in SPECS:
+                df = conform(df, SPECS[name])
             report[name] = write_checked(spark, df, path, name, rules.get(name, []))
             return spark.read.parquet(path)
 
@@ -144,12 +146,16 @@ class Pipeline:
         self.__dict__["silver_series"] = put("slv_pr_series", self.silver_series)
         self.__dict__["silver_productivity"] = put("slv_pr_productivity", self.silver_productivity)
         report.update(self.run_population(root))
-        gold = {n: put(f"gold_dim_{n}", self.gold_dims[n].df) for n in G.DIMENSIONS}
-        self.__dict__["gold_dims"] = {n: self.gold_dims[n].part(gold[n]) for n in gold}
-        series = self.gold_dim_series
-        self.__dict__["gold_dim_series"] = series.part(put("gold_dim_series", series.df))
-        nation = self.gold_dim_nation
-        self.__dict__["gold_dim_nation"] = nation.part(put("gold_dim_nation", nation.df))
+
+        def keyed(name: str, dim: Dim, business_key: str) -> Dim:
+            kept = kept_keys(spark, dim, [business_key], f"{name}_sk", f"{root.rstrip('/')}/_keys/gold_dim_{name}")
+            return kept.part(put(f"gold_dim_{name}", kept.df))
+
+        self.__dict__["gold_dims"] = {n: keyed(n, self.silver_dims[n].select(*cols), key)
+                                      for n, (key, cols) in G.DIMENSIONS.items()}
+        self.prepare(series=True, nation=True, codes=False)
+        self.__dict__["gold_dim_series"] = keyed("series", self.__dict__["_series_frame"], "series_id")
+        self.__dict__["gold_dim_nation"] = keyed("nation", self.__dict__["_nation_frame"], "nation_id")
         self.__dict__["gold_fact_productivity"] = put("gold_fact_productivity", self.gold_fact_productivity)
         self.__dict__["gold_fact_population"] = put("gold_fact_population", self.gold_fact_population)
         return report

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cdc
 from ..operators.keys import kept_keys
-from ..operators.lookup import Dim, lookup, measured
+from ..operators.lookup import Dim, measured
 from ..sources import json_pages
 from ..streaming import jobs, snapshots
 from . import expectations as EX
@@ -65,10 +65,12 @@ def land_and_run(spark: SparkSession, loads: DataFrame, dates: list[str], pages:
 
 
 def stored_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The bronze and silver tables that the streams keep under ``root``."""
+    """The bronze and silver tables that the streams keep under ``root``, the
+    silver ones in their declared schemas."""
+    from .tables import SILVER_SPECS, conform
     return {BRONZE: spark.read.schema(BRONZE_SCHEMA).parquet(f"{root}/{BRONZE}"),
-            "slv_population": snapshots.read_table(spark, f"{root}/slv_population"),
-            "slv_population_nation": snapshots.read_table(spark, f"{root}/slv_population_nation")}
+            **{n: conform(snapshots.read_table(spark, f"{root}/{n}"), SILVER_SPECS[n])
+               for n in ("slv_population", "slv_population_nation")}}
 
 
 # --- the fact, refreshed by change -------------------------------------------------
@@ -114,12 +116,12 @@ def refresh_fact(spark: SparkSession, root: str) -> list[int]:
         return []
     buckets = sorted(touched)
     rows = cdc.values(snapshots.read_stored(spark, silver, buckets)).select("nation_id", "year", "population", snapshots.BUCKET)
-    rows = lookup(rows, nations, "nation_id", "left")
+    rows = G.with_nation_key(rows, nations)
     if lost is not None:
         others = lost.where(~F.col(snapshots.BUCKET).isin(buckets)).withColumn("nation_sk", F.lit(None).cast("bigint"))
         rows = rows.unionByName(others)
     rows = rows.withColumn(snapshots.BUCKET, F.when(F.col("nation_sk").isNull(), F.lit(LOST)).otherwise(F.col(snapshots.BUCKET)))
-    fact = G.year_over_year(rows, ["nation_id", snapshots.BUCKET])
+    fact = G.year_over_year(rows, [snapshots.BUCKET], with_id=True)
     snapshots.swap_buckets(fact, path, f"{root}/_checkpoints/{FACT}", replaced=[*buckets, LOST])
     fs, p = snapshots._fs(spark, changed)
     fs.delete(p, True)

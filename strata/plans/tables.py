@@ -19,6 +19,7 @@ from ..operators import quality
 from ..streaming import snapshots
 from . import expectations as EX
 from . import gold as G
+from . import silver as S
 
 PUBLISHED = "_PUBLISHED"
 
@@ -49,14 +50,14 @@ class TableSpec:
         return StructType.fromDDL(self.ddl)
 
 
-# Types of the gold columns that are not STRING.
+# Types of the silver and gold columns that are not STRING.
 TYPES = {"BIGINT": ("population", "previous_population", "population_change"),
-         "INT": ("display_level", "sort_sequence", "year", "observation_year", "observation_quarter",
+         "INT": ("begin_year_int", "end_year_int", "display_level", "sort_sequence", "year", "observation_year", "observation_quarter",
                  "observation_month"),
          "DOUBLE": ("value", "population_pct_change"), "DATE": ("observation_date",),
-         "BOOLEAN": ("is_annual_average",)}
+         "BOOLEAN": ("is_annual_average",), "TIMESTAMP": ("load_timestamp",)}
 
-# What each column of the gold tables holds.
+# What each column of the silver and gold tables holds.
 COMMENTS = {
     "display_level": "Depth of the entry in the display hierarchy",
     "selectable": "T when the entry can be selected, F for headings",
@@ -77,7 +78,13 @@ COMMENTS = {
     "year": "Calendar year", "value": "Observed value", "observation_date": "Last day of the period",
     "observation_year": "Year of observation_date", "observation_quarter": "Quarter of observation_date",
     "observation_month": "Month of observation_date",
-    "nation_id": "Nation identifier as delivered", "name": "Nation name as first delivered",
+    **{f"{c}_parsed": f"{c[:-5].capitalize()} part of the series identifier"
+       for c in ("seasonal_code", "sector_code", "class_code", "measure_code", "duration_code")},
+    "begin_year_int": "begin_year as a number", "end_year_int": "end_year as a number",
+    "sector_name_desc": "Sector description of the identifier's sector part", "class_desc": "Class description",
+    "measure_desc": "Measure description", "duration_desc": "Duration description",
+    "seasonal_desc": "Description of the seasonal adjustment", "load_timestamp": "When the row was loaded",
+    "nation": "Nation name as delivered", "nation_id": "Nation identifier as delivered", "name": "Nation name as first delivered",
     "population": "Population in that year", "previous_population": "Population of the previous row in year order",
     "population_change": "population - previous_population",
     "population_pct_change": "Change in percent of previous_population",
@@ -107,6 +114,23 @@ GOLD_SPECS = {s.name: s for s in [
 ]}
 
 
+def _silver_spec(name: str, columns: list[str], comment: str) -> TableSpec:
+    return TableSpec(name, _ddl(columns), comment, (), EX.SILVER.get(name, []))
+
+
+# Declared schemas of all silver tables.
+SILVER_SPECS = {s.name: s for s in [
+    *[_silver_spec(f"slv_pr_{n}", cols, f"{n.capitalize()} codes, texts trimmed") for n, (_, cols) in G.DIMENSIONS.items()],
+    _silver_spec("slv_pr_series", [*S.SERIES_CODE_COLUMNS, "sector_name_desc", "class_desc", "measure_desc", "duration_desc",
+                                   "seasonal_desc"], "Series with the parts of their identifier and descriptions"),
+    _silver_spec("slv_pr_productivity", S.PRODUCTIVITY_COLUMNS, "Observations, one per series, year and period"),
+    _silver_spec("slv_population", ["year", "nation_id", "nation", "population", "load_timestamp"],
+                 "Latest population of each nation and year"),
+    _silver_spec("slv_population_nation", ["nation_id", "nation", "load_timestamp"], "First name of each nation"),
+]}
+SPECS = {**SILVER_SPECS, **GOLD_SPECS}
+
+
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Select the declared columns in declared order, cast to declared types,
     attach the column comments as metadata."""
@@ -116,36 +140,67 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*cols)
 
 
+def _write_watched(df: DataFrame, path: str, name: str, rules: list, mode: str) -> dict[str, int]:
+    """One pass: fail rules abort the write in the task that meets a violation,
+    all rules are counted.  Raises ``ExpectationFailed``."""
+    if not rules:
+        df.write.mode(mode).parquet(path)
+        return {}
+    out, obs = quality.observed(quality.guarded(df, name, rules), name, rules)
+    try:
+        out.write.mode(mode).parquet(path)
+    except Exception as e:
+        raise quality.as_expectation_failed(e) from e
+    return quality.check(obs, name, rules)
+
+
 def materialize(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec,
                 version: int | None = None) -> dict[str, int]:
     """Write one version of the table; publish it only if every fail rule
     holds.  Returns the rule counts."""
-    out, obs = quality.observed(conform(df, spec), spec.name, spec.rules)
     v = version if version is not None else (max(versions(spark, root), default=0) + 1)
     path = version_path(root, v)
-    out.write.mode("overwrite").parquet(path)
-    counts = quality.check(obs, spec.name, spec.rules)  # raises: version stays unpublished
+    counts = _write_watched(conform(df, spec), path, spec.name, spec.rules, "overwrite")  # raises: stays unpublished
     _touch(spark, f"{path}/{PUBLISHED}")
     return counts
 
 
 def write_checked(spark: SparkSession, df: DataFrame, path: str, name: str, rules: list,
                   mode: str = "overwrite") -> dict[str, int]:
-    """Write ``df`` beside ``path`` with its rules counted during the write; it
-    takes the place of what is at ``path`` only if no fail rule was violated
-    (raises otherwise, and the earlier rows stay readable)."""
-    out, obs = quality.observed(df, name, rules) if rules else (df, None)
-    fs, target = snapshots._fs(spark, path)
-    fresh = snapshots._fs(spark, f"{path.rstrip('/')}__checked")[1]
-    out.write.mode(mode).parquet(fresh.toString())
-    counts = quality.check(obs, name, rules) if rules else {}
-    fs.delete(target, True)
+    """Write ``df`` beside ``path`` with its rules in the plan; it takes the
+    place of what is at ``path`` only if no fail rule was violated (raises
+    otherwise, and the earlier rows stay readable).  The earlier rows are moved
+    aside, not deleted, until the new ones are in place: ``recover`` finishes a
+    swap that was interrupted."""
+    recover(spark, path)
+    base = path.rstrip("/")
+    fs, target = snapshots._fs(spark, base)
+    fresh, old = (snapshots._fs(spark, base + end)[1] for end in ("__checked", "__before"))
+    counts = _write_watched(df, fresh.toString(), name, rules, mode)
+    _touch(spark, f"{base}__checked/{PUBLISHED}")
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"{name}: could not move {path} aside")
     if not fs.rename(fresh, target):
         raise OSError(f"{name}: could not move the checked rows to {path}")
-    _touch(spark, f"{path}/{PUBLISHED}")
+    fs.delete(old, True)
+    # What the session has cached of the earlier rows is stale.
+    spark.catalog.refreshByPath(base)
     return counts
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a swap of ``write_checked`` that was cut off: checked rows that are
+    complete move in, else the rows moved aside move back."""
+    base = path.rstrip("/")
+    fs, target = snapshots._fs(spark, base)
+    fresh, old = (snapshots._fs(spark, base + end)[1] for end in ("__checked", "__before"))
+    if fs.exists(old):
+        if not fs.exists(target):
+            fs.rename(fresh if _exists(spark, f"{base}__checked/{PUBLISHED}") else old, target)
+        fs.delete(old, True)
+    fs.delete(fresh, True)
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """Newest published version."""
     good = [v for v in versions(spark, root)

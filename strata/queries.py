@@ -28,10 +28,10 @@ from .plans import tables as T
 from .plans.gold import DIMENSIONS
 from .plans.pipeline import Pipeline
 from .session import scratch_path
-from .sources import json_pages, landing as L
+from .sources import json_pages, landing as L, tsv
 from .sources.links import page_links as extract_page_links
 from .sources.tables import read_table
-from .sources.tsv import LANDING_DDL, read_tsv, write_tsv
+from .sources.tsv import LANDING_DDL, header_report, read_tsv, write_tsv
 from .streaming import jobs, snapshots
 
 # Fixed parameters of the questions on the derived data.
@@ -107,6 +107,40 @@ def page_links(spark, src):
     return extract_page_links(read_table(spark, src, "pages"), keep=["page_id"])
 
 
+@query
+def tsv_damaged(spark, src):
+    """All observations from files with short, long and unparsable lines (by
+    fixed rules over the given rows): every readable field, and the damage."""
+    root = scratch_path(spark, "tsv-damaged")
+    L.land_damaged_tsv(read_table(spark, src, "lineitem"), root)
+    rows = read_tsv(spark, root, LANDING_DDL["data_1_alldata"], corrupt=True, strict_header=True)
+    return rows.select("series_id", "year", "period", "value", "footnote_codes",
+                       F.col(tsv.CORRUPT).isNotNull().alias("damaged"))
+
+
+@query
+def tsv_damage_rules(spark, src):
+    """The rules of damaged files counted over the same landing: lines and headers."""
+    root, ddl = scratch_path(spark, "tsv-damage-rules"), LANDING_DDL["data_1_alldata"]
+    L.land_damaged_tsv(read_table(spark, src, "lineitem"), root)
+    found = quality.quality_report({"lines": (read_tsv(spark, root, ddl, corrupt=True), tsv.DAMAGE_RULES + EX.BRONZE["brz_pr_data_1_alldata"]),
+                                    "headers": (header_report(spark, root, ddl), tsv.HEADER_RULES)})
+    # The number of files follows the cluster; whether all are as declared does not.
+    return found.select("table_name", "rule", "failed_rows", F.when(F.col("table_name") == "lines", F.col("total_rows")).alias("total_rows"))
+
+
+@query
+def json_rescued(spark, src):
+    """Population pages with an unknown field and cut-off documents, nothing of
+    them lost."""
+    root = scratch_path(spark, "pages-damaged")
+    L.land_damaged_pages(L.landing_population_loads(spark, src), root)
+    pages = json_pages.read_rescued(spark, root)
+    records = F.from_json("data", S.POPULATION_RECORD)
+    return pages.select("load_no", F.size(F.coalesce(records, F.array())).alias("records"), json_pages.RESCUED,
+                        F.col(json_pages.CORRUPT).isNotNull().alias("damaged"))
+
+
 # --- projections -----------------------------------------------------------
 
 @query

@@ -5,6 +5,10 @@ Pages land under ``yyyy=/mm=/dd=`` directories (one directory level per date
 part), one document per file.  Readers look through the nested directories
 (``recursiveFileLookup``), so the directory names carry no schema.
 
+``read_rescued`` / ``stream_rescued`` lose nothing of a damaged page: fields
+that the declared schema does not know are kept as JSON in ``_rescued_data``,
+and a document that does not parse in ``_corrupt_record``.
+
 The bronze reader declares ``data`` as STRING: Spark then keeps the raw JSON
 array text, which silver parses with an explicit record schema.
 """
@@ -13,6 +17,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.quality import expect
+
+RESCUED, CORRUPT = "_rescued_data", "_corrupt_record"
+# Rules of pages that were read with all that they hold.
+RESCUE_RULES = [expect("known_fields_only", f"{RESCUED} IS NULL"), expect("readable_page", f"{CORRUPT} IS NULL")]
 
 # Top-level fields of a landed page as bronze reads them, and
 # the number of records per API page.
@@ -76,3 +87,26 @@ def with_file_audit(df: DataFrame) -> DataFrame:
         "file_arrival_timestamp": F.col("_metadata.file_modification_time"),
         "file_path": F.col("_metadata.file_path"),
     })
+
+
+def rescued(documents: DataFrame, schema: str = PAGE_SCHEMA) -> DataFrame:
+    """``documents`` (one whole JSON document as text in ``value``) as pages of
+    the declared columns (read from the fields of the same name, NULL if they
+    are absent or of another type), ``_rescued_data``, the other fields as one
+    JSON object (NULL if there are none), and ``_corrupt_record``, the text of a
+    document that is no JSON object."""
+    known = StructType.fromDDL(schema)
+    others = [c for c in documents.columns if c != "value"]
+    page = documents.select("value", *others, F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("_page"))
+    more = F.map_filter("_page", lambda k, v: ~k.isin(known.names))
+    return page.select(*[F.col("_page")[f.name].try_cast(f.dataType).alias(f.name) for f in known.fields], *others,
+                       F.when(F.size(more) > 0, F.to_json(more)).alias(RESCUED),
+                       F.when(F.col("_page").isNull(), F.col("value")).alias(CORRUPT))
+
+
+def read_rescued(spark: SparkSession, root: str, schema: str = PAGE_SCHEMA) -> DataFrame:
+    return rescued(spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True), schema)
+
+
+def stream_rescued(spark: SparkSession, root: str, schema: str = PAGE_SCHEMA) -> DataFrame:
+    return rescued(spark.readStream.option("recursiveFileLookup", "true").text(root, wholetext=True), schema)

@@ -323,3 +323,39 @@ def land_tsv(landing: Landing, root: str) -> None:
     from .tsv import write_tsv
     for key, df in landing.tsv_tables().items():
         write_tsv(df, f"{root.rstrip('/')}/{key}")
+
+
+# --- damaged files ---------------------------------------------------------------
+# Fixed rules: a line of an order in one class of 101 breaks off after the period, one
+# of another class carries a field more, and the year of a third holds a letter.
+BREAKS = {"short": 5, "long": 17, "unparsable": 29}
+
+
+def land_damaged_tsv(lineitem: DataFrame, path: str) -> None:
+    """The observations as lines of text with a header, some of them damaged."""
+    names = ["series_id", "year", "period", "value", "footnote_codes"]
+    rows = lineitem.selectExpr("l_orderkey % 101 AS _class", *[f"{OBSERVATION_EXPRS[n]} AS {n}" for n in names])
+    year = F.when(F.col("_class") == BREAKS["unparsable"], F.concat(F.substring(_s(F.col("year")), 1, 3), F.lit("X"))) \
+            .otherwise(_s(F.col("year")))
+    head = F.concat_ws("\t", "series_id", year, "period")
+    rest = F.concat_ws("\t", F.coalesce(_s(F.col("value")), F.lit("")), F.coalesce("footnote_codes", F.lit("")))
+    line = (F.when(F.col("_class") == BREAKS["short"], head)
+            .when(F.col("_class") == BREAKS["long"], F.concat_ws("\t", head, rest, F.lit("more")))
+            .otherwise(F.concat_ws("\t", head, rest)))
+    # The one column's name is the header of every file; nothing is quoted or trimmed.
+    (rows.select(line.alias("\t".join(names))).write.option("header", "true").option("sep", "\x01").option("quote", "")
+     .option("escapeQuotes", "false").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
+
+
+def land_damaged_pages(loads: DataFrame, root: str) -> None:
+    """One JSON document per load and nation: those of the second load hold a
+    field that no schema knows, those of the third are cut off."""
+    rec = F.struct(F.col("nation_id").alias("Nation ID"), F.col("nation").alias("Nation"),
+                   _s(F.col("year")).alias("Year"), F.col("population").cast("double").alias("Population"))
+    pages = loads.groupBy("load_no", "nation_id").agg(F.sort_array(F.collect_list(rec)).alias("data"))    # a record a year
+    note = F.when(F.col("load_no") == 2, F.struct(F.col("nation_id").alias("id"), F.lit(2).alias("rev")))
+    doc = F.when(F.col("load_no") == 3, F.expr("substring(doc, 1, length(doc) - 4)")).otherwise(F.col("doc"))
+    (pages.select("load_no", "nation_id", F.to_json(F.struct("data", "load_no", note.alias("note"))).alias("doc"))
+     .select("load_no", "nation_id", doc.alias("value")).repartition("load_no", "nation_id")
+     .write.partitionBy("load_no", "nation_id").text(root))

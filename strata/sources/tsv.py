@@ -3,11 +3,25 @@
 Column names come from the DDL by position (the header row is skipped, not
 matched), codes stay STRING so leading zeros survive, blanks around values
 are kept, an empty field is NULL and an unparsable number is NULL.
+
+Damaged files: ``read_tsv(..., corrupt=True)`` adds the raw line of every short,
+long or unparsable row, whose readable fields are kept; ``strict_header=True``
+makes the scan itself stop at a file whose header names other columns;
+``header_report`` lists what each file's header is, for a rule to count.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.quality import expect
+
+CORRUPT = "_corrupt_record"
+# Rules of a scan with its raw damaged lines, and of the headers of its files.
+DAMAGE_RULES = [expect("well_formed_line", f"{CORRUPT} IS NULL")]
+HEADER_RULES = [expect("header_as_declared", "as_declared")]
 
 # Reader options of the landing files.
 TSV_OPTIONS = {"header": "true", "sep": "\t"}
@@ -32,8 +46,35 @@ LANDING_DDL = {
 }
 
 
-def read_tsv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return spark.read.options(**TSV_OPTIONS).schema(ddl).csv(path)
+def read_tsv(spark: SparkSession, path: str, ddl: str, corrupt: bool = False, strict_header: bool = False) -> DataFrame:
+    """One scan, whatever is asked of it.  With ``corrupt`` a line that has too
+    few or too many fields, or a number that does not parse, comes with its raw
+    text in ``_corrupt_record``; its readable fields are as without."""
+    reader = spark.read.options(**TSV_OPTIONS)
+    if strict_header:
+        reader = reader.option("enforceSchema", "false")
+    if corrupt:
+        ddl = f"{ddl}, {CORRUPT} STRING"
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    df = reader.schema(ddl).csv(path)
+    if corrupt:
+        # Only fields that a query asks for are parsed, so the raw line asks for all of them: by a
+        # condition that always holds.
+        fields = F.concat_ws("", *[F.col(c).cast("string") for c in df.columns if c != CORRUPT])
+        df = df.withColumn(CORRUPT, F.when(F.length(fields) >= 0, F.col(CORRUPT)))
+    return df
+
+
+def header_report(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """file_path, header, as_declared: the first line of every file, and whether
+    it names the columns of ``ddl`` in order.  One line a file leaves its task:
+    the first of the split that starts at byte 0."""
+    want = "\t".join(StructType.fromDDL(ddl).names)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), "value",
+                                         F.col("_metadata.file_block_start").alias("_at"),
+                                         F.monotonically_increasing_id().alias("_line"))
+    first = lines.where("_at = 0").groupBy("file_path").agg(F.min_by("value", "_line").alias("header"))
+    return first.select("file_path", "header", (F.col("header") == want).alias("as_declared"))
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import lookup as LK
 from strata.operators import quality
 from strata.operators.cdc import scd1
 from strata.operators.dedup import keep_first
@@ -170,3 +171,49 @@ def test_extended_keys_with_null_business_key(spark):
     once = extend_surrogate_keys(old, load, ["code"], "sk")
     assert {tuple(r) for r in once.collect()} == {(1, "a", "x"), (2, None, "N"), (3, "b", "y")}
     assert extend_surrogate_keys(once, load, ["code"], "sk").count() == 3
+
+
+def _skewed(spark):
+    """A third of the rows without a key, a third with one key, the rest mixed."""
+    rows = spark.range(0, 30000, 1, 7).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("code"))
+    dim = spark.createDataFrame([("hot", 1), ("k7", 2), ("k11", 3), ("k11", 4), ("unused", 5), (None, 6)], "_code string, sk int")
+    return rows, dim
+
+
+def test_dealt_lookup_equals_the_plain_join(spark):
+    rows, dim = _skewed(spark)
+    plain = rows.join(dim, rows["code"] == dim["_code"], "left").drop("_code")
+    got = LK.lookup_key(rows, LK.Dim(dim, 6, 1 << 40), "code", "_code")
+    assert got.columns == plain.columns
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    for part in (rows.where("code IS NULL"), rows.limit(0), rows.where("code = 'k7'")):
+        assert LK.dealt_lookup(part, dim, "code", "_code").count() == part.count()
+    numbers = spark.range(100).select((F.col("id") % 5).alias("n"))
+    keys = spark.range(3).select(F.col("id").alias("_n"), (F.col("id") * 10).alias("v"))
+    assert LK.dealt_lookup(numbers, keys, "n", "_n").where("v IS NOT NULL").count() == 60
+
+
+def test_no_task_of_a_dealt_lookup_is_much_larger(spark):
+    rows, dim = _skewed(spark)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sizes = lambda df: sorted(r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect())
+        plain = sizes(rows.join(dim, rows["code"] == dim["_code"], "left"))
+        dealt = sizes(LK.dealt_lookup(rows, dim, "code", "_code"))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert dealt[-1] <= 1.3 * dealt[len(dealt) // 2] and plain[-1] > 1.3 * dealt[-1]
+
+
+def test_distinct_counts_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (2, "b", "x"), (None, "b", "y"), (2, "b", "x")], "k int, c string, d string")
+    got = quality.keys_uniqueness(df, "t", [["k"], ["c"], ["k", "c"], ["d", "c"]])
+    assert sorted(map(tuple, got.collect())) == [("t", "c", 5, 2), ("t", "d,c", 5, 3), ("t", "k", 5, 2), ("t", "k,c", 5, 3)]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    none = quality.keys_uniqueness(df.limit(0), "t", [["k"], ["c"]])
+    assert sorted(map(tuple, none.collect())) == [("t", "c", 0, 0), ("t", "k", 0, 0)]

@@ -75,3 +75,45 @@ def test_a_code_twice_doubles_its_facts_whatever_columns_are_asked(spark):
     assert rows > p.silver_productivity.count()
     assert p.fact_productivity(["series_id", "year", "value"]).count() == rows
     assert p.fact_productivity(["class_sk"]).count() == rows
+
+
+class _MoreSectors(L.TableLanding):
+    """A code before all others and one in the middle."""
+    @property
+    def sector(self):
+        base = super().sector
+        more = [(c, f"New {c}", 0, "T", 0) for c in ("0000a", "0550")]
+        return base.unionByName(base.sparkSession.createDataFrame(more, base.schema))
+
+
+def test_a_second_run_keeps_all_keys(spark):
+    root = scratch_path(spark, "two-runs")
+    first = Pipeline.from_tables(spark, SF_SMALL)
+    first.materialize(root)
+    old = {r["sector_code"]: r["sector_sk"] for r in first.gold_dims["sector"].df.collect()}
+    facts = sorted(map(str, first.gold_fact_productivity.collect()))
+    assert sorted(old.values()) == list(range(1, len(old) + 1)) and sorted(old, key=old.get) == sorted(old)
+    second = Pipeline(spark, _MoreSectors(spark, SF_SMALL))
+    second.materialize(root)
+    new = {r["sector_code"]: r["sector_sk"] for r in second.gold_dims["sector"].df.collect()}
+    assert {c: new[c] for c in old} == old and {c: new[c] - len(old) for c in set(new) - set(old)} == {"0000a": 1, "0550": 2}
+    assert sorted(map(str, second.gold_fact_productivity.collect())) == facts
+
+
+def test_interrupted_swaps_recover(spark):
+    path = scratch_path(spark, "swap")
+    fs = T.snapshots._fs(spark, path)[0]
+    at = lambda end: T.snapshots._fs(spark, path + end)[1]
+    T.write_checked(spark, spark.range(3), path, "t", [])
+    assert spark.read.parquet(path).count() == 3
+    fs.rename(at(""), at("__before"))                             # moved aside, nothing moved in
+    T.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    spark.range(5).write.parquet(path + "__checked")
+    T._touch(spark, f"{path}__checked/{T.PUBLISHED}")
+    fs.rename(at(""), at("__before"))                             # stopped between the two moves
+    T.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    spark.range(7).write.parquet(path + "__checked")              # never checked to the end
+    T.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5 and not fs.exists(at("__checked")) and not fs.exists(at("__before"))
