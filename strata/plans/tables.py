@@ -81,7 +81,7 @@ COMMENTS = {
     **{f"{c}_parsed": f"{c[:-5].capitalize()} part of the series identifier"
        for c in ("seasonal_code", "sector_code", "class_code", "measure_code", "duration_code")},
     "begin_year_int": "begin_year as a number", "end_year_int": "end_year as a number",
-    "sector_name_desc": "Sector description of the identifier's sector part", "class_desc": "Class description",
+    "sector_name_desc": "Sector description of the sector part", "class_desc": "Class description",
     "measure_desc": "Measure description", "duration_desc": "Duration description",
     "seasonal_desc": "Description of the seasonal adjustment", "load_timestamp": "When the row was loaded",
     "nation": "Nation name as delivered", "nation_id": "Nation identifier as delivered", "name": "Nation name as first delivered",
