@@ -30,27 +30,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def doubling(buf: np.ndarray, base: int, top: int) -> dict[int, np.ndarray]:
-    """Polynomial hashes of the ``2**k`` bytes from every position, up to top."""
-    out, h, n, power = {}, buf.astype(U) + U(1), 1, base
-    out[1] = h
-    while n < top:
-        nxt = h.copy()
-        if len(h) > n:
-            nxt[:-n] += h[n:] * U(power)
-        h, n, power = nxt, 2 * n, power * power & MASK
-        out[n] = h
-    return out
-
-
-def hash_at(levels: dict[int, np.ndarray], base: int, pos: np.ndarray, length: int) -> np.ndarray:
-    """Hash of ``length`` bytes from each position, from the doubled hashes."""
-    total, at = np.zeros(len(pos), U), 0
-    for n in sorted(levels, reverse=True):
-        while length - at >= n:
-            total += levels[n][pos + at] * U(pow(base, at, 1 << 64))
-            at += n
-    return total
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64, and of its inverse; kept by the worker."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept[0]) < n:
+        made = []
+        for x in (base & MASK, pow(base, -1, 1 << 64)):
+            p = np.full(max(n, 1 << 16), x, U)
+            p[0] = 1
+            made.append(np.multiply.accumulate(p))
+        kept = _POWERS[base] = made[0], made[1]
+    return kept
+
+
+class Hashes:
+    """Polynomial hashes (modulo 2^64) of any stretch of a buffer, from sums over
+    its prefixes: the difference of two sums, moved to position 0 by the inverse
+    power, since the base is odd."""
+
+    def __init__(self, buf: np.ndarray, base: int):
+        power, self.back = _powers(base, len(buf) + 1)
+        self.sums = np.zeros(len(buf) + 1, U)
+        np.cumsum((buf.astype(U) + U(1)) * power[:len(buf)], out=self.sums[1:])
+
+    def at(self, pos: np.ndarray, length: int) -> np.ndarray:
+        return (self.sums[pos + length] - self.sums[pos]) * self.back[pos]
+
+    def all(self, length: int) -> np.ndarray:
+        """Of every position, the last ones over what is left of the buffer."""
+        n = len(self.sums) - 1
+        ends = np.minimum(np.arange(n) + length, n)
+        return (self.sums[ends] - self.sums[:-1]) * self.back[:n]
 
 
 def suffix_ranks(buf: np.ndarray, length: int) -> np.ndarray:
@@ -97,17 +110,16 @@ def triggers(buf: np.ndarray, valid: np.ndarray, size: int):
     if n < size or not valid.any():
         e = np.empty(0, np.int64)
         return e, e, e, e.astype(U), e.astype(U)
-    one = doubling(buf, BASE_1, 128)
-    arg = window_argmin(mix(one[GRAM]), span)
+    one = Hashes(buf, BASE_1)
+    arg = window_argmin(mix(one.all(GRAM)), span)
     p = np.flatnonzero(valid)
     t = arg[p]
     new = np.ones(len(p), bool)
     new[1:] = (t[1:] != t[:-1]) | (p[1:] != p[:-1] + 1)
     at = np.flatnonzero(new)
     first, last, t = p[at], p[np.append(at[1:], len(p)) - 1], t[at]
-    two = doubling(buf, BASE_2, 64)
-    anchor = mix(hash_at(two, BASE_2, t, size - span + 1))
-    whole = mix(hash_at(one, BASE_1, first, size)) * U(3) + mix(hash_at(one, BASE_1, last, size))
+    anchor = mix(Hashes(buf, BASE_2).at(t, size - span + 1))
+    whole = mix(one.at(first, size)) * U(3) + mix(one.at(last, size))
     full = mix(whole + (t - first).astype(U) * U(0x9E3779B1) + (t - last).astype(U) * U(0x85EBCA6B))
     return t, first, last, anchor, full
 

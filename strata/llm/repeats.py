@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import pfp
@@ -72,8 +72,7 @@ def _contexts(size: int):
                     else:
                         buf = np.frombuffer(body, np.uint8)
                         p = np.arange(w["more"] + 1)
-                        h = pfp.mix(pfp.hash_at(pfp.doubling(buf, pfp.BASE_1, 128), pfp.BASE_1, p, size)
-                                    + U(w["anchor"] & pfp.MASK)).view(np.int64).tolist()
+                        h = pfp.mix(pfp.Hashes(buf, pfp.BASE_1).at(p, size) + U(w["anchor"] & pfp.MASK)).view(np.int64).tolist()
                         rows = [(h[i], w["first"] + i, 0, 0, None) for i in range(len(h))]
                     for cell, first, more, turn, x in rows:
                         for k, v in zip(names, (cell, w["hot"], dk, d2, first, more, turn, w["single"], x)):
@@ -160,7 +159,7 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFr
     sorted in one task: its strings are counted one by one, by their hash."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
-    phrases = map_arrow(keyed.select("dk", "d2", "raw"), _parse(size), _PHRASE_DDL)
+    phrases = stage(map_arrow(keyed.select("dk", "d2", "raw"), _parse(size), _PHRASE_DDL), "pfp-parse")
     place = F.xxhash64("dk", "d2", "first")
     anchors = (phrases.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
                .where("lo <> hi").select("anchor", "n"))
@@ -199,6 +198,17 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFr
     return ranges
 
 
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges (dk, d2, start, stop) that overlap or touch within a text, joined:
+    a long periodic text, covered by as many ranges as it has triggers, comes
+    down to a few before they are gathered in one row."""
+    text = Window.partitionBy("dk", "d2").orderBy("start", "stop")
+    so_far = F.max("stop").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.withColumn("opens", F.when(F.col("start") <= so_far, 0).otherwise(1))
+    run = opened.withColumn("run", F.sum("opens").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    return run.groupBy("dk", "d2", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("run")
+
+
 def _cut():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -237,7 +247,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     keyed = _keyed(docs)
     copies = (keyed.groupBy("dk", "d2").agg(F.count("*").alias("n"), F.max(F.octet_length("raw")).alias("bytes"))
               .where((F.col("n") > 1) & (F.col("bytes") >= size)).select("dk", "d2", F.lit(True).alias("whole")))
-    spans = (repeated_ranges(docs, size).groupBy("dk", "d2")
+    spans = (merged_ranges(repeated_ranges(docs, size)).groupBy("dk", "d2")
              .agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
     found = stage(spans.join(copies, ["dk", "d2"], "full")
                   .select("dk", "d2", "spans", F.coalesce("whole", F.lit(False)).alias("whole")), "pfp-found")

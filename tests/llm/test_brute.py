@@ -255,3 +255,28 @@ def test_copies_give_their_strings_once():
         [pa.array([1, 1]), pa.array([2, 2], pa.int32()), pa.array([b"x" * 201] * 2), pa.array([want] * 2, kind)],
         ["dk", "d2", "raw", "want"])
     assert sum(b.num_rows for b in repeats._contexts(200)(iter([batch, batch]))) == 1
+
+
+def test_hashes_of_stretches():
+    rng = np.random.default_rng(4)
+    buf = rng.integers(0, 256, 300).astype(np.uint8)
+    h = pfp.Hashes(buf, pfp.BASE_2)
+    want = lambda p, n: sum((int(c) + 1) * pow(pfp.BASE_2, k, 1 << 64) for k, c in enumerate(buf[p:p + n])) % (1 << 64)
+    assert h.at(np.arange(236), 65).tolist() == [want(p, 65) for p in range(236)]
+    assert h.all(16).tolist() == [want(p, 16) for p in range(300)]
+
+
+def test_ranges_of_a_text_are_joined(spark):
+    rng = random.Random(2)
+    rows = [(k, 0, a, a + rng.randint(1, 9)) for k in (1, 2) for a in rng.sample(range(300), 60)]
+    got = repeats.merged_ranges(spark.createDataFrame(rows, "dk long, d2 int, start int, stop int")).collect()
+    for k in (1, 2):
+        covered = {x for d, _, a, b in rows if d == k for x in range(a, b)}
+        mine = sorted((r["start"], r["stop"]) for r in got if r["dk"] == k)
+        assert {x for a, b in mine for x in range(a, b)} == covered and all(b < c for (_, b), (c, _) in zip(mine, mine[1:]))
+
+
+def test_a_long_periodic_text(spark, make_docs):
+    """Twenty megabytes of one period: all of it goes, from one row of ranges."""
+    got = repeats.remove_repeats(make_docs([(1, "the same words again " * 1_000_000), (2, "other")])).collect()
+    assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in got} == {1: (21_000_000, 1), 2: (0, 0)}
