@@ -6,8 +6,6 @@ query body with the CTEs it needs (dependencies first)."""
 
 from __future__ import annotations
 
-from .plans import expectations as EX
-
 CTE: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
@@ -376,12 +374,67 @@ _SOURCE = {
     "brz_pr_data_0_current": "cur", "brz_pr_data_1_alldata": "obs", "slv_pr_productivity": "slv_prod",
     "gold_fact_productivity": "fact_prod", "gold_fact_population": "fact_pop",
 }
-_RULES = {**EX.BRONZE, **EX.SILVER, **EX.GOLD}
-_RULES["gold_fact_population"] = _RULES["gold_fact_population"] + EX.POPULATION_VALUE_RULES
+
+
+def _rule_list(text: str) -> dict[str, list[tuple[str, str, str]]]:
+    """table | rule | action | predicate, a line each."""
+    out: dict[str, list[tuple[str, str, str]]] = {}
+    for line in filter(None, map(str.strip, text.splitlines())):
+        table, name, action, predicate = (x.strip() for x in line.split("|"))
+        out.setdefault(table, []).append((name, predicate, action))
+    return out
+
+
+# The rules of every table, stated here on their own.
+_RULES = _rule_list("""
+brz_pr_class | valid_class_code | fail | class_code IS NOT NULL
+brz_pr_class | valid_selectable | warn | selectable = 'T' OR selectable = 'F'
+brz_pr_duration | valid_duration_code | fail | duration_code IS NOT NULL
+brz_pr_duration | valid_selectable | warn | selectable = 'T' OR selectable = 'F'
+brz_pr_measure | valid_measure_code | fail | measure_code IS NOT NULL
+brz_pr_measure | valid_selectable | warn | selectable = 'T' OR selectable = 'F'
+brz_pr_sector | valid_sector_code | fail | sector_code IS NOT NULL
+brz_pr_sector | valid_selectable | warn | selectable = 'T' OR selectable = 'F'
+brz_pr_footnote | valid_footnote_code | fail | footnote_code IS NOT NULL
+brz_pr_period | valid_period | fail | period IS NOT NULL
+brz_pr_seasonal | valid_seasonal_code | fail | seasonal_code IS NOT NULL
+brz_pr_series | valid_series_id | fail | series_id IS NOT NULL
+brz_pr_series | valid_begin_year | warn | begin_year IS NOT NULL
+brz_pr_data_0_current | valid_series_id | fail | series_id IS NOT NULL
+brz_pr_data_0_current | valid_year | fail | year BETWEEN 1900 AND 2100
+brz_pr_data_0_current | valid_period | fail | period IS NOT NULL
+brz_pr_data_1_alldata | valid_series_id | fail | series_id IS NOT NULL
+brz_pr_data_1_alldata | valid_year | fail | year BETWEEN 1900 AND 2100
+brz_pr_data_1_alldata | valid_period | fail | period IS NOT NULL
+slv_pr_class | no_nulls_in_key | fail | class_code IS NOT NULL
+slv_pr_duration | no_nulls_in_key | fail | duration_code IS NOT NULL
+slv_pr_footnote | no_nulls_in_key | fail | footnote_code IS NOT NULL
+slv_pr_measure | no_nulls_in_key | fail | measure_code IS NOT NULL
+slv_pr_period | no_nulls_in_key | fail | period IS NOT NULL
+slv_pr_seasonal | no_nulls_in_key | fail | seasonal_code IS NOT NULL
+slv_pr_sector | no_nulls_in_key | fail | sector_code IS NOT NULL
+slv_pr_series | valid_series_id | fail | length(series_id) = 17
+slv_pr_productivity | non_null_critical_fields | fail | series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL
+slv_pr_productivity | valid_value | warn | value IS NOT NULL
+gold_dim_class | class_code is not null | warn | class_code IS NOT NULL
+gold_dim_duration | duration_code is not null | warn | duration_code IS NOT NULL
+gold_dim_footnote | footnote_code is not null | warn | footnote_code IS NOT NULL
+gold_dim_measure | measure_code is not null | warn | measure_code IS NOT NULL
+gold_dim_period | period is not null | warn | period IS NOT NULL
+gold_dim_seasonal | seasonal_code is not null | warn | seasonal_code IS NOT NULL
+gold_dim_sector | sector_code is not null | warn | sector_code IS NOT NULL
+gold_dim_series | series_id is not null | warn | series_id IS NOT NULL
+gold_dim_nation | nation_id_populated | warn | nation_id IS NOT NULL
+gold_fact_productivity | all_dimension_keys_resolved | warn | NOT (series_id IS NULL OR class_sk IS NULL OR duration_sk IS NULL OR footnote_sk IS NULL OR measure_sk IS NULL OR period_sk IS NULL OR sector_sk IS NULL)
+gold_fact_population | gold_population_nation_fk | fail | nation_sk IS NOT NULL
+gold_fact_population | valid_year_range | warn | year BETWEEN 2000 AND 2030
+gold_fact_population | positive_population | warn | population > 0
+gold_fact_population | measures_populated | warn | population IS NOT NULL AND year IS NOT NULL
+""")
 
 
 def _rules(table: str, src: str) -> str:
-    return _rule_rows(table, src, [(r.name, r.predicate, r.action) for r in _RULES[table]])
+    return _rule_rows(table, src, _RULES[table])
 
 
 QUERIES["dq_report"] = sql(" UNION ALL ".join(_rules(t, src) for t, src in _SOURCE.items() if t in _RULES),
