@@ -7,58 +7,89 @@ from pyspark.sql import functions as F
 
 from .common import deal_join, stage, text_key
 
-RUN = 3    # lines: the shortest repeated run that is deleted, and the winnowing window
+RUN = 3       # lines: the shortest repeated run that is deleted whatever its words
+WORDS = 50    # a shorter run is deleted too if it holds so many words
+_WORD = "[^\\x09-\\x0D ]+"
 
 
-def _windows(docs: DataFrame, run: int) -> DataFrame:
-    """One row per window of ``run`` lines: (doc_id, key, s, len, fp, pos, k1,
-    k2).  fp / pos are the window's winnowing fingerprint, its smallest line
-    hash and where that stands; k1 and k2 identify all its lines."""
+def _fingerprints(docs: DataFrame, run: int, words: int) -> DataFrame:
+    """One row per selected position: (doc_id, key, pos, n, fp, before, h, g, w).
+    fp is the line hash at pos, the smallest of some window of ``run`` lines, or
+    of fewer lines with ``words`` words; h, g and w are two hashes and the number
+    of words of each line less than ``run`` lines away, ``before`` of them before
+    pos; n is the document's number of lines."""
     lines = docs.select("doc_id", text_key(F.col("text")).alias("key"),
-                        F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), F.trim),
+                        F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x)),
                                  lambda x: x != "").alias("lines"))
     # The one-element explodes keep an array from being computed again for each of its elements.
     both = lines.select("doc_id", "key", F.inline(F.array(F.struct(
         F.transform("lines", lambda x: F.xxhash64(F.lit(1), x)).alias("h"),
-        F.transform("lines", lambda x: F.xxhash64(F.lit(2), x)).alias("g"))))).where("size(h) > 0")
-
-    def window(s):
-        n = F.least(F.size("h"), F.lit(run))
-        part = F.slice("h", s + 1, n)
-        low = F.array_min(part)
-        return F.struct(s.alias("s"), n.alias("len"), low.alias("fp"),
-                        (s + F.array_position(part, low) - 1).cast("int").alias("pos"),
-                        F.xxhash64(part).alias("k1"),
-                        F.xxhash64(F.lit(3), F.slice("g", s + 1, n)).alias("k2"))
-
-    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - run, F.lit(0)))
-    return both.select("doc_id", "key", F.inline(F.transform(starts, window)))
-
-
-def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+        F.transform("lines", lambda x: F.xxhash64(F.lit(2), x)).alias("g"),
+        F.transform("lines", lambda x: F.regexp_count(x, F.lit(_WORD))).alias("w"))))).where("size(h) > 0")
+
+    def here(pos):
+        low = F.greatest(pos - (run - 1), F.lit(0))
+        size = F.least(pos + run, F.size("h")) - low
+        return F.struct(pos.cast("int").alias("pos"), F.size("h").alias("n"), F.element_at("h", pos + 1).alias("fp"),
+                        (pos - low).cast("int").alias("before"),
+                        *[F.slice(c, low + 1, size).alias(c) for c in ("h", "g", "w")])
+
+    places = both.select("doc_id", "key", F.inline(F.transform(F.sequence(F.lit(0), F.size("h") - 1), here)))
+    return places.where(F.exists(_extensions(run, words), lambda x: x["valid"]))
+
+
+def _extensions(run: int, words: int):
+    """The windows that a position's fingerprint stands for, as an array of
+    (valid, s, len, k1, k2): the position extended by every number of lines to
+    the left and to the right that makes a window of ``run`` lines, of fewer with
+    ``words`` words, or of a shorter document's all lines, whose first smallest
+    line hash stands at the position.  k1 and k2 identify the window's lines."""
+    out = []
+    for size in range(1, run + 1):
+        for left in range(size):
+            s = F.col("pos") - left
+            inside = (F.col("before") >= left) & (s + size <= F.col("n"))
+            # Out of the document, slice(.., 1, 0) keeps the expression defined.
+            at = F.when(inside, F.col("before") - left + 1).otherwise(F.lit(1))
+            part, twin, held = (F.slice(c, at, F.when(inside, F.lit(size)).otherwise(F.lit(0))) for c in ("h", "g", "w"))
+            whole = F.lit(True) if size == run else (
+                (F.col("n") == size) | (F.aggregate(held, F.lit(0), lambda a, x: a + x) >= words))
+            lowest = F.array_position(part, F.array_min(part)) == left + 1
+            out.append(F.struct(F.coalesce(inside & whole & lowest, F.lit(False)).alias("valid"), s.alias("s"),
+                                F.lit(size).alias("len"), F.xxhash64(part).alias("k1"),
+                                F.xxhash64(F.lit(3), twin).alias("k2")))
+    return F.array(*out)
+
+
+def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """(doc_id, key, removed): per document with deletions, the positions
     (among its lines that are not blank) to delete.
 
-    Winnowing: every window of ``run`` lines selects its smallest line hash as
-    fingerprint, so two documents that share a run of ``run`` lines are
-    guaranteed to share a fingerprint.  Windows whose fingerprint occurs only
-    once drop out; the others are extended both ways from the fingerprint's
-    position, to all ``run`` lines of the window, and the windows whose lines
-    all agree are the matches; overlapping matched windows make up longer runs.
-    Of equal windows the first, in order of (doc_id, text key, position), stays.
+    Winnowing: every window of ``run`` lines, and every shorter one with
+    ``words`` words, selects its smallest line hash as fingerprint, so two
+    documents that share such a window are guaranteed to share a fingerprint.
+    Positions are joined with the fingerprints that occur at several places;
+    those that join are extended both ways to the windows they stand for, and an
+    extended window is matched with the first place, in order of (doc_id, text
+    key, position), of the same fingerprint with the same extension.  That place
+    stays, later ones go; overlapping windows make up longer runs.
     Groups are only aggregated (map-side first), never gathered, each window is
-    compared with the first of its group alone, and the windows of a frequent
+    compared with the first of its group alone, and the places of a frequent
     fingerprint are dealt over several tasks."""
-    w = stage(_windows(docs, run), "line-windows")
+    prints = stage(_fingerprints(docs, run, words), "line-prints")
     here = F.struct("doc_id", "key", "pos")
-    marks = (w.groupBy("fp").agg(F.min(here).alias("lo"), F.max(here).alias("hi"), F.count("*").alias("n"))
-             .where("lo <> hi").select("fp", "n"))
-    near = stage(deal_join(w, stage(marks, "line-marks"), ["fp"]), "line-near")
+    marks = (prints.groupBy("fp").agg(F.min(here).alias("lo"), F.max(here).alias("hi"), F.count("*").alias("n"))
+             .where("lo <> hi").select("fp", F.col("n").alias("places")))
+    marks = stage(marks, "line-marks").withColumnRenamed("places", "n")
+    met = deal_join(prints.withColumnRenamed("n", "lines"), marks, ["fp"]).withColumnRenamed("lines", "n")
+    near = met.select("doc_id", "key", "fp", F.inline(F.filter(_extensions(run, words), lambda x: x["valid"])))
+    near = stage(near.drop("valid"), "line-near")
     place = F.struct("doc_id", "key", "s")
-    firsts = (near.groupBy("k1", "k2", "len")
+    same_run = ["fp", "k1", "k2", "len"]
+    firsts = (near.groupBy(*same_run)
               .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
               .where("first <> last").drop("last"))
-    later = deal_join(near, stage(firsts, "line-firsts"), ["k1", "k2", "len"]).where(place > F.col("first"))
+    later = deal_join(near, stage(firsts, "line-firsts"), same_run).where(place > F.col("first"))
     # Lines of a first occurrence that its own repetition overlaps stay.
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     start = F.when(same, F.greatest("s", F.col("first.s") + F.col("len"))).otherwise(F.col("s"))
@@ -68,20 +99,22 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
             .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("from", "to")))).alias("removed")))
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """Delete runs of ``run`` or more lines that occur earlier in the corpus.
+def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
+    """Delete runs of ``run`` or more lines, or of ``words`` or more words, that
+    occur earlier in the corpus.
 
     Lines are the pieces between line feeds, compared without the spaces around
     them; blank lines are skipped in matching and always stay.  A document of
-    fewer lines than ``run`` is one run that matches only all lines of another
-    such document.  Null and empty texts have no lines.  Rows with the same
+    fewer lines than ``run`` is also one run as a whole, which, short of ``words``
+    words, matches only all lines of another such document.  Words are runs of
+    characters other than ASCII white space.  Null and empty texts have no lines.  Rows with the same
     doc_id and text count as one document and get the same result.  Nulls in
     doc_id order first.
 
     Returns (doc_id, n_lines, n_removed, text), one row per input row: lines
     that are not blank, those deleted, and the text without them ('' for a null
     text)."""
-    gone = repeated_lines(docs, run)
+    gone = repeated_lines(docs, run, words)
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key(F.col("text")).alias("key"))
     d, gone = d.alias("d"), gone.alias("r")
     d = (d.join(gone, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.key") == F.col("r.key")), "left")
@@ -99,18 +132,22 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
                         F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"))
 
 
-def oracle_sql(run: int = RUN) -> str:
+def oracle_sql(run: int = RUN, words: int = WORDS) -> str:
     """The rule itself in DuckDB SQL: all windows, without fingerprints."""
+    windows = " UNION ALL ".join(f"""
+      SELECT l.doc_id, s, {size} AS len, string_agg(trim(line), chr(10)) OVER o AS body
+      FROM l JOIN n USING (doc_id)
+      WINDOW o AS (PARTITION BY l.doc_id ORDER BY s ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING)
+      QUALIFY s <= n - {size - 1} AND ({size} = {run} OR n = {size} OR sum(words) OVER o >= {words})"""
+                               for size in range(1, run + 1))
     return f"""
-WITH l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s, i, line FROM (
+WITH l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s, i, line,
+                  len(regexp_extract_all(line, '[^\\x09-\\x0D ]+')) AS words FROM (
              SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
                     unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)
            WHERE trim(line) <> ''),
 n AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id),
-w AS (SELECT l.doc_id, s, least({run}, n) AS len,
-             string_agg(trim(line), chr(10)) OVER (PARTITION BY l.doc_id ORDER BY s ROWS BETWEEN CURRENT ROW
-                                              AND {run - 1} FOLLOWING) AS body
-      FROM l JOIN n USING (doc_id) QUALIFY s <= greatest(n - {run}, 0) + 1),
+w AS ({windows}),
 f AS (SELECT *, first_value(doc_id) OVER o AS fd, first_value(s) OVER o AS fs, row_number() OVER o AS nth
       FROM w WINDOW o AS (PARTITION BY body, len ORDER BY doc_id, s)),
 g AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN fd = doc_id THEN greatest(s, fs + len) ELSE s END, s + len)) AS s

@@ -211,6 +211,49 @@ def test_windows_share_fingerprints(spark, make_docs):
     assert out == {1: (0, "a\nb\nc\nd\ne"), 2: (3, "x\n\ny"), 3: (0, "b\nc"), 4: (2, ""), 5: (3, "q\nq\nq")}
 
 
+def test_short_runs_of_many_words(spark, make_docs):
+    line = " ".join(f"w{i}" for i in range(60))
+    half = [" ".join(f"{c}{i}" for i in range(30)) for c in "xy"]
+    rows = [(1, f"one\n{line}\ntwo"), (2, f"three\n{line}"), (3, line), (4, "p\n" + "\n".join(half) + "\nq"),
+            (5, "\n".join(half)), (6, f"r\n{half[0]}\ns\n{half[1]}"), (7, f"{line}\n{line}\nlast")]
+    out = {r["doc_id"]: (r["n_removed"], r["text"]) for r in lines.dedup_lines(make_docs(rows)).collect()}
+    assert out == {1: (0, rows[0][1]), 2: (1, "three"), 3: (1, ""), 4: (0, rows[3][1]), 5: (2, ""), 6: (0, rows[5][1]),
+                   7: (2, "last")}
+
+
+def test_lines_are_trimmed_of_spaces_only(spark, make_docs):
+    # Digits at the ends of line number i, spaces, and tabs, which stay.
+    rows = [(1, "a 0\nb 1\nc 2"), (2, "a \nb \nc "), (3, " a 0\nb 1 \n c 2"), (4, "\ta 0\nb 1\nc 2")]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(make_docs(rows)).collect()}
+    assert out == {1: 0, 2: 0, 3: 3, 4: 0}
+
+
+def _delete_repeats(rows, run, words):
+    """Every window against all earlier ones, line by line."""
+    docs = {i: [x.strip(" ") for x in t.split("\n") if x.strip(" ")] for i, t in rows}
+    first, gone = {}, {i: set() for i in docs}
+    for i in sorted(docs):
+        x = docs[i]
+        for s in range(len(x)):
+            for n in range(1, run + 1):
+                w = tuple(x[s:s + n])
+                if len(w) < n or not (n == run or len(x) == n or sum(len(y.split()) for y in w) >= words):
+                    continue
+                j, at = first.setdefault(w, (i, s))
+                if (j, at) != (i, s):
+                    gone[i] |= set(range(max(s, at + n) if i == j else s, s + n))
+    return {i: len(x) for i, x in gone.items()}
+
+
+@pytest.mark.parametrize("run,words", [(3, 6), (2, 5), (4, 9)])
+def test_line_windows_by_brute_force(spark, make_docs, run, words):
+    rng = random.Random(run)
+    pool = [" ".join(rng.choice("abcd") for _ in range(rng.choice([1, 2, 3, 7]))) for _ in range(9)]
+    rows = [(i, "\n".join(rng.choice([*pool, f"own {i} {k}"]) for k in range(rng.randrange(1, 12)))) for i in range(60)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(make_docs(rows), run, words).collect()}
+    assert got == _delete_repeats(rows, run, words)
+
+
 def test_triggers_depend_on_the_window_only():
     rng = np.random.default_rng(0)
     same = rng.integers(97, 105, 500).astype(np.uint8)
