@@ -315,16 +315,17 @@ def block_cells(rows: DataFrame, counts: DataFrame, on: list[str], spread_by, si
     pairs of a group meet, none of which grows with the group: a group of n rows
     is cut into ceil(n / size) blocks, and each pair of blocks is a cell.  Adds
     ``cell`` (long), ``block`` (this row's side) and ``other`` (the cell's
-    second block).  A group of up to ``size`` rows is one cell."""
-    j = (rows.join(counts, on)
-         .withColumn("blocks", F.ceil(F.col("n") / size).cast("int"))
+    second block).  A group of up to ``size`` rows is one cell.  The rows of a
+    large group are dealt over tasks before they meet its count."""
+    counts = stage(counts.select(*on, "n", F.ceil(F.col("n") / size).cast("int").alias("blocks")), "block-counts")
+    j = (deal_join(rows, counts, on)
          .withColumn("block", F.pmod(spread_by, F.col("blocks")).cast("int"))
          .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     lo, hi = F.least("block", "with"), F.greatest("block", "with")
     return (j.withColumn("cell", F.xxhash64(*on, lo, hi))
             .withColumn("other", F.when(F.col("block") == F.col("with"), F.col("block"))
                         .otherwise(F.col("with")).cast("int"))
-            .drop("n", "blocks", "with"))
+            .drop("blocks", "with"))
 
 
 # --- connected components ----------------------------------------------------

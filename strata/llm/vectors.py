@@ -97,8 +97,12 @@ _FOUND = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
 
 def _verify(least: float, shared: int):
     """Links within the cells of the inverted lists: for every vector the number
-    of its links (b null), and a spanning forest of the links (n 0).  A pair
-    belongs to the list of the smallest pivot that it shares."""
+    of its links (b null), and a spanning forest of the links (n 0).
+
+    A cell's own inverted lists, one for each further pivot, bring together the
+    rows that share that pivot besides the cell's; they are counted up before any
+    cosine, so only pairs with ``shared`` common pivots are multiplied.  A pair
+    belongs to the cell of the smallest pivot that it shares."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, starts in whole_groups(batches, "cell"):
             keys = rows.column("vkey").to_pylist()
@@ -115,18 +119,24 @@ def _verify(least: float, shared: int):
                 p = np.array(lists[s:e])
                 cross = bool((block[s:e] != other[s:e]).any())
                 side = block[s:e]
+                need = min(shared, p.shape[1])
+                by_pivot: dict[int, np.ndarray] = {}
+                for q in np.unique(p).tolist():
+                    by_pivot[q] = np.flatnonzero((p == q).any(1))
                 forest = Forest(e - s)
                 links = np.zeros(e - s, np.int64)
                 for i in range(e - s - 1):
-                    hit = np.flatnonzero(x[i + 1:] @ x[i] >= least - 1e-12) + i + 1
+                    # Shared pivots of row i with each later row, counted over the lists.
+                    meet = np.concatenate([by_pivot[q][np.searchsorted(by_pivot[q], i, "right"):] for q in p[i].tolist()])
+                    less = np.concatenate([by_pivot[q][np.searchsorted(by_pivot[q], i, "right"):]
+                                           for q in p[i].tolist() if q < pivot[s + i]] or [meet[:0]])
+                    common = np.bincount(meet, minlength=e - s)
+                    hit = np.flatnonzero((common >= need) & (np.bincount(less, minlength=e - s) == 0))
                     if cross:
                         hit = hit[side[hit] != side[i]]
                     if not len(hit):
                         continue
                     hit = hit[(x[hit] * x[i]).sum(1) >= least]
-                    common = (p[hit][:, :, None] == p[i][None, None, :]).any(2)
-                    lowest = np.where(common, p[hit], np.iinfo(np.int32).max).min(1)
-                    hit = hit[(common.sum(1) >= min(shared, p.shape[1])) & (lowest == pivot[s + i])]
                     links[i] += copies[s + hit].sum()
                     links[hit] += copies[s + i]
                     for j in hit.tolist():
@@ -152,8 +162,9 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, pivots: int = PIVOTS
 
     Equal vectors of a label are first collapsed, so copies cost nothing.  Every
     vector is described by the order of its ``nearest`` pivots and stored in
-    their inverted lists, kept apart by label; vectors that meet in a list and
-    share at least ``shared`` pivots are verified exactly.  A list is compared
+    their inverted lists, kept apart by label; for vectors that meet in a list the
+    shared pivots are counted, and those with at least ``shared`` are verified
+    exactly.  A list is compared
     in blocks of about ``block`` rows, each pair of blocks in a cell of its own;
     tasks return link counts and a spanning forest, never all pairs.
 
