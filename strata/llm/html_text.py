@@ -36,21 +36,29 @@ ASIDE = {"nav", "footer", "aside", "form", "svg", "canvas", "button", "select",
          "video", "map", "fieldset", "header"}
 ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb",
                "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies",
-               "disqus", "footer", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
+               "discussion", "disqus", "footer", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
                "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "recommended",
                "related", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
                "sponsored", "subscribe", "toolbar", "widget"}
+# Of these, the ones that also stand in names of main text ("related-work",
+# "search-engines"): alone they are enough, beside other words the text decides.
+AMBIGUOUS = {"alert", "banner", "discussion", "header", "menu", "notice", "notices", "promotion", "recommended",
+             "related", "replies", "search", "share", "sharing", "social"}
+# Words that make a name a state of the page, not what the element is: "has-sidebar".
+STATES = {"closed", "disabled", "enabled", "free", "has", "hidden", "hide", "is", "no", "not", "open", "with", "without"}
 # Words that only place such a name: "site-footer", "related-posts".
 PLACING = {"area", "bar", "block", "bottom", "box", "buttons", "container", "form", "global", "inner", "item", "items",
            "left", "links", "list", "main", "outer", "page", "posts", "primary", "right", "secondary", "section",
            "site", "top", "wrapper"}
+# What an element's name and text say for (+) and against (-) main text.
+SCORES = {"name": -3.0, "ambiguous name": -1.5, "50 plain words": 1.0, "most plain words": 2.0, "all words in links": -3.0}
 WRAPPERS = {"form", "fieldset", "object"}    # of ASIDE, those that may also enclose a whole page
 CONTENT = {"article", "main"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*)[^>]*>?|<[!?/][^>]*>?", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
-_SLUG = re.compile(r"[-_]+")
+_SLUG = re.compile(r"[-_]+|(?<=[a-z0-9])(?=[A-Z])")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 
 # Items of a page: (kind, name, text).  Kinds: word run, tag, left-out element.
@@ -83,36 +91,56 @@ def parse(page: str) -> list[tuple[int, str, str]]:
     return out
 
 
-def _names_aside(value: str) -> bool:
-    """Whether a class or role is a name of ASIDE_WORDS, or is put together of
-    such names and words that place them."""
-    if value in ASIDE_WORDS:
-        return True
-    parts = [x for x in _SLUG.split(value) if x]
-    return any(x in ASIDE_WORDS for x in parts) and all(x in ASIDE_WORDS or x in PLACING for x in parts)
-
-
-def _is_aside(name: str, attrs: str, inside: bool = False) -> bool:
-    """Whether an element says of itself that it is no main text: by its tag, a
-    class or role, or its whole id.  Headings and elements within a line never
-    do by a name; ids of sections and paragraphs ``inside`` the content are
-    anchors made of their titles."""
+def _name_score(value: str) -> float | None:
+    """What a class, id or role says: None nothing, -inf that the element is no
+    main text whatever it holds (a word of ASIDE_WORDS, alone or with words that
+    place it), else the score of a name with further words in it."""
+    parts = [x.lower() for x in _SLUG.split(value) if x]
+    named = [x for x in parts if x in ASIDE_WORDS]
+    if not named or any(x in STATES for x in parts):
+        return None
+    if value.lower() in ASIDE_WORDS or all(x in ASIDE_WORDS or x in PLACING or x.isdigit() for x in parts):
+        return -math.inf
+    return SCORES["ambiguous name" if all(x in AMBIGUOUS for x in named) else "name"]
+
+
+def _aside_score(name: str, attrs: str, inside: bool = False) -> float | None:
+    """What an element says of itself by its tag, classes, role and id: None
+    nothing against main text, -inf that it is none, else a score that its text
+    may outweigh.  Headings and elements within a line say nothing by a name; ids
+    of sections and paragraphs ``inside`` the content are anchors made of their
+    titles."""
     if name in ASIDE:
-        return True
+        return -math.inf
     if not attrs or name in ("html", "body") or name in CONTENT or name in HEADINGS or name in INLINE:
-        return False
+        return None
+    scores = []
     for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "role") and any(map(_names_aside, value.split())):
-            return True
-        if key == "id" and value.strip() in ASIDE_WORDS and not (inside and name in ("section", "p")):
-            return True
-    return False
+        key, value = key.lower(), value.strip("\"'")
+        if key in ("class", "role") or key == "id" and not (inside and name in ("section", "p")):
+            scores += map(_name_score, value.split())
+    return min((x for x in scores if x is not None), default=None)
+
+
+def _text_score(items: list[tuple[int, str, str]]) -> float:
+    """What an element's text says: words outside links for main text, the share
+    of words inside links against it."""
+    plain = linked = 0
+    in_link = False
+    for kind, name, text in items:
+        if kind == TEXT:
+            n = len(text.split())
+            plain, linked = (plain, linked + n) if in_link else (plain + n, linked)
+        elif kind == TAG and name in ("a", "/a"):
+            in_link = name == "a"
+    share = linked / (plain + linked) if plain + linked else 1.0
+    return (min(SCORES["50 plain words"] * plain / 50, SCORES["most plain words"])
+            + SCORES["all words in links"] * share)
 
 
 def leave_out(items: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
-    """Items without menus, adverts and the like: each such element becomes one
-    LEFT item.  An element that is never closed, or holds the page's article,
+    """Items without menus, adverts and the like: each element whose name and
+    text score below zero together becomes one LEFT item.  An element that is never closed, or holds the page's article,
     stays; a header within an article that holds a heading is its title.  On a
     page without an article or main element, a block that holds most of its words
     stays too (unless its tag alone says what it is): the weights decide."""
@@ -122,8 +150,13 @@ def leave_out(items: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
         kind, name, attrs = items[i]
         if kind == TAG and name.lstrip("/") in CONTENT:
             inside += -1 if name[0] == "/" else 1
-        if kind == TAG and name[0] != "/" and name not in VOID and _is_aside(name, attrs, inside > 0 or bare):
+        said = None
+        if kind == TAG and name[0] != "/" and name not in VOID:
+            said = _aside_score(name, attrs, inside > 0 or bare)
+        if said is not None:
             end = _end_of(items, i, name)
+            if end is not None and said > -math.inf and said + _text_score(items[i + 1:end]) >= 0:
+                end = None
             within = {x[1] for x in items[i + 1:end or i + 1] if x[0] == TAG}
             title = inside > 0 and ("header" == name or "header" in attrs.lower()) and within & {"h1", "h2"}
             most = False
@@ -287,8 +320,9 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     A page is a sequence of words (positive scores) and tags (negative scores);
     the contiguous run with the highest sum is its content, widened to whole
     blocks.  Menus, headers, footers, side columns, notices, adverts, forms,
-    scripts, styles and reader comments inside it are left out by element and
-    by whole names of class, id and role (see ``leave_out``).  A null or empty page, or one without
+    scripts, styles and reader comments inside it are left out by element, by
+    name of class, id and role, and, where a name is not clear, by a score of
+    name, words and links together (see ``leave_out``).  A null or empty page, or one without
     words, has the text ''.  Rows are independent and nothing is shuffled:
     repeated rows and null ids need no care; an empty table gives none."""
     p = pages.select("page_id", "url", "html")

@@ -200,6 +200,31 @@ def test_names_that_only_look_like_asides(page, text):
     assert html_text.extract_text(page, html_text.UNFITTED) == text
 
 
+ASIDES = ["class='reader-comments'", "class='user-comments'", "class='post-comments'", "class='comment-thread'",
+          "class='ad-slot'", "class='google-ads'", "class='sticky-ad'", "class='gdpr-notice'", "class='related-articles'",
+          "class='social-media'", "class='share-this'", "class='discussion'", "id='comments-section'", "id='sidebar-left'",
+          "id='site-nav'", "id='ad-1'", "class='adSlot'", "class='x commentList'"]
+PROSE = " ".join(f"word{i}" for i in range(90))
+
+
+@pytest.mark.parametrize("attr", ASIDES)
+def test_asides_of_other_names(attr):
+    page = f"<article><p>one two three</p><div {attr}><p>no <a href='/'>no no</a></p></div><p>four five</p></article>"
+    assert html_text.extract_text(page, html_text.UNFITTED) == "one two three\nfour five"
+
+
+@pytest.mark.parametrize("attr", ["class='related-work'", "class='social-history'", "class='search-engines'", "class='has-sidebar'",
+                                  "class='no-comments'", "class='address'", "class='advice'", "id='menu-theory'"])
+def test_main_text_of_such_names(attr):
+    page = f"<article><p>one two three</p><div {attr}><p>{PROSE}</p></div><p>four five</p></article>"
+    assert html_text.extract_text(page, html_text.UNFITTED) == f"one two three\n{PROSE}\nfour five"
+
+
+def test_long_comments_go(spark):
+    page = f"<article><p>one two three</p><div class='reader-comments'><p>{PROSE}</p></div></article>"
+    assert html_text.extract_text(page, html_text.UNFITTED) == "one two three"
+
+
 def test_page_weights(spark):
     w = html_text.fit(table(spark, SF, "pages"))
     assert w["word"] > 0 and all(v < 0 for k, v in w.items() if k != "word")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import common, contamination, lang, lines, mixing, near_text, repeats, token_counts, token_files
+from strata.llm import common, contamination, html_text, lang, lines, mixing, near_text, repeats, token_counts, token_files, vectors
 from strata.session import scratch_path
 
 LONG = " ".join(f"word{i % 977}x{i % 31}" for i in range(60_000))
@@ -134,3 +134,62 @@ def test_stages(spark, make_docs, tmp_path, name, step, rows):
     assert (n == 0) if not rows else n > 0
     if name != "token_ids":
         assert out.columns == docs.columns
+
+
+PAGES = [(1, "u", None), (None, None, ""), (2, "v", "<article><p>" + LONG + "</p></article>"), (3, "w", "<p>a b"), (3, "w", "<p>a b"),
+         (4, "x", "<div><nav>only</nav></div>"), (5, "y", "<" * 5000), (6, "z", "<div>" * 3000 + "deep text")]
+
+
+def test_pages_edges(spark):
+    ddl = "page_id long, url string, html string"
+    pages = spark.createDataFrame(PAGES, ddl)
+    plain = sorted(map(str, html_text.extract(pages).collect()))
+    assert len(plain) == len(PAGES)
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert got[1] == got[None] == got[4] == "" and got[2] == LONG and got[3] == "a b" and got[6] == "deep text"
+    assert all(r["n_chars"] == len(r["text"]) for r in html_text.extract(pages).collect())
+    clash = pages.select("*", *[F.lit("?").alias(c) for c in ("text", "n_chars", "token", "inner")])
+    assert sorted(map(str, html_text.extract(clash).collect())) == plain
+    assert html_text.extract(spark.createDataFrame([], ddl)).collect() == []
+
+
+NAN, INF = float("nan"), float("inf")
+VECTORS = [(1, "a", [1.0, 0.0, 0.0]), (2, "a", [2.0, 0.0, 0.0]), (3, "a", [1.0, 0.1, 0.0]), (4, "a", [0.0, 1.0, 0.0]),
+           (5, "b", [1.0, 0.0, 0.0]), (6, None, [1.0, 0.0, 0.0]), (7, "a", None), (8, "a", [0.0, 0.0, 0.0]), (9, "a", [NAN, 0.0, 1.0]),
+           (10, "a", [INF, 0.0, 0.0]), (11, "a", [None, 0.0, 1.0]), (12, "a", []), (13, "a", [1.0, 0.0]), (14, "a", [1e300, 0.0, 0.0]),
+           (None, "a", [0.0, 1.0, 0.0]), (4, "a", [0.0, 1.0, 0.0])]
+
+
+def test_vectors_edges(spark):
+    ddl = "vec_id long, label string, embedding array<double>"
+    vecs = spark.createDataFrame(VECTORS, ddl)
+    out = vectors.near_vectors(vecs).collect()
+    assert len(out) == len(VECTORS)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in out}
+    for i in (1, 2, 3, 14):
+        assert got[i] == (3, 1, i == 1)
+    assert got[4] == (2, 4, True) and got[None] == (2, 4, False)
+    for i in (5, 6, 7, 8, 9, 10, 11, 12, 13):
+        assert got[i] == (0, i, True)
+    clash = vecs.select("*", *[F.lit("?").alias(c) for c in ("vkey", "cell", "n", "block", "blocks", "dim", "pivot", "unit")])
+    assert sorted(map(str, vectors.near_vectors(clash).collect())) == sorted(map(str, out))
+    assert vectors.near_vectors(spark.createDataFrame([], ddl)).collect() == []
+
+
+def test_vector_links_near_the_threshold(spark):
+    """Recall on pairs within 0.002 of the least cosine, by brute force."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cos = rng.uniform(0.979, 0.983, len(x))[:, None]
+    both = np.concatenate([x, cos * x + np.sqrt(1 - cos ** 2) * side])
+    rows = [(i, "a", v.tolist()) for i, v in enumerate(both)]
+    out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).collect()
+    unit = both / np.linalg.norm(both, axis=1)[:, None]
+    want = ((unit @ unit.T >= 0.98).sum(1) - 1)
+    got = np.array([r["n_links"] for r in sorted(out, key=lambda r: r["vec_id"])])
+    assert (got <= want).all() and got.sum() >= 0.9 * want.sum()
+    print(got.sum(), want.sum())
