@@ -1,9 +1,9 @@
 """Surrogate keys for dimensions.
 
-``assign_surrogate_keys`` numbers rows 1..n in business-key order.  Small
-dimensions (checked count) use one ordered window; large ones are range
-partitioned, numbered inside each partition, and shifted by the row counts
-of the partitions before them -- no single task ever sees the whole table.
+``assign_surrogate_keys`` numbers rows 1..n in business-key order: rows are
+partitioned into ranges of about ``ROWS_PER_RANGE``, numbered inside each range,
+and shifted by the row counts of the ranges before them -- at every size in the
+same way, and no task ever sees more than a range.
 ``extend_surrogate_keys`` keeps existing keys stable across loads and numbers
 only new business keys after the current maximum.  ``kept_keys`` does so with a
 key map stored between runs.
@@ -16,18 +16,11 @@ from pyspark.sql import functions as F
 
 from .lookup import Dim, measured
 
-SINGLE_TASK_MAX_ROWS = 1_000_000
+ROWS_PER_RANGE = 100_000
 
 
-def _window_keys(df: DataFrame, order_by: list[str], sk: str, start: int) -> DataFrame:
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.select(((F.row_number().over(w) + (start - 1)).cast("bigint")).alias(sk), *df.columns)
-
-
-def _range_keys(df: DataFrame, order_by: list[str], sk: str, start: int,
-                partitions: int | None) -> DataFrame:
+def _range_keys(df: DataFrame, order_by: list[str], sk: str, start: int, n: int) -> DataFrame:
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = order_by + [c for c in df.columns if c not in order_by]
     ranged = (df.repartitionByRange(n, *order_by)
                 .sortWithinPartitions(*sort_cols)
@@ -47,15 +40,16 @@ def _range_keys(df: DataFrame, order_by: list[str], sk: str, start: int,
 
 
 def assign_surrogate_keys(dim: Dim, order_by: list[str], sk: str, start: int = 1,
-                          single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
-                          partitions: int | None = None) -> Dim:
-    if dim.rows <= single_task_max_rows:
-        return dim.numbered(_window_keys(dim.df, order_by, sk, start))
-    return dim.numbered(_range_keys(dim.df, order_by, sk, start, partitions))
+                          rows_per_range: int = ROWS_PER_RANGE) -> Dim:
+    """``dim`` with ``sk`` numbering its rows from ``start`` in the order of
+    ``order_by`` (NULLs first; equal ones by their other columns).  The number of
+    ranges follows the counted rows."""
+    ranges = max(1, -(-dim.rows // rows_per_range))
+    return dim.numbered(_range_keys(dim.df, order_by, sk, start, ranges))
 
 
 def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key: list[str],
-                          sk: str, single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+                          sk: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Existing rows keep their keys; unseen business keys get max(sk)+1.. in
     business-key order.  Attributes of existing keys are taken from
     ``incoming`` when present there (type-1 refresh)."""
@@ -74,7 +68,7 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, business_key
     top = got["top"]
     new_dim = Dim(new, got["new"])
     numbered = assign_surrogate_keys(new_dim, business_key, sk, start=int(top) + 1,
-                                     single_task_max_rows=single_task_max_rows).df
+                                     rows_per_range=rows_per_range).df
     return refreshed.unionByName(gone).unionByName(numbered)
 
 
@@ -86,7 +80,7 @@ def _null_safe(left: str, right: str, columns: list[str]):
 
 
 def kept_keys(spark: SparkSession, dim: Dim, business_key: list[str], sk: str, map_path: str,
-              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> Dim:
+              rows_per_range: int = ROWS_PER_RANGE) -> Dim:
     """``dim`` with surrogate keys that outlive the run: the key map at
     ``map_path`` (business key, its number among equal ones, key) is read, new
     business keys are appended to it after its greatest key in business-key
@@ -103,7 +97,7 @@ def kept_keys(spark: SparkSession, dim: Dim, business_key: list[str], sk: str, m
         start = int(known.agg(F.max(sk)).first()[0] or 0) + 1
     new = measured(found)
     if new.rows or start == 1:
-        assign_surrogate_keys(new, [*business_key, "_nth"], sk, start, single_task_max_rows).df.write.mode("append").parquet(map_path)
+        assign_surrogate_keys(new, [*business_key, "_nth"], sk, start, rows_per_range).df.write.mode("append").parquet(map_path)
     new.df.unpersist()
     known = spark.read.parquet(map_path)
     keyed = rows.alias("r").join(known.alias("k"), _null_safe("r", "k", [*business_key, "_nth"]))

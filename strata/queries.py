@@ -280,8 +280,7 @@ def surrogate_key(spark, src):
     """Series keys through the range-partitioned (multi-task) numbering."""
     p = _p(spark, src)
     ids = S.series_codes(p.bronze["brz_pr_series"]).select(F.trim("series_id").alias("series_id"))
-    return assign_surrogate_keys(measured(ids), ["series_id"], "series_sk",
-                                 single_task_max_rows=0).df
+    return assign_surrogate_keys(measured(ids), ["series_id"], "series_sk", rows_per_range=1000).df
 
 
 @query

@@ -87,7 +87,7 @@ def test_surrogate_keys_window_and_range_agree(spark):
     codes = spark.range(0, 500).select(F.format_string("C%04d", (F.col("id") * 7919) % 500).alias("code"))
     dim = measured(codes)
     small = assign_surrogate_keys(dim, ["code"], "code_sk").df
-    large = assign_surrogate_keys(dim, ["code"], "code_sk", single_task_max_rows=0, partitions=5).df
+    large = assign_surrogate_keys(dim, ["code"], "code_sk", rows_per_range=7).df
     a, b = _rows(small), _rows(large)
     assert a == b
     assert [r[0] for r in a] == list(range(1, 501))
