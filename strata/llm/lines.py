@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +38,16 @@ def _fingerprints(docs: DataFrame, run: int, words: int) -> DataFrame:
                         *[F.slice(c, low + 1, size).alias(c) for c in ("h", "g", "w")])
 
     places = both.select("doc_id", "key", F.inline(F.transform(F.sequence(F.lit(0), F.size("h") - 1), here)))
-    return places.where(F.exists(_extensions(run, words), lambda x: x["valid"]))
+    return places.where(reduce(or_, [w[0] for w in _windows(run, words)]))
 
 
-def _extensions(run: int, words: int):
-    """The windows that a position's fingerprint stands for, as an array of
-    (valid, s, len, k1, k2): the position extended by every number of lines to
-    the left and to the right that makes a window of ``run`` lines, of fewer with
-    ``words`` words, or of a shorter document's all lines, whose first smallest
-    line hash stands at the position.  k1 and k2 identify the window's lines."""
+def _windows(run: int, words: int):
+    """The windows that a position's fingerprint may stand for: the position
+    extended by every number of lines to the left and to the right that makes a
+    window of ``run`` lines, of fewer with ``words`` words, or of a shorter
+    document's all lines.  Of each (valid, s, len, h, g): whether it lies in the
+    document and its first smallest line hash stands at the position, where it
+    starts, and the two hashes of its lines."""
     out = []
     for size in range(1, run + 1):
         for left in range(size):
@@ -55,10 +59,17 @@ def _extensions(run: int, words: int):
             whole = F.lit(True) if size == run else (
                 (F.col("n") == size) | (F.aggregate(held, F.lit(0), lambda a, x: a + x) >= words))
             lowest = F.array_position(part, F.array_min(part)) == left + 1
-            out.append(F.struct(F.coalesce(inside & whole & lowest, F.lit(False)).alias("valid"), s.alias("s"),
-                                F.lit(size).alias("len"), F.xxhash64(part).alias("k1"),
-                                F.xxhash64(F.lit(3), twin).alias("k2")))
-    return F.array(*out)
+            out.append((F.coalesce(inside & whole & lowest, F.lit(False)), s, F.lit(size), part, twin))
+    return out
+
+
+def _extensions(run: int, words: int):
+    """The valid ones of ``_windows``, as an array of (valid, s, len, k1, k2);
+    k1 and k2 identify the window's lines."""
+    return F.filter(F.array(*[
+        F.struct(valid.alias("valid"), s.alias("s"), size.alias("len"), F.xxhash64(part).alias("k1"),
+                 F.xxhash64(F.lit(3), twin).alias("k2")) for valid, s, size, part, twin in _windows(run, words)]),
+        lambda x: x["valid"])
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
@@ -77,18 +88,13 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
     compared with the first of its group alone, and the places of a frequent
     fingerprint are dealt over several tasks."""
     prints = stage(_fingerprints(docs, run, words), "line-prints")
-    here = F.struct("doc_id", "key", "pos")
-    marks = (prints.groupBy("fp").agg(F.min(here).alias("lo"), F.max(here).alias("hi"), F.count("*").alias("n"))
-             .where("lo <> hi").select("fp", F.col("n").alias("places")))
-    marks = stage(marks, "line-marks").withColumnRenamed("places", "n")
+    marks = stage(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1"), "line-marks")
     met = deal_join(prints.withColumnRenamed("n", "lines"), marks, ["fp"]).withColumnRenamed("lines", "n")
-    near = met.select("doc_id", "key", "fp", F.inline(F.filter(_extensions(run, words), lambda x: x["valid"])))
+    near = met.select("doc_id", "key", "fp", F.inline(_extensions(run, words)))
     near = stage(near.drop("valid"), "line-near")
     place = F.struct("doc_id", "key", "s")
     same_run = ["fp", "k1", "k2", "len"]
-    firsts = (near.groupBy(*same_run)
-              .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
-              .where("first <> last").drop("last"))
+    firsts = near.groupBy(*same_run).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = deal_join(near, stage(firsts, "line-firsts"), same_run).where(place > F.col("first"))
     # Lines of a first occurrence that its own repetition overlaps stay.
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
