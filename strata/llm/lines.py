@@ -16,11 +16,9 @@ _WORD = "[^\\x09-\\x0D ]+"
 
 
 def _fingerprints(docs: DataFrame, run: int, words: int) -> DataFrame:
-    """One row per selected position: (doc_id, key, pos, n, fp, before, h, g, w).
-    fp is the line hash at pos, the smallest of some window of ``run`` lines, or
-    of fewer lines with ``words`` words; h, g and w are two hashes and the number
-    of words of each line less than ``run`` lines away, ``before`` of them before
-    pos; n is the document's number of lines."""
+    """One row per selected position: (doc_id, key, fp, windows).  fp is the line
+    hash at the position, the smallest of some window of ``run`` lines, or of
+    fewer lines with ``words`` words; windows are those that it stands for."""
     lines = docs.select("doc_id", text_key(F.col("text")).alias("key"),
                         F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x)),
                                  lambda x: x != "").alias("lines"))
@@ -38,14 +36,17 @@ def _fingerprints(docs: DataFrame, run: int, words: int) -> DataFrame:
                         *[F.slice(c, low + 1, size).alias(c) for c in ("h", "g", "w")])
 
     places = both.select("doc_id", "key", F.inline(F.transform(F.sequence(F.lit(0), F.size("h") - 1), here)))
-    return places.where(reduce(or_, [w[0] for w in _windows(run, words)]))
+    return (places.where(reduce(or_, [w[0] for w in _windows(run, words)]))
+            .select("doc_id", "key", "fp", _extensions(run, words).alias("windows")))
 
 
 def _windows(run: int, words: int):
     """The windows that a position's fingerprint may stand for: the position
     extended by every number of lines to the left and to the right that makes a
     window of ``run`` lines, of fewer with ``words`` words, or of a shorter
-    document's all lines.  Of each (valid, s, len, h, g): whether it lies in the
+    document's all lines.  The position's row has fp, pos, n (the document's
+    lines) and h, g and w, two hashes and the number of words of each line less
+    than ``run`` lines away, ``before`` of them before pos.  Of each (valid, s, len, h, g): whether it lies in the
     document and its first smallest line hash stands at the position, where it
     starts, and the two hashes of its lines."""
     out = []
@@ -64,12 +65,14 @@ def _windows(run: int, words: int):
 
 
 def _extensions(run: int, words: int):
-    """The valid ones of ``_windows``, as an array of (valid, s, len, k1, k2);
-    k1 and k2 identify the window's lines."""
-    return F.filter(F.array(*[
+    """The valid ones of ``_windows``, as an array of (s, len, k1, k2); k1 and k2
+    identify the window's lines."""
+    valid = F.filter(F.array(*[
         F.struct(valid.alias("valid"), s.alias("s"), size.alias("len"), F.xxhash64(part).alias("k1"),
                  F.xxhash64(F.lit(3), twin).alias("k2")) for valid, s, size, part, twin in _windows(run, words)]),
         lambda x: x["valid"])
+    return F.transform(valid, lambda x: F.struct(x["s"].alias("s"), x["len"].alias("len"), x["k1"].alias("k1"),
+                                                 x["k2"].alias("k2")))
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
@@ -80,20 +83,18 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
     ``words`` words, selects its smallest line hash as fingerprint, so two
     documents that share such a window are guaranteed to share a fingerprint.
     Positions are joined with the fingerprints that occur at several places;
-    those that join are extended both ways to the windows they stand for, and an
-    extended window is matched with the first place, in order of (doc_id, text
-    key, position), of the same fingerprint with the same extension.  That place
+    those that join are matched by their extensions both ways, the windows that
+    they stand for (hashed when the position is selected): each with the first
+    place, in order of (doc_id, text key, position), that extends alike.  That place
     stays, later ones go; overlapping windows make up longer runs.
     Groups are only aggregated (map-side first), never gathered, each window is
     compared with the first of its group alone, and the places of a frequent
     fingerprint are dealt over several tasks."""
     prints = stage(_fingerprints(docs, run, words), "line-prints")
     marks = stage(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1"), "line-marks")
-    met = deal_join(prints.withColumnRenamed("n", "lines"), marks, ["fp"]).withColumnRenamed("lines", "n")
-    near = met.select("doc_id", "key", "fp", F.inline(_extensions(run, words)))
-    near = stage(near.drop("valid"), "line-near")
+    near = stage(deal_join(prints, marks, ["fp"]).select("doc_id", "key", F.inline("windows")), "line-near")
     place = F.struct("doc_id", "key", "s")
-    same_run = ["fp", "k1", "k2", "len"]
+    same_run = ["k1", "k2", "len"]
     firsts = near.groupBy(*same_run).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = deal_join(near, stage(firsts, "line-firsts"), same_run).where(place > F.col("first"))
     # Lines of a first occurrence that its own repetition overlaps stay.
