@@ -92,18 +92,20 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
     fingerprint are dealt over several tasks."""
     prints = stage(_fingerprints(docs, run, words), "line-prints")
     marks = stage(prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1"), "line-marks")
-    near = stage(deal_join(prints, marks, ["fp"]).select("doc_id", "key", F.inline("windows")), "line-near")
+    # These grow with the corpus: always merge joins, whatever size they have by chance.
+    near = stage(deal_join(prints, marks.hint("merge"), ["fp"]).select("doc_id", "key", F.inline("windows")), "line-near")
     place = F.struct("doc_id", "key", "s")
     same_run = ["k1", "k2", "len"]
     firsts = near.groupBy(*same_run).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = deal_join(near, stage(firsts, "line-firsts"), same_run).where(place > F.col("first"))
+    later = deal_join(near, stage(firsts, "line-firsts").hint("merge"), same_run).where(place > F.col("first"))
     # Lines of a first occurrence that its own repetition overlaps stay.
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     start = F.when(same, F.greatest("s", F.col("first.s") + F.col("len"))).otherwise(F.col("s"))
-    return (later.select("doc_id", "key", start.alias("from"), (F.col("s") + F.col("len") - 1).alias("to"))
-            .where("from <= to").distinct()
-            .groupBy("doc_id", "key")
-            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("from", "to")))).alias("removed")))
+    spans = (later.select("doc_id", "key", start.alias("from"), (F.col("s") + F.col("len") - 1).alias("to"))
+             .where("from <= to").groupBy("doc_id", "key").agg(F.collect_set(F.struct("from", "to")).alias("spans")))
+    # Stored, so that what the windows shuffled is gone before the texts move.
+    return stage(spans.select("doc_id", "key", F.array_distinct(F.flatten(F.transform(
+        "spans", lambda x: F.sequence(x["from"], x["to"])))).alias("removed")), "line-gone")
 
 
 def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
@@ -121,7 +123,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFram
     Returns (doc_id, n_lines, n_removed, text), one row per input row: lines
     that are not blank, those deleted, and the text without them ('' for a null
     text)."""
-    gone = repeated_lines(docs, run, words)
+    gone = repeated_lines(docs, run, words).hint("merge")
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_key(F.col("text")).alias("key"))
     d, gone = d.alias("d"), gone.alias("r")
     d = (d.join(gone, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.key") == F.col("r.key")), "left")
