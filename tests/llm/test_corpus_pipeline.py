@@ -44,7 +44,7 @@ def _words(text):
 def _languages(docs, model):
     kept = set()
     for i, r in docs.items():
-        words = lang._LETTERS.findall((r[1] or "").lower())
+        words = "".join(c if c.isalpha() else " " for c in (r[1] or "").lower()).split()
         if words:
             logs = sum(model._long(w) for w in words)
             kept |= {i} if np.exp(logs - logs.max()).sum() <= 1 / corpus_pipeline.LEAST_SCORE else set()
