@@ -67,13 +67,20 @@ def read_tsv(spark: SparkSession, path: str, ddl: str, corrupt: bool = False, st
 
 def header_report(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """file_path, header, as_declared: the first line of every file, and whether
-    it names the columns of ``ddl`` in order.  One line a file leaves its task:
-    the first of the split that starts at byte 0."""
+    it names the columns of ``ddl`` in order.  The first line of a file is that
+    of the split that starts at byte 0.  Texts are not carried along as lines are
+    compared, which would sort a whole split: one scan keeps the hash of each
+    file's first line, another the lines of that hash, so a task holds as many
+    rows as it reads files.  What is broadcast is one hash a file."""
     want = "\t".join(StructType.fromDDL(ddl).names)
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), "value",
                                          F.col("_metadata.file_block_start").alias("_at"),
-                                         F.monotonically_increasing_id().alias("_line"))
-    first = lines.where("_at = 0").groupBy("file_path").agg(F.min_by("value", "_line").alias("header"))
+                                         F.monotonically_increasing_id().alias("_line")) \
+        .where("_at = 0").withColumn("_hash", F.xxhash64("value"))
+    hashes = lines.groupBy("file_path").agg(F.min_by("_hash", "_line").alias("_hash"))
+    # Lines that only share the first one's hash come after it.
+    texts = lines.join(F.broadcast(hashes), ["file_path", "_hash"]).groupBy("file_path", "value").agg(F.min("_line").alias("_line"))
+    first = texts.groupBy("file_path").agg(F.min_by("value", "_line").alias("header"))
     return first.select("file_path", "header", (F.col("header") == want).alias("as_declared"))
 
 

@@ -46,6 +46,21 @@ def test_headers(spark):
         tsv.read_tsv(spark, root, DDL, strict_header=True).collect()
 
 
+def test_header_report_sorts_no_lines(spark):
+    """Only lines equal to their file's first one are grouped with their text."""
+    root = scratch_path(spark, "first-lines")
+    _put(spark, f"{root}/a.tsv", HEADER + "A\t1999\tQ01\t1.5\tR\n" * 50 + HEADER)
+    _put(spark, f"{root}/b.tsv", "B\t1999\n" * 2 + HEADER + "B\t1999\n")
+    _put(spark, f"{root}/c.tsv", "\n" + HEADER)
+    _put(spark, f"{root}/d.tsv", "")
+    report = tsv.header_report(spark, root, DDL)
+    got = {r["file_path"][-5:]: (r["header"], r["as_declared"]) for r in report.collect()}
+    assert got == {"a.tsv": (HEADER[:-1], True), "b.tsv": ("B\t1999", False), "c.tsv": ("", False)}
+    nodes = report._jdf.queryExecution().sparkPlan().toString().splitlines()
+    join = next((i for i, n in enumerate(nodes) if "BroadcastHashJoin" in n), 0)
+    assert not [n for n in nodes[join:] if "SortAggregate" in n or "ObjectHashAggregate" in n]
+
+
 def test_pages_with_unknown_fields_and_broken_documents(spark):
     root = scratch_path(spark, "rescued")
     docs = {"good": '{"data": [{"Year": "2001"}], "load_no": 1}', "more": '{"load_no": 2, "data": [],\n "x": {"y": [1]}, "z": null}',
