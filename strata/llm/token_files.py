@@ -30,8 +30,8 @@ from .common import map_arrow, text_key, use_memo
 
 END_ID = 2
 BLOCK = 1 << 18            # ids after which a block ends (at the end of a document)
-WORDS_KEPT = 300_000       # words of a generation whose ids a worker keeps
-LEARNT = 1 << 21           # characters of texts whose new words are learnt together, about
+PARTS_KEPT = 250_000       # parts of words of a generation whose ids a worker keeps
+LEARNT = 1 << 21           # characters of texts whose words are looked up together, about
 
 
 def default_tokenizer() -> str:
@@ -63,13 +63,11 @@ class WordEncoder:
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in self.vocab.items() if t.endswith("</w>")]] = True
         self.apart: dict[str, bool] = {}
-        # Two generations of known words (and of their parts): when the younger
-        # is full, the older one goes; words still in use move up.
+        # Two generations of known parts of words: when the younger is full, the
+        # older one goes; parts still in use move up.
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
 
@@ -86,37 +84,11 @@ class WordEncoder:
         return self.apart[c]
 
     def _learn(self, missing: set[str]) -> None:
-        """Ids of new words.  Punctuation after a letter or number at a word's
-        end is split off by the tokenizer anyway, so both parts are looked up on
-        their own; punctuation after anything else is one piece with it, so such
-        words are encoded whole.  Words of letters only are encoded in one text,
-        whose word ends show in the ids."""
-        plain, split, new = [], [], {}
-        old, parts, old_parts = self.old_words, self.parts, self.old_parts
-        for w in missing:
-            if w in old:
-                self.words[w] = old[w]
-                continue
-            if w.isalpha():
-                core, tail = w, ""
-            else:
-                core = w.rstrip(self._TAIL)
-                if core and not self._ends_piece(core[-1]):
-                    core = w
-                tail = w[len(core):]
-            if core.isascii():
-                core = core.lower()
-            if tail:
-                split.append((w, core, tail))
-            else:
-                plain.append((w, core))
-            for p in (core, tail) if tail else (core,):
-                if p not in parts:
-                    if p in old_parts:
-                        parts[p] = old_parts[p]
-                    else:
-                        new[p] = None
-        new.pop("", None)
+        """Ids of new parts.  Those of letters only are encoded in one text, whose
+        word ends show in the ids."""
+        parts, old = self.parts, self.old_parts
+        parts.update((p, old[p]) for p in missing if p in old)
+        new = [p for p in missing if p not in old]
         letters = [p for p in new if p.isalpha()]
         if letters:
             raw = self._lib([" ".join(letters)])[0]
@@ -127,30 +99,59 @@ class WordEncoder:
         rest = [p for p in new if p not in parts]
         if rest:
             parts.update(zip(rest, self._lib(rest)))
-        parts[""] = b""
-        self.words.update((w, parts[core]) for w, core in plain)
-        self.words.update((w, parts[core] + parts[tail]) for w, core, tail in split)
+
+    def _parts(self, parts: pa.Array) -> pa.Array:
+        """Ids of parts that are encoded on their own."""
+        coded = parts.dictionary_encode()
+        found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.parts) > PARTS_KEPT:
+            self.old_parts, self.parts = self.parts, {}
+        missing = set(found).difference(self.parts)
+        if missing:
+            self._learn(missing)
+        return pa.array(map(self.parts.__getitem__, found), pa.large_binary(), size=len(found)).take(coded.indices)
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of words.  Punctuation after a letter or number at a word's end is
+        split off by the tokenizer anyway, so both parts are looked up on their
+        own; punctuation after anything else is one piece with it, so such words
+        are encoded whole."""
+        cores = pc.utf8_rtrim(words, characters=self._TAIL)
+        lens = pc.binary_length(cores)
+        cut = np.flatnonzero(pc.less(lens, pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        tailed = words.take(cut)
+        last = pc.utf8_slice_codeunits(cores.take(cut), -1).dictionary_encode()
+        apart = np.array([not c or self._ends_piece(c) for c in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+        whole = np.zeros(len(words), bool)
+        whole[cut[~apart]] = True
+        cores = pc.if_else(pa.array(whole), words, cores)
+        cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores)
+        tails = [w[n:] for w, n in zip(tailed.to_numpy(zero_copy_only=False)[apart],
+                                       pc.utf8_length(cores.take(cut[apart])).to_pylist())]
+        ids = self._parts(pa.concat_arrays([cores, pa.array(["", *tails], cores.type)]))
+        at = np.zeros(len(words), np.int64)
+        at[cut[apart]] = np.arange(len(tails)) + 1
+        return pc.binary_join_element_wise(ids[:len(words)], ids[len(words):].take(pa.array(at)), pa.scalar(b"", ids.type))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of the texts, whose new words are learnt together, about LEARNT
-        characters of texts at a time."""
+        """Ids of the texts, about LEARNT characters of texts at a time: each word
+        that differs is looked up once, and the words' ids are laid out by Arrow."""
         at = 0
         while at < len(texts):
-            split, held = [], 0
+            first, held = at, 0
             while at < len(texts) and held < LEARNT:
-                text = texts[at]
-                split.append(None if "<|" in text or self._ODD.search(text) else text.split())
-                held += len(text)
+                held += len(texts[at])
                 at += 1
-            if len(self.words) > WORDS_KEPT:
-                self.old_words, self.words = self.words, {}
-                self.old_parts, self.parts = self.parts, {}
-            missing = set().union(*filter(None, split)).difference(self.words)
-            if missing:
-                self._learn(missing)
-            ids_of = self.words.__getitem__
-            for i, words in enumerate(split, at - len(split)):
-                yield self._lib([texts[i]])[0] if words is None else b"".join(map(ids_of, words))
+            whole = ["<|" in t or self._ODD.search(t) is not None for t in texts[first:at]]
+            split = pc.utf8_split_whitespace(pa.array(["" if w else t for t, w in zip(texts[first:at], whole)],
+                                                      pa.large_string()))
+            words = split.values.dictionary_encode()
+            laid = self._words(words.dictionary).take(words.indices)
+            _, ends, raw = laid.buffers()
+            raw = memoryview(raw or b"")
+            ends = np.frombuffer(ends, np.int64, len(laid) + 1)[split.offsets.to_numpy()].tolist()
+            for i, odd in enumerate(whole):
+                yield self._lib([texts[first + i]])[0] if odd else bytes(raw[ends[i]:ends[i + 1]])
 
     def __call__(self, text: str) -> bytes:
         return next(self.encode([text]))

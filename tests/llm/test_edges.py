@@ -116,6 +116,17 @@ def test_words_ending_in_other_signs_are_encoded_whole():
         assert np.frombuffer(enc(text), enc.dtype).tolist() == want, text
 
 
+def test_words_of_known_parts_are_not_learnt_again():
+    enc = token_files.WordEncoder(token_files.default_tokenizer())
+    calls, learn = [], enc._learn
+    enc._learn = lambda missing: (calls.append(set(missing)), learn(missing))
+    list(enc.encode(["word , . !", "other"]))
+    texts = ["Word, WORD. other! OTHER", "", " Other,\nword!\n", "wOrd. <|", "x\x1cy"]
+    got = [np.frombuffer(r, enc.dtype).tolist() for r in enc.encode(texts)]
+    assert got == [enc.lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not set().union(*calls[1:]) and list(enc.encode([])) == []
+
+
 def test_mix_and_stages(spark, make_docs):
     mixed = mixing.mix(make_docs(ROWS))
     plan = {(r["doc_id"], r["source"]): r for r in mixing.fair_mix(make_docs(ROWS)).collect()}
