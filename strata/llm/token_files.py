@@ -14,7 +14,8 @@ number of bytes, less one, takes two bits of ``control``, four ids to a byte.
 
 from __future__ import annotations
 
-import re
+import codecs
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,8 @@ from .common import map_arrow, text_key, use_memo
 
 END_ID = 2
 BLOCK = 1 << 18            # ids after which a block ends (at the end of a document)
-PARTS_KEPT = 250_000       # parts of words of a generation whose ids a worker keeps
-LEARNT = 1 << 21           # characters of texts whose words are looked up together, about
+PARTS_KEPT = 1 << 25       # bytes of parts of words and their ids that a worker keeps, about
+LEARNT = 1 << 21           # bytes of texts whose words are looked up together, about
 
 
 def default_tokenizer() -> str:
@@ -41,35 +42,60 @@ def default_tokenizer() -> str:
 
 # --- encoding ----------------------------------------------------------------
 
+# What a byte-level model calls each byte (Latin-1's visible signs as they are,
+# the others from U+0100 on); a space stays one, as it parts the words.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+_SIGNS = "".join(" " if b == 32 else chr(b) if b in _VISIBLE else chr(256 + _HIDDEN.index(b)) for b in range(256))
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, with the ids of words kept.
 
     The tokenizer (word_bpe) drops white space and matches nothing across it,
     so a text's ids are those of its words.  Texts with characters that Python
     alone takes for white space, or with a special token's opening, are encoded
-    whole."""
+    whole.
+
+    A word of letters is one piece to the tokenizer's pattern, so new ones go to
+    its model through ``plain``, a second tokenizer of the same model that splits
+    at spaces only: their letters are put into the model's signs for bytes first,
+    normalised by the library where they are not ASCII."""
 
-    _ODD = re.compile("[\x1c-\x1f]")
+    _ODD = "<\\||[\x1c-\x1f]"
     _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"     # ASCII punctuation but the apostrophe
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.lib = Tokenizer.from_file(path)
-        self.vocab = self.lib.get_vocab(with_added_tokens=True)
-        self.size = max(self.vocab.values()) + 1
+        vocab = self.lib.get_vocab(with_added_tokens=True)
+        self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.size, bool)
-        self.ends[[i for t, i in self.vocab.items() if t.endswith("</w>")]] = True
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.apart: dict[str, bool] = {}
-        # Two generations of known parts of words: when the younger is full, the
-        # older one goes; parts still in use move up.
+        self.letter: dict[str, bool] = {" ": True}
+        self.plain = None
+        if self._bytes_of_pieces():
+            self.plain = Tokenizer(self.lib.model)
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.forget()
 
     def forget(self) -> None:
-        self.parts: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
+        # Known parts of words, their ids, and the look-up that last met each.
+        self.parts, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.met, self.lookups = np.zeros(0, np.int64), 0
+
+    def _bytes_of_pieces(self) -> bool:
+        """Whether the model sees each piece of the pattern as signs for its bytes."""
+        from tokenizers import models
+        if self.lib.pre_tokenizer is None or self.lib.normalizer is None or self.lib.post_processor is not None:
+            return False
+        steps = json.loads(self.lib.pre_tokenizer.__getstate__()).get("pretokenizers", [])
+        return (isinstance(self.lib.model, models.BPE) and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+                and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"])
 
     def _lib(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -83,33 +109,85 @@ class WordEncoder:
             self.apart[c] = self.lib.pre_tokenizer.pre_tokenize_str(norm)[-1][0] == ","
         return self.apart[c]
 
-    def _learn(self, missing: set[str]) -> None:
-        """Ids of new parts.  Those of letters only are encoded in one text, whose
-        word ends show in the ids."""
-        parts, old = self.parts, self.old_parts
-        parts.update((p, old[p]) for p in missing if p in old)
-        new = [p for p in missing if p not in old]
-        letters = [p for p in new if p.isalpha()]
-        if letters:
-            raw = self._lib([" ".join(letters)])[0]
-            ends = np.flatnonzero(self.ends[np.frombuffer(raw, self.dtype)]) + 1
-            if len(ends) == len(letters):
-                at = [0, *(ends * self.dtype.itemsize).tolist()]
-                parts.update((p, raw[a:b]) for p, a, b in zip(letters, at, at[1:]))
-        rest = [p for p in new if p not in parts]
-        if rest:
-            parts.update(zip(rest, self._lib(rest)))
+    def _is_letter(self, c: str) -> bool:
+        """Whether the tokenizer's pattern takes ``c`` into a run of letters."""
+        if c not in self.letter:
+            self.letter[c] = len(self.lib.pre_tokenizer.pre_tokenize_str(f"a{c}a")) == 1
+        return self.letter[c]
+
+    def _letters(self, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Which of these words of letters are such to the tokenizer too, and
+        their ids: they are encoded in one text, whose word ends show in the ids."""
+        good = np.ones(len(words), bool)
+        text = " ".join(words.to_numpy(zero_copy_only=False))
+        if self.plain is None:
+            raw = self._lib([text])[0]
+        else:
+            if not text.isascii():
+                text = self.lib.normalizer.normalize_str(text)
+                signs = {c for c in set(text) if not self._is_letter(c)}
+                if signs:
+                    normal = text.split(" ")
+                    good = np.array([signs.isdisjoint(w) for w in normal])
+                    text = " ".join(w for w, g in zip(normal, good.tolist()) if g)
+                text = codecs.charmap_decode(text.encode(), "strict", _SIGNS)[0]
+            raw = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype).tobytes()
+        ends = np.flatnonzero(self.ends[np.frombuffer(raw, self.dtype)]) + 1
+        if len(ends) != good.sum() or len(good) != len(words):
+            return np.zeros(len(words), bool), self.ids[:0]
+        at = np.concatenate([[0], ends]) * self.dtype.itemsize
+        return good, pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(raw)])
+
+    def _learn(self, missing: pa.Array) -> None:
+        """Ids of new parts, put behind the known ones in this order."""
+        lower = pc.and_(pc.ascii_is_alpha(missing), pc.ascii_is_lower(missing)).to_numpy(zero_copy_only=False)
+        other = pc.utf8_is_alpha(missing).to_numpy(zero_copy_only=False) & ~lower
+        order, ids = [], []
+        for which in lower, other:
+            rows = np.flatnonzero(which)
+            if len(rows):
+                good, got = self._letters(missing.take(pa.array(rows)))
+                order.append(rows[good])
+                ids.append(got)
+        rest = np.ones(len(missing), bool)
+        rest[np.concatenate([*order, np.zeros(0, np.int64)])] = False
+        order.append(np.flatnonzero(rest))
+        ids.append(pa.array(self._lib(missing.filter(pa.array(rest)).to_pylist()), pa.large_binary()))
+        ids = pa.concat_arrays(ids).take(pa.array(np.argsort(np.concatenate(order))))
+        self.parts, self.ids = pa.concat_arrays([self.parts, missing]), pa.concat_arrays([self.ids, ids])
+        self.met = np.concatenate([self.met, np.zeros(len(missing), np.int64)])
 
     def _parts(self, parts: pa.Array) -> pa.Array:
         """Ids of parts that are encoded on their own."""
+        if self.parts.nbytes + self.ids.nbytes > PARTS_KEPT:
+            kept = pa.array(np.sort(np.argsort(-self.met, kind="stable")[:len(self.met) // 2]))
+            self.parts, self.ids, self.met = self.parts.take(kept), self.ids.take(kept), self.met[kept.to_numpy()]
         coded = parts.dictionary_encode()
-        found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.parts) > PARTS_KEPT:
-            self.old_parts, self.parts = self.parts, {}
-        missing = set(found).difference(self.parts)
-        if missing:
-            self._learn(missing)
-        return pa.array(map(self.parts.__getitem__, found), pa.large_binary(), size=len(found)).take(coded.indices)
+        found, n = coded.dictionary, len(self.parts)
+        place = pc.fill_null(pc.index_in(self.parts, found), -1).to_numpy()    # builds a table of the fewer
+        known = np.flatnonzero(place >= 0)
+        at = np.full(len(found), -1)
+        at[place[known]] = known
+        missing = at < 0
+        if missing.any():
+            self._learn(found.filter(pa.array(missing)))
+            at[missing] = np.arange(n, len(self.parts))
+        self.lookups += 1
+        self.met[at] = self.lookups
+        return self.ids.take(pa.array(at[coded.indices.to_numpy()]))
+
+    @staticmethod
+    def _ends_of(words: pa.Array, skipped: pa.Array) -> pa.Array:
+        """The words without so many of their first bytes."""
+        if not len(words):
+            return words
+        _, at, raw = words.buffers()
+        at = np.frombuffer(at, np.int64, len(words) + 1, words.offset * 8)
+        left = np.diff(at) - skipped.to_numpy()
+        ends = np.cumsum(left)
+        raw = np.frombuffer(raw, np.uint8)[np.arange(ends[-1]) + np.repeat(at[1:] - ends, left)]
+        return pa.Array.from_buffers(words.type, len(words),
+                                     [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(raw)])
 
     def _words(self, words: pa.Array) -> pa.Array:
         """Ids of words.  Punctuation after a letter or number at a word's end is
@@ -126,32 +204,30 @@ class WordEncoder:
         whole[cut[~apart]] = True
         cores = pc.if_else(pa.array(whole), words, cores)
         cores = pc.if_else(pc.string_is_ascii(cores), pc.ascii_lower(cores), cores)
-        tails = [w[n:] for w, n in zip(tailed.to_numpy(zero_copy_only=False)[apart],
-                                       pc.utf8_length(cores.take(cut[apart])).to_pylist())]
-        ids = self._parts(pa.concat_arrays([cores, pa.array(["", *tails], cores.type)]))
+        tails = self._ends_of(tailed.filter(pa.array(apart)), lens.take(cut[apart]))
+        ids = self._parts(pa.concat_arrays([cores, pa.array([""], cores.type), tails]))
         at = np.zeros(len(words), np.int64)
         at[cut[apart]] = np.arange(len(tails)) + 1
         return pc.binary_join_element_wise(ids[:len(words)], ids[len(words):].take(pa.array(at)), pa.scalar(b"", ids.type))
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of the texts, about LEARNT characters of texts at a time: each word
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """Ids of the texts, about LEARNT bytes of texts at a time: each word
         that differs is looked up once, and the words' ids are laid out by Arrow."""
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        held = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         at = 0
         while at < len(texts):
-            first, held = at, 0
-            while at < len(texts) and held < LEARNT:
-                held += len(texts[at])
-                at += 1
-            whole = ["<|" in t or self._ODD.search(t) is not None for t in texts[first:at]]
-            split = pc.utf8_split_whitespace(pa.array(["" if w else t for t, w in zip(texts[first:at], whole)],
-                                                      pa.large_string()))
+            first, at = at, int(np.searchsorted(held, (held[at - 1] if at else 0) + LEARNT)) + 1
+            chunk = texts[first:at]
+            whole = pc.match_substring_regex(chunk, self._ODD)
+            split = pc.utf8_split_whitespace(pc.if_else(whole, "", chunk))
             words = split.values.dictionary_encode()
             laid = self._words(words.dictionary).take(words.indices)
             _, ends, raw = laid.buffers()
             raw = memoryview(raw or b"")
             ends = np.frombuffer(ends, np.int64, len(laid) + 1)[split.offsets.to_numpy()].tolist()
-            for i, odd in enumerate(whole):
-                yield self._lib([texts[first + i]])[0] if odd else bytes(raw[ends[i]:ends[i + 1]])
+            for i, odd in enumerate(whole.to_pylist()):
+                yield self._lib([chunk[i].as_py()])[0] if odd else bytes(raw[ends[i]:ends[i + 1]])
 
     def __call__(self, text: str) -> bytes:
         return next(self.encode([text]))
@@ -193,8 +269,7 @@ def _encode_blocks(path: str, end_id: int):
             return row
 
         for b in batches:
-            texts = pc.fill_null(b.column(1), "").to_pylist()
-            for doc_id, raw in zip(b.column(0).to_pylist(), enc.encode(texts)):
+            for doc_id, raw in zip(b.column(0).to_pylist(), enc.encode(pc.fill_null(b.column(1), ""))):
                 raw += end
                 doc_ids.append(doc_id)
                 ids.append(raw)

@@ -127,6 +127,34 @@ def test_words_of_known_parts_are_not_learnt_again():
     assert not set().union(*calls[1:]) and list(enc.encode([])) == []
 
 
+def test_new_words_of_letters_go_to_the_model_alone():
+    enc = token_files.WordEncoder(token_files.default_tokenizer())
+    whole, lib = [], enc._lib
+    enc._lib = lambda texts: (whole.extend(texts), lib(texts))[1]
+    letters = ["word", "Straße", "ΣΊΣΥΦΟΣ", "слово", "Дом", "한글", "日本語", "ﬁn", "ǅ", "ªº", "a" * 700, "ж" * 300]
+    signs = ["İ", "İstanbul", "हिन्दी", "e\u0301t", "x²y", "don't", "\u1112\u1161", "\u1161", "ẞ", "K"]
+    rng = random.Random(7)
+    mixed = ["".join(rng.choice("aZéßİıΣсЖ한\u1112\u1161\u11ab語ªʰǅﬁ\u0301्ी") for _ in range(rng.randint(1, 6)))
+             for _ in range(3000)]
+    texts = [" ".join(letters), " ".join(w + ", " + w.upper() + "." for w in letters), " ".join(signs), *mixed, " ".join(mixed)]
+    got = [np.frombuffer(r, enc.dtype).tolist() for r in enc.encode(texts)]
+    assert got == [enc.lib.encode(t, add_special_tokens=False).ids for t in texts]
+    seen = set(" ".join(whole).split())
+    assert not seen & {"word", "straße", "слово", "Дом", "한글", "日本語", "a" * 700} and "don't" in seen
+
+
+def test_parts_let_go_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(token_files, "PARTS_KEPT", 400)
+    monkeypatch.setattr(token_files, "LEARNT", 60)
+    enc = token_files.WordEncoder(token_files.default_tokenizer())
+    rng = random.Random(8)
+    texts = [" ".join(f"{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}{rng.choice(['', ',', '.)', 'é!'])}"
+                      for _ in range(rng.randrange(40))) for _ in range(120)]
+    assert [np.frombuffer(r, enc.dtype).tolist() for r in enc.encode(texts)] == [
+        enc.lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(enc.parts) == len(enc.ids) == len(enc.met) < 200
+
+
 def test_mix_and_stages(spark, make_docs):
     mixed = mixing.mix(make_docs(ROWS))
     plan = {(r["doc_id"], r["source"]): r for r in mixing.fair_mix(make_docs(ROWS)).collect()}
