@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import ctypes
 import gc
 import os
 import re
@@ -42,18 +43,48 @@ def ship(spark: SparkSession) -> None:
 _MEMO: list = []
 
 
-def use_memo(owner) -> None:
+def use_memo(owner=None) -> None:
     """A worker keeps what it has learnt about words for one operator at a time:
     Spark hands the same Python processes from stage to stage."""
     if not _MEMO or _MEMO[0] is not owner:
         for other in _MEMO:
             other.forget()
-        _MEMO[:] = [owner]
+        _MEMO[:] = [] if owner is None else [owner]
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system: a worker lives
+    through all stages, and would hold the most that any of its tasks has held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+    if trim:
+        trim(0)
+
+
+def _task(fn, memo: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not memo:
+            use_memo()
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return run
+
+
+BATCH_BYTES = 1 << 22      # bytes of a batch of rows that goes to a Python task
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, fn, schema: str, memo: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with batches of about BATCH_BYTES: 10,000 rows, Spark's
+    own bound, may be long texts, and executor and worker hold a batch several
+    times.  The setting stays, as the plan is made later.  ``memo``: the tasks
+    call ``use_memo``; others drop what a worker has learnt before."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    return df.mapInArrow(_task(fn, memo), schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -290,7 +290,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     pred, score = prediction_columns(docs)
     schema = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
-    return map_arrow(docs, _predict(spark.sparkContext.broadcast(model), docs.columns.index("text"), schema.names), schema)
+    return map_arrow(docs, _predict(spark.sparkContext.broadcast(model), docs.columns.index("text"), schema.names), schema,
+                     memo=True)
 
 
 def prediction_columns(docs: DataFrame) -> list[str]:

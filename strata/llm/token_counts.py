@@ -134,4 +134,5 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     0 words.  Rows are independent: nothing is shuffled, repeated rows and null
     ids need no care, an empty table gives an empty result."""
     return map_arrow(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"),
-                     _counter(vocabulary or default_vocabulary()), "doc_id bigint, n_words bigint, n_tokens bigint")
+                     _counter(vocabulary or default_vocabulary()), "doc_id bigint, n_words bigint, n_tokens bigint",
+                     memo=True)

@@ -364,7 +364,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                         F.monotonically_increasing_id().alias("row"))
             .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text"))
     raw_path = scratch_path(spark, "token-ids")
-    map_arrow(rows, _encode_blocks(tokenizer, end_id), _RAW_DDL).write.option("compression", "zstd").parquet(raw_path)
+    map_arrow(rows, _encode_blocks(tokenizer, end_id), _RAW_DDL, memo=True).write.option("compression", "zstd").parquet(raw_path)
     raw = spark.read.schema(_RAW_DDL).parquet(raw_path)
 
     seen = (map_arrow(raw.where("counts is not null").select("counts"), _sum_counts, "id bigint, n bigint")

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,35 @@ def test_parts_let_go_are_learnt_again(monkeypatch):
     assert len(enc.parts) == len(enc.ids) == len(enc.met) < 200
 
 
+def test_batches_of_tasks_are_bounded_in_bytes(spark):
+    rows = spark.range(4000, numPartitions=1).select("id", F.repeat(F.lit("ab"), 5000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+    got = common.map_arrow(rows, sizes, "n bigint, size bigint").collect()
+    assert sum(r["n"] for r in got) == 4000 and max(r["size"] for r in got) < 1.1 * common.BATCH_BYTES
+
+
+def test_tasks_that_use_no_memo_drop_it(monkeypatch):
+    class Learnt:
+        words = ("some",)
+
+        def forget(self):
+            self.words = ()
+    memo, given = [], []
+    monkeypatch.setattr(common, "_MEMO", memo)
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    owner = Learnt()
+
+    def learns(batches):
+        common.use_memo(owner)
+        yield from batches
+    assert list(common._task(learns, True)(iter("ab"))) == ["a", "b"] and memo == [owner]
+    assert list(common._task(learns, True)(iter("c"))) == ["c"] and owner.words and len(given) == 2
+    assert list(common._task(lambda batches: batches, False)(iter("d"))) == ["d"] and not memo and not owner.words
+
+
 def test_mix_and_stages(spark, make_docs):
     mixed = mixing.mix(make_docs(ROWS))
     plan = {(r["doc_id"], r["source"]): r for r in mixing.fair_mix(make_docs(ROWS)).collect()}
